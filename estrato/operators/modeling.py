@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,7 +61,7 @@ def calendar(
 class Role:
     """A joined table in one role: how it is reached and which of its columns appear under which names."""
 
-    table: DataFrame
+    table: Callable[[], DataFrame]  # defined only when the role is needed
     left_key: str
     right_key: str
     outputs: dict[str, str]  # output name -> column of the joined table
@@ -118,7 +118,7 @@ def star_view(
             if o in needed_outputs or o in keys or derived_here
         ]
         side_columns += [F.col(c) for c in role.carries if c in keys]
-        side = role.table.select(F.col(role.right_key).alias(marker), *side_columns)
+        side = role.table().select(F.col(role.right_key).alias(marker), *side_columns)
         if role.spread_by:
             side = side.withColumnRenamed(marker, role.left_key)
             result = salted_join(result, side, role.left_key, role.spread_by)

@@ -205,20 +205,20 @@ def proposta_convenio_view(gold: Tables, columns: Sequence[str] | None = None) -
         "valor_repasse_convenio", "valor_empenhado_convenio", "valor_desembolsado_convenio",
     )
     roles = [
-        ("proponent", Role(gold["dim_proponente"], "identificacao_proponente", "identificacao_proponente",
+        ("proponent", Role(lambda: gold["dim_proponente"], "identificacao_proponente", "identificacao_proponente",
                            same("nome_proponente"))),
-        ("town", Role(gold["dim_municipio"], "codigo_municipio_ibge", "codigo_municipio_ibge",
+        ("town", Role(lambda: gold["dim_municipio"], "codigo_municipio_ibge", "codigo_municipio_ibge",
                       {"municipio": "nome_municipio", "uf": "sigla_uf"})),
-        ("superior_body", Role(gold["dim_orgao"], "codigo_orgao_superior", "codigo_orgao",
+        ("superior_body", Role(lambda: gold["dim_orgao"], "codigo_orgao_superior", "codigo_orgao",
                                {"orgao_superior": "descricao_orgao"})),
-        ("granting_body", Role(gold["dim_orgao"], "codigo_orgao_concedente", "codigo_orgao",
+        ("granting_body", Role(lambda: gold["dim_orgao"], "codigo_orgao_concedente", "codigo_orgao",
                                {"orgao_concedente": "descricao_orgao"})),
-        ("proposal_day", Role(gold["dim_data"], "data_proposta_sk", "data_sk",
+        ("proposal_day", Role(lambda: gold["dim_data"], "data_proposta_sk", "data_sk",
                               {"data_proposta": "data", "ano_proposta": "ano", "mes_proposta": "mes"},
                               bounded=True)),
-        ("agreement", Role(gold["fct_convenio"], "id_proposta", "id_proposta", agreement,
+        ("agreement", Role(lambda: gold["fct_convenio"], "id_proposta", "id_proposta", agreement,
                            carries=("data_assinatura_sk",))),
-        ("signing_day", Role(gold["dim_data"], "data_assinatura_sk", "data_sk",
+        ("signing_day", Role(lambda: gold["dim_data"], "data_assinatura_sk", "data_sk",
                              {"data_assinatura": "data", "ano_assinatura": "ano"}, bounded=True)),
     ]
     derived = {"tem_convenio": ("agreement", F.col("numero_convenio").isNotNull())}

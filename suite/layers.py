@@ -1,7 +1,11 @@
-"""The twenty domain models, each over the whole given tables."""
+"""The twenty domain models, each over the whole given tables.
+
+The mappings below hold plans, not data: every query still reads the given tables from the start.
+"""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +15,17 @@ from suite.raw_tables import BUILDERS, raw_tables
 from suite.registry import Registry
 
 
+@functools.cache
 def raw(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return raw_tables(spark, sf_dir)
 
 
+@functools.cache
 def silver(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
-    return L.silver_tables(raw_tables(spark, sf_dir))
+    return L.silver_tables(raw(spark, sf_dir))
 
 
+@functools.cache
 def gold(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return L.gold_tables(spark, silver(spark, sf_dir))
 
