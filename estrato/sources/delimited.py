@@ -8,6 +8,7 @@ out again after the read.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,14 +89,18 @@ def read_delimited_strict(spark: SparkSession, path: str, header: Sequence[str],
 
 
 def width_report(rows: DataFrame) -> DataFrame:
-    """Logical records, broken ones, and the smallest broken text. ``rows`` comes from read_checked."""
+    """Logical records, broken ones, the smallest broken text and the characters read.
+
+    ``rows`` comes from read_checked.
+    """
     columns = [c for c in rows.columns if c != BROKEN]
-    # every column is touched so that the parser sees the whole record
-    touched = F.coalesce(*[F.length(c) for c in columns], F.lit(0))
-    return rows.select(F.col(BROKEN), touched.alias("__touched")).agg(
-        F.count("__touched").alias("logical_rows"),
+    # every column is measured, so that the parser reads the whole record
+    length = reduce(lambda x, y: x + y, [F.coalesce(F.length(c), F.lit(0)) for c in columns])
+    return rows.agg(
+        F.count("*").alias("logical_rows"),
         F.count(BROKEN).alias("broken_rows"),
         F.min(BROKEN).alias("first_broken"),
+        F.sum(length.cast("bigint")).alias("text_length"),
     )
 
 
@@ -127,7 +132,7 @@ def control_report(spark: SparkSession, path: str, column: str = CONTROL_COLUMN,
     """One row: (status, marker, marker_at). Anything but one column and one record has its own status."""
     from estrato.functions import parse_control_timestamp
 
-    lines = spark.read.options(wholetext="true").text(path).select(
+    lines = spark.read.text(path, wholetext=True).select(
         F.regexp_replace("value", "^" + BOM, "").alias("body"), F.is_valid_utf8("value").alias("valid")
     )
     # empty lines are no records; a control file is a few bytes, so one row holds it

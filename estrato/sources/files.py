@@ -21,12 +21,19 @@ def file_digests(spark: SparkSession, glob: str) -> DataFrame:
     )
 
 
-def digest_findings(digests: DataFrame, expected: DataFrame | None = None) -> DataFrame:
-    """Adds a status: EMPTY for zero bytes, MISMATCH against an expected (path, expected_sha256), else OK."""
-    rows = digests.withColumn("expected_sha256", F.lit(None).cast("string")) if expected is None else (
-        digests.join(expected, "path", "left"))
-    wrong = F.col("expected_sha256").isNotNull() & (F.lower("expected_sha256") != F.col("sha256"))
-    return rows.withColumn("status", F.when(F.col("size") == 0, "EMPTY").when(wrong, "MISMATCH").otherwise("OK"))
+def digest_findings(digests: DataFrame, expected: DataFrame) -> DataFrame:
+    """Digests against expected (path, expected_sha256, NULL for "any"): OK, MISMATCH, UNEXPECTED or EMPTY.
+
+    Spark's file scans leave out files of zero bytes, so an expected file without a digest is
+    empty or absent.
+    """
+    wrong = F.lower("expected_sha256") != F.col("sha256")
+    known = expected.select("path", "expected_sha256", F.lit(True).alias("__known"))
+    return digests.join(known, "path", "full_outer").withColumn(
+        "status",
+        F.when(F.col("sha256").isNull(), "EMPTY").when(F.col("__known").isNull(), "UNEXPECTED")
+        .when(wrong, "MISMATCH").otherwise("OK"),
+    ).drop("__known")
 
 
 _MEMBER_SCHEMA = "path string, status string, body binary"
