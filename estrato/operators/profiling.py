@@ -138,15 +138,17 @@ def dependency(
         .groupBy("column_name")
         .agg(F.count_if(F.col("__values") > 1).alias("__multiple"), F.max("__values").alias("__max"))
     )
-    # fewest values a column shows when no key varies: 1, or 0 where NULL is no value and all are NULL
-    base = tuples.agg(*[F.max(F.lit(1) if null_is_value else F.col(a).isNotNull().cast("int")).alias(a)
-                        for a in attributes])
-    base = base.unpivot([], list(attributes), "column_name", "__base")
     totals = per_key.agg(F.count("*").alias("total_keys")).select(
         "total_keys", F.explode(F.array(*[F.lit(a) for a in attributes])).alias("column_name")
     )
+    # values a column shows per key when none varies: 1, or 0 where NULL is no value and all are NULL
+    if null_is_value:
+        base = totals.withColumn("__base", F.when(F.col("total_keys") > 0, 1))
+    else:
+        present = tuples.agg(*[F.max(F.col(a).isNotNull().cast("int")).alias(a) for a in attributes])
+        base = totals.join(present.unpivot([], list(attributes), "column_name", "__base"), "column_name")
     zero = F.lit(0).cast("bigint")
-    result = totals.join(base, "column_name").join(varying, "column_name", "left").select(
+    result = base.join(varying, "column_name", "left").select(
         "column_name",
         "total_keys",
         (F.col("total_keys") - F.coalesce(F.col("__multiple"), zero)).alias("single_keys"),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,20 +20,27 @@ class GateFailure(RuntimeError):
     """A layer did not reconcile; what was built stays for inspection."""
 
 
-def build_silver(spark: SparkSession, raw: Tables, folder: str) -> dict[str, DataFrame]:
-    plans = L.silver_tables(raw)
-    built: dict[str, DataFrame] = {}
-    for name in ("proposta", "programa_elegibilidade", "programa_proposta", "convenio"):
-        built[name] = materialize(spark, plans[name], f"{folder}/silver/{name}")
+def _write_all(spark: SparkSession, plans: Tables, names: Sequence[str], folder: str, parallel: int) -> dict[str, DataFrame]:
+    """Writes independent tables side by side, so that one table's last tasks do not idle the cluster."""
+    ready = {name: plans[name] for name in names}  # plans are put together here, jobs run in the pool
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        done = pool.map(lambda item: (item[0], materialize(spark, item[1], f"{folder}/{item[0]}")), ready.items())
+        return dict(done)
+
+
+def build_silver(spark: SparkSession, raw: Tables, folder: str, parallel: int = 4) -> dict[str, DataFrame]:
+    place = f"{folder}/silver"
+    names = ("proposta", "programa_elegibilidade", "programa_proposta", "convenio")
+    built = _write_all(spark, L.silver_tables(raw), names, place, parallel)
     # programs come from the table just written instead of typing the raw rows a second time
     cadastral = L.silver_programa_cadastral(built["programa_elegibilidade"])
-    built["programa_cadastral"] = materialize(spark, cadastral, f"{folder}/silver/programa_cadastral")
+    built["programa_cadastral"] = materialize(spark, cadastral, f"{place}/programa_cadastral")
     return built
 
 
-def build_gold(spark: SparkSession, silver: Tables, folder: str) -> dict[str, DataFrame]:
+def build_gold(spark: SparkSession, silver: Tables, folder: str, parallel: int = 4) -> dict[str, DataFrame]:
     plans = L.gold_tables(spark, silver)
-    return {name: materialize(spark, plans[name], f"{folder}/gold/{name}") for name in plans}
+    return _write_all(spark, plans, list(plans), f"{folder}/gold", parallel)
 
 
 def build_mart(spark: SparkSession, gold: Tables, folder: str) -> DataFrame:

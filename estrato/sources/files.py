@@ -62,8 +62,8 @@ def archive_members(spark: SparkSession, glob: str, expected: str) -> DataFrame:
     clean = posixpath.normpath(expected)
     if clean != expected or clean.startswith(("/", "..")):
         raise ValueError(f"member name leaves its folder: {expected!r}")
-    # an archive and its member are large cells: few of them per batch
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    # the file source packs small archives up to spark.sql.files.maxPartitionBytes per task and gives a
+    # larger one its own task, which bounds what one batch holds
     archives = spark.read.format("binaryFile").load(glob).select("path", "content")
     return archives.mapInPandas(_take_member(expected), _MEMBER_SCHEMA)
 
