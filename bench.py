@@ -10,7 +10,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 from concurrent.futures import ThreadPoolExecutor
 
@@ -26,7 +25,7 @@ from estrato.plans import checks as C  # noqa: E402
 from estrato.plans import dashboard as B  # noqa: E402
 from estrato.plans import layers as L  # noqa: E402
 from estrato.plans import records as R  # noqa: E402
-from estrato.session import local_session  # noqa: E402
+from estrato.session import local_session, shared_folder  # noqa: E402
 from suite.raw_tables import raw_tables  # noqa: E402
 
 
@@ -34,7 +33,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = local_session(cpus, "bench", "16g")
-    folder = tempfile.mkdtemp(prefix="estrato-bench-")
+    folder = f"{shared_folder(spark)}/bench-{int(time.time())}"
     times: dict[str, float] = {}
 
     def timed(name: str, work, repeat: int = 1):

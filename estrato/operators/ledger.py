@@ -95,9 +95,13 @@ def of_successful_runs(runs: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str]) -> DataFrame:
-    """The newest row per key. Aggregates before the shuffle, so a key with many rows is no hot spot."""
-    order = F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(f"o{i}") for i, c in enumerate(newest_first)])
+    """The newest row per key. Aggregates before the shuffle, so a key with many rows is no hot spot.
+
+    Rows that tie on the ordering columns are told apart by their other columns, so the answer does
+    not depend on how the rows are spread over tasks.
+    """
     row = F.struct(*[F.col(c) for c in df.columns])
+    order = F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(f"o{i}") for i, c in enumerate(newest_first)], row.alias("tie"))
     return df.groupBy(*keys).agg(F.max_by(row, order).alias("__row")).select("__row.*")
 
 

@@ -11,6 +11,7 @@ from estrato.operators import quality as Q
 from estrato.plans import checks as C
 from estrato.plans import layers as L
 from estrato.plans import records as R
+from estrato.session import shared_folder
 from estrato.sources.snapshots import materialize
 
 Tables = Mapping[str, DataFrame]
@@ -55,8 +56,14 @@ def require(spark: SparkSession, gates: Mapping, parallel: int = 4) -> DataFrame
     return rows
 
 
-def build_all(spark: SparkSession, raw: Tables, folder: str, known=R.KNOWN_ORPHAN_PROPOSALS, gates: bool = True) -> dict:
-    """raw -> silver -> gates -> gold -> gates -> mart -> gates. Each layer is written before the next reads it."""
+def build_all(
+    spark: SparkSession, raw: Tables, folder: str | None = None, known=R.KNOWN_ORPHAN_PROPOSALS, gates: bool = True
+) -> dict:
+    """raw -> silver -> gates -> gold -> gates -> mart -> gates. Each layer is written before the next reads it.
+
+    Without a folder the layers go to the shared folder the cluster names in ``spark.checkpoint.dir``.
+    """
+    folder = folder or f"{shared_folder(spark)}/layers"
     silver = build_silver(spark, raw, folder)
     if gates:
         require(spark, C.raw_to_silver_gates(raw, silver, known))

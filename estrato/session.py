@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,6 +43,11 @@ def local_session(cores: int = 8, app_name: str = "estrato", memory: str = "8g")
     return apply_settings(spark)
 
 
+@functools.cache
+def _own_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="estrato-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` where set, a new one otherwise (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -49,6 +55,4 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="estrato-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder(spark.sparkContext.applicationId)
