@@ -7,12 +7,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.llm import decontaminate, simhash
-from estrato.llm.common import table
+from estrato.llm import decontaminate, embeddings, language, pieces, quality, simhash, substrings
+from estrato.llm.common import crc_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.removed_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP2_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT row_no, doc_id, s, array_to_string(w[s : s + 12], ' ') AS body
+  FROM (SELECT row_no, doc_id, w, unnest(range(1, len(w) - 11)) AS s FROM docs WHERE len(w) >= 13)
+), later AS (
+  SELECT row_no, s FROM windows JOIN (SELECT body, min(doc_id) AS least FROM windows GROUP BY body) USING (body) WHERE least < doc_id
+), gone AS (
+  SELECT DISTINCT row_no, unnest(range(s, s + 13)) AS p FROM later
+), words AS (
+  SELECT row_no, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs
+), kept AS (
+  SELECT row_no, string_agg(word, ' ' ORDER BY p) AS body FROM words ANTI JOIN gone USING (row_no, p) GROUP BY row_no
+), lost AS (
+  SELECT row_no, count(*) AS n FROM gone GROUP BY row_no
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (row_no) LEFT JOIN lost USING (row_no)
+"""
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, crc_fold("doc_id", 4) != 2)
+    return language.with_language(docs.select("doc_id", "text"), model).select(
+        "doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
@@ -55,5 +89,46 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_benchmark_decontamination, op6_simhash_near_dedup)}
-ORACLE_SQL: dict[str, str] = {"op5_benchmark_decontamination": OP5_SQL}
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), crc_fold("doc_id", 5) != 0)
+    return quality.with_quality(docs.select("doc_id", "text"), model).select(
+        "doc_id", (crc_fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECE_MODEL) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encoded_texts(docs, model_path).select(
+        "doc_id", "n_words", "n_pieces", "piece_ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP10_SQL = """
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), usable AS (
+  SELECT * FROM rows WHERE label IS NOT NULL AND v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.r AS a, b.r AS b FROM usable a JOIN usable b ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r
+  WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v)) / sqrt(list_dot_product(b.v, b.v)) >= 0.93
+), reach AS (
+  SELECT r AS a, r AS b FROM rows UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least AS (
+  SELECT a AS r, min(vec_id) AS component_id FROM reach JOIN rows ON rows.r = reach.b GROUP BY a
+), counted AS (
+  SELECT a AS r, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows JOIN least USING (r) LEFT JOIN counted USING (r)
+"""
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_substring_dedup, op3_language_id, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_quality_classifier, op8_sentencepiece, op10_embedding_near_dedup)}
+ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": OP2_SQL, "op5_benchmark_decontamination": OP5_SQL, "op10_embedding_near_dedup": OP10_SQL}
