@@ -10,7 +10,6 @@ window's 128-bit hash over all its words. Windows come from item texts of any le
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -149,7 +148,7 @@ def _hash_rows(rows: np.ndarray, which: int) -> np.ndarray:
     return window_hashes(np.ascontiguousarray(rows).reshape(-1), length, which)[:: length]
 
 
-HITS = pa.schema([("hits", pa.list_(pa.int32())), ("items", pa.list_(pa.int64())), ("n_words", pa.int64())])
+HITS = pa.schema([("__hits", pa.list_(pa.int32())), ("__items", pa.list_(pa.int64())), ("__n_words", pa.int64())])
 
 
 def blocks_of(items: DataFrame, most: int) -> Iterator[list[tuple[int | None, bytes]]]:
@@ -165,40 +164,35 @@ def blocks_of(items: DataFrame, most: int) -> Iterator[list[tuple[int | None, by
     yield held
 
 
-def find_passages(docs: DataFrame, items: DataFrame, size: int = 10, block_bytes: int = BLOCK_BYTES) -> Iterator[DataFrame]:
-    """For each block of items: docs' columns plus hits (word numbers), items and n_words, one row per document."""
+def passages(docs: DataFrame, block: list[tuple[int | None, bytes]], size: int = 10) -> DataFrame:
+    """docs' columns (text among them) and __hits (word numbers), __items, __n_words: findings of one block of items."""
     spark = docs.sparkSession
-    for block in blocks_of(items, block_bytes):
-        windows = windows_of(block, size)
-        vocabulary = np.unique(np.concatenate(windows.tokens)) if windows.tokens else np.zeros(0, np.uint64)
-        counts = token_counts(docs, vocabulary) if len(vocabulary) else np.zeros(0, np.int64)
-        index = spark.sparkContext.broadcast(index_of(windows, vocabulary, counts))
-
-        def find(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = encoded(batch.column("text"))
-                for lo, hi in slices(texts):
-                    words = lower_words(texts[lo:hi])
-                    starts, found = occurrences(words, index.value)
-                    lengths = index.value.length[found]
-                    step = np.zeros(len(words) + 1, np.int32)
-                    np.add.at(step, starts, 1)
-                    np.add.at(step, starts + lengths, -1)
-                    hit = np.cumsum(step[:-1]) > 0
-                    owners: dict[int, set[int]] = {}
-                    for doc, window in set(zip(words.text[starts].tolist(), found.tolist())):
-                        owners.setdefault(doc, set()).update(index.value.items[window])
-                    places = [np.flatnonzero(hit[words.first[k] : words.first[k + 1]]).astype(np.int32) for k in range(hi - lo)]
-                    part = batch.slice(lo, hi - lo)
-                    more = [pa.array(places, HITS[0].type), pa.array([sorted(owners.get(k, ())) for k in range(hi - lo)], HITS[1].type), pa.array(np.diff(words.first), pa.int64())]
-                    yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, *HITS.names])
-
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-        yield docs.mapInArrow(find, f"{fields}, hits array<int>, items array<long>, n_words long")
-
-
-def items_digest(items: list[int] | None) -> str:
-    return hashlib.sha256(",".join(sorted(map(str, items or []))).encode()).hexdigest()
+    windows = windows_of(block, size)
+    vocabulary = np.unique(np.concatenate(windows.tokens)) if windows.tokens else np.zeros(0, np.uint64)
+    counts = token_counts(docs, vocabulary) if len(vocabulary) else np.zeros(0, np.int64)
+    index = spark.sparkContext.broadcast(index_of(windows, vocabulary, counts))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = encoded(batch.column("text"))
+            for lo, hi in slices(texts):
+                words = lower_words(texts[lo:hi])
+                starts, found = occurrences(words, index.value)
+                lengths = index.value.length[found]
+                step = np.zeros(len(words) + 1, np.int32)
+                np.add.at(step, starts, 1)
+                np.add.at(step, starts + lengths, -1)
+                hit = np.cumsum(step[:-1]) > 0
+                owners: dict[int, set[int]] = {}
+                for doc, window in set(zip(words.text[starts].tolist(), found.tolist())):
+                    owners.setdefault(doc, set()).update(index.value.items[window])
+                places = [np.flatnonzero(hit[words.first[k] : words.first[k + 1]]).astype(np.int32) for k in range(hi - lo)]
+                part = batch.slice(lo, hi - lo)
+                more = [pa.array(places, HITS.field(0).type), pa.array([sorted(owners.get(k, ())) for k in range(hi - lo)], HITS.field(1).type), pa.array(np.diff(words.first), pa.int64())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, *HITS.names])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(find, f"{fields}, __hits array<int>, __items array<long>, __n_words long")
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -211,17 +205,26 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, block_bytes
     number given before the first pass. An empty benchmark, or one without words, finds nothing.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    findings = [F.col("__n_words").alias("n_words"), F.col("__hits").alias("hits"), F.col("__items").alias("items")]
     total = items.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0))).head()[0]
     if total <= block_bytes:
-        (only,) = find_passages(narrow, items, size, block_bytes)
-        return only.select("doc_id", "n_words", "hits", "items")
+        (block,) = blocks_of(items, block_bytes)
+        return passages(narrow, block, size).select("doc_id", *findings)
     numbered = stored(narrow.withColumn("row", F.monotonically_increasing_id()), "numbered")
     found = None
-    for part in find_passages(numbered, items, size, block_bytes):
-        part = part.select("row", "doc_id", "n_words", "hits", "items")
+    for block in blocks_of(items, block_bytes):
+        part = passages(numbered, block, size).select("row", "doc_id", *findings)
         found = part if found is None else found.union(part)
     return (
         found.groupBy("row", "doc_id", "n_words")
         .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
         .drop("row")
     )
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, size: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """`docs` (text and any other columns) without the rows in which a benchmark window occurs; block after block, no shuffle."""
+    names = docs.columns
+    for block in blocks_of(items, block_bytes):
+        docs = passages(docs, block, size).filter(F.size("__hits") == 0).select(*names)
+    return docs

@@ -7,12 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.llm import decontaminate, embeddings, language, pieces, quality, simhash, substrings
+from estrato.llm import decontaminate, embeddings, language, licenses, lines, pieces, quality, simhash, substrings, warc
 from estrato.llm.common import crc_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP1_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, CASE WHEN strlen(coalesce(html, '')) >= 1000 THEN max(page_id) OVER (PARTITION BY coalesce(html, '')) END AS keeper FROM pages
+)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN keeper IS NULL OR page_id IS NOT DISTINCT FROM keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to
+FROM p
+"""
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.removed_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -47,6 +63,40 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.without_later_copies(docs).select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP4_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS d, doc_id, text FROM documents
+), raw AS (
+  SELECT d, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM docs WHERE text IS NOT NULL
+), filled AS (
+  SELECT d, no, line, row_number() OVER (PARTITION BY d ORDER BY no) AS i FROM raw WHERE regexp_matches(line, '[^ \t\r\x0B\x0C]')
+), pairs AS (
+  SELECT a.d, a.i, a.line || chr(10) || b.line AS body FROM filled a JOIN filled b ON a.d = b.d AND b.i = a.i + 1
+), later AS (
+  SELECT d, i FROM pairs QUALIFY row_number() OVER (PARTITION BY body ORDER BY d, i) > 1
+), gone AS (
+  SELECT d, i FROM later UNION SELECT d, i + 1 FROM later
+), marked AS (
+  SELECT raw.d, raw.no, raw.line, filled.i, CASE WHEN filled.i IS NOT NULL THEN gone.i IS NOT NULL END AS g
+  FROM raw LEFT JOIN filled USING (d, no) LEFT JOIN gone ON gone.d = raw.d AND gone.i = filled.i
+), around AS (
+  SELECT *, last_value(g IGNORE NULLS) OVER (PARTITION BY d ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS before,
+         first_value(g IGNORE NULLS) OVER (PARTITION BY d ORDER BY no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS after FROM marked
+), counted AS (
+  SELECT d, count(i) AS n_lines, count(*) FILTER (WHERE g) AS n_removed,
+         string_agg(line, chr(10) ORDER BY no) FILTER (WHERE NOT coalesce(g, coalesce(before, true) AND coalesce(after, true))) AS kept FROM around GROUP BY d
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       sha256(CASE WHEN coalesce(n_removed, 0) = 0 THEN coalesce(text, '') ELSE coalesce(kept, '') END) AS kept_sha256
+FROM docs LEFT JOIN counted USING (d)
+"""
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
@@ -105,6 +155,11 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECE_
         "doc_id", "n_words", "n_pieces", "piece_ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.with_licenses(docs).select("doc_id", F.size("licenses").alias("n_matches"), "licenses", "coverages", "spans")
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -130,5 +185,5 @@ FROM rows JOIN least USING (r) LEFT JOIN counted USING (r)
 """
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_substring_dedup, op3_language_id, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_quality_classifier, op8_sentencepiece, op10_embedding_near_dedup)}
-ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": OP2_SQL, "op5_benchmark_decontamination": OP5_SQL, "op10_embedding_near_dedup": OP10_SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_substring_dedup, op3_language_id, op4_line_dedup, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_quality_classifier, op8_sentencepiece, op9_license_scan, op10_embedding_near_dedup)}
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_benchmark_decontamination": OP5_SQL, "op10_embedding_near_dedup": OP10_SQL}
