@@ -132,9 +132,14 @@ def fit(docs: DataFrame, learnable: Column, lang: str = "lang", sample: int = SA
     rows = docs.filter(learnable).select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).filter("lang is not null and text is not null")
     frequency, n = document_frequencies(rows)
     idf = np.log((1 + n) / (1 + frequency)) + 1
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    spark, most = docs.sparkSession, MODEL_BYTES // (4 * FEATURES)
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(most + 1).collect()
+    if len(sizes) * centroids > most:
+        raise ValueError(f"{lang} has too many values for one model; give fewer centroids")
+    # one row per language that fits the model; the rows themselves travel only once they are chosen
+    shares = F.broadcast(spark.createDataFrame(sizes, "lang string, n long"))
     part = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 40)) < F.lit(sample) / F.col("n") * (1 << 40)
-    shared = docs.sparkSession.sparkContext.broadcast(idf)
+    shared = spark.sparkContext.broadcast(idf)
 
     def learn(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         schema = pa.schema([("lang", pa.string()), ("centroid", pa.binary()), ("floor", pa.float64())])
@@ -151,11 +156,8 @@ def fit(docs: DataFrame, learnable: Column, lang: str = "lang", sample: int = SA
         floor = float(np.quantile((x @ centers.T).max(axis=1), 0.01)) * radius
         return pa.table([[key[0].as_py()] * len(centers), [c.tobytes() for c in centers], [floor] * len(centers)], schema=schema)
 
-    learned = rows.join(sizes, "lang").filter(part).select("lang", "text").groupBy("lang").applyInArrow(learn, "lang string, centroid binary, floor double")
-    most = MODEL_BYTES // (4 * FEATURES)
-    found = sorted(map(tuple, learned.limit(most + 1).collect()))
-    if len(found) > most:
-        raise ValueError(f"{lang} has too many values for one model; give fewer centroids")
+    learned = rows.join(shares, "lang").filter(part).select("lang", "text").groupBy("lang").applyInArrow(learn, "lang string, centroid binary, floor double")
+    found = sorted(map(tuple, learned.collect()))
     languages = sorted({r[0] for r in found})
     number = {x: i for i, x in enumerate(languages)}
     return Model(
