@@ -31,6 +31,9 @@ SAMPLE = 8192
 """Rows per group that splits are fitted on, about."""
 DEPTH = 8
 ROUNDS = 5
+DENSE = 0.02
+"""A node where this share of pairs links is not split: splits would part many links, and comparing
+all its pairs costs at most 1/DENSE comparisons per link."""
 BLOCK = 2048
 """Rows per block in the comparison of a leaf that stays large."""
 ROUTE = 50_000
@@ -61,13 +64,18 @@ def direction(tree: int, node: int, size: int) -> np.ndarray:
     return np.random.default_rng([tree, node, size]).standard_normal(size)
 
 
-def fit_tree(x: np.ndarray, tree: int, total: int, leaf: int = LEAF, spill: float = SPILL, depth: int = DEPTH) -> dict[int, tuple[float, float]]:
+def dense(x: np.ndarray, threshold: float, most: int = 256) -> bool:
+    part = x[np.random.default_rng(len(x)).choice(len(x), min(most, len(x)), replace=False)]
+    return (part @ part.T >= threshold).sum() - len(part) > DENSE * len(part) * (len(part) - 1)
+
+
+def fit_tree(x: np.ndarray, tree: int, total: int, threshold: float, leaf: int = LEAF, spill: float = SPILL, depth: int = DEPTH) -> dict[int, tuple[float, float]]:
     """Heap number of each inner node -> (right child begins at, left child ends at)."""
     splits: dict[int, tuple[float, float]] = {}
     open_nodes = [(1, np.arange(len(x)), 0)]
     while open_nodes:
         node, rows, level = open_nodes.pop()
-        if level == depth or len(rows) * total <= leaf * len(x) or len(rows) < 16:
+        if level == depth or len(rows) * total <= leaf * len(x) or len(rows) < 16 or dense(x[rows], threshold):
             continue
         along = x[rows] @ direction(tree, node, x.shape[1])
         low, high = np.quantile(along, [0.5 - spill, 0.5 + spill])
@@ -130,45 +138,54 @@ def compare(x: np.ndarray, weight: np.ndarray, side: np.ndarray, leaves: list[li
     return new, np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
 
 
-def leaves_of(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, rounds: int = ROUNDS, route_rows: int = ROUTE) -> DataFrame:
+def leaves_of(classes: DataFrame, threshold: float, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, rounds: int = ROUNDS, route_rows: int = ROUTE) -> DataFrame:
     """(cid, leaf): every class with all its leaves. `classes` has cid, grp, v."""
     MODEL = pa.schema([("grp", pa.int64()), ("tree", pa.list_(pa.int32())), ("node", pa.list_(pa.int64())), ("low", pa.list_(pa.float64())), ("high", pa.list_(pa.float64())), ("parts", pa.int64())])
 
-    def fit(key: tuple[pa.Scalar, ...], rows: pa.Table, trees: int) -> pa.Table:
-        x, total = unit(rows.column("v").to_pylist()), rows.column("n_grp")[0].as_py()
-        splits = [(t, node, *ends) for t in range(trees) for node, ends in fit_tree(x, t, total, leaf).items()]
-        columns = [[s[i] for s in splits] for i in range(4)]
-        return pa.table([[key[0].as_py()], *([c] for c in columns), [-(-total // route_rows)]], schema=MODEL)
-
-    def send(key: tuple[pa.Scalar, ...], rows: pa.Table, model: pa.Table, trees: int) -> pa.Table:
-        schema = pa.schema([("cid", pa.int64()), ("grp", pa.int64())])
-        if not rows.num_rows:
-            return schema.empty_table()
-        x, cid = unit(rows.column("v").to_pylist()), rows.column("cid").to_numpy()
-        splits: list[dict[int, tuple[float, float]]] = [{} for _ in range(trees)]
-        for t, node, low, high in zip(*(model.column(c).to_pylist()[0] for c in ("tree", "node", "low", "high"))) if model.num_rows else ():
-            splits[t][node] = (low, high)
-        cids, names = [], []
-        for t in range(trees):
-            for node, mine in route(x, t, splits[t]):
-                cids.append(cid[mine])
-                names.append(np.full(len(mine), leaf_name(key[0].as_py(), t, node)))
-        return pa.table([np.concatenate(cids), np.concatenate(names)], schema=schema)
+    def fitted(trees: int):
+        def fit(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+            x, total = unit(rows.column("v").to_pylist()), rows.column("n_grp")[0].as_py()
+            splits = [(t, node, *ends) for t in range(trees) for node, ends in fit_tree(x, t, total, threshold, leaf).items()]
+            columns = [[s[i] for s in splits] for i in range(4)]
+            return pa.table([[key[0].as_py()], *([c] for c in columns), [-(-total // route_rows)]], schema=MODEL)
+
+        return fit
+
+    def sent(trees: int):
+        def send(key: tuple[pa.Scalar, ...], rows: pa.Table, model: pa.Table) -> pa.Table:
+            schema = pa.schema([("cid", pa.int64()), ("grp", pa.int64())])
+            if not rows.num_rows:
+                return schema.empty_table()
+            x, cid = unit(rows.column("v").to_pylist()), rows.column("cid").to_numpy()
+            splits: list[dict[int, tuple[float, float]]] = [{} for _ in range(trees)]
+            for t, node, low, high in zip(*(model.column(c).to_pylist()[0] for c in ("tree", "node", "low", "high"))) if model.num_rows else ():
+                splits[t][node] = (low, high)
+            cids, names = [], []
+            for t in range(trees):
+                for node, mine in route(x, t, splits[t]):
+                    cids.append(cid[mine])
+                    names.append(np.full(len(mine), leaf_name(key[0].as_py(), t, node)))
+            return pa.table([np.concatenate(cids), np.concatenate(names)], schema=schema)
+
+        return send
 
     current, settled = classes.select("cid", "grp"), []
     for turn in range(rounds):
         own = trees if turn == 0 else 1
         large = stored(current.groupBy("grp").agg(F.count("*").alias("n_grp")).filter(F.col("n_grp") > leaf), "groups")
         if large.isEmpty():
+            settled.append(current)
             break
-        settled.append(current.join(large, "grp", "left_anti").select("cid", "grp"))
         rows = current.join(large, "grp").join(classes.select("cid", "v"), "cid")
         chosen = F.pmod(F.xxhash64("cid", F.lit(turn)), F.lit(1 << 40)) < F.lit(sample) / F.col("n_grp") * (1 << 40)
-        model = stored(rows.filter(chosen).groupBy("grp").applyInArrow(lambda k, t, own=own: fit(k, t, own), "grp long, tree array<int>, node array<long>, low array<double>, high array<double>, parts long"), "trees")
-        dealt = rows.withColumn("part", F.pmod(F.xxhash64("cid"), F.ceil(F.col("n_grp") / route_rows)))
+        model = stored(rows.filter(chosen).groupBy("grp").applyInArrow(fitted(own), "grp long, tree array<int>, node array<long>, low array<double>, high array<double>, parts long"), "trees")
+        model = model.filter(F.size("node") > 0)
+        settled.append(current.join(model, "grp", "left_anti").select("cid", "grp"))
+        dealt = rows.join(model.select("grp"), "grp", "left_semi").withColumn("part", F.pmod(F.xxhash64("cid"), F.ceil(F.col("n_grp") / route_rows)))
         copies = model.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-        current = stored(dealt.groupBy("grp", "part").cogroup(copies.groupBy("grp", "part")).applyInArrow(lambda k, a, b, own=own: send(k, a, b, own), "cid long, grp long"), "leaves")
-    settled.append(current)
+        current = stored(dealt.groupBy("grp", "part").cogroup(copies.groupBy("grp", "part")).applyInArrow(sent(own), "cid long, grp long"), "leaves")
+    else:
+        settled.append(current)
     out = settled[0]
     for more in settled[1:]:
         out = out.union(more)
@@ -219,7 +236,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, trees: int = TR
     usable = rows.filter("label is not null and v is not null")
     classes = usable.groupBy("label", "digest").agg(F.first("v").alias("v"), F.count("*").alias("n"), F.min("vec_id").alias("least"))
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()).withColumn("grp", F.xxhash64("label", F.octet_length("v"))), "classes")
-    leaves = stored(leaves_of(classes, trees, leaf, route_rows=route_rows), "leaves")
+    leaves = stored(leaves_of(classes, threshold, trees, leaf, route_rows=route_rows), "leaves")
     found = stored(compared(classes, leaves, threshold, block), "found")
     partners = found.filter("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("partners"))
     group = components(found.filter("b is not null").select("a", "b")).withColumnRenamed("node", "cid")
