@@ -25,8 +25,10 @@ FEATURES = 1 << 14
 CENTROIDS = 4
 SAMPLE = 800
 """Texts per language that centroids are fitted on, about; a documented bound for training only."""
-RADIUS = 0.5
-"""A text is rejected below this share of the least similarity seen in the sample (its 1 % quantile)."""
+RADIUS = 0.25
+"""A text is rejected below this share of the least similarity seen in the sample (its 1 % quantile):
+a text of one word has few of its language's n-grams and is far from any centroid, a text in an
+unknown script has none."""
 SHARPNESS = 20.0
 MODEL_BYTES = 512 << 20
 UNKNOWN = "und"

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estrato.llm.common import encoded, record_batch, slices, stored
@@ -49,16 +49,20 @@ def fingerprint_of(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])
     for batch in batches:
         texts = encoded(batch.column(1))
         values = np.fromiter(map(fingerprint_of, texts), np.uint64, len(texts))
-        yield record_batch(schema, batch.column(0), pa.array(values.view(np.int64)))
+        yield record_batch(schema, batch.column(0), batch.column(2), pa.array(values.view(np.int64)))
+
+
+def text_hash(column: str = "text") -> Column:
+    return F.xxhash64(F.col(column).cast("string"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every row; NULL and wordless texts have fp 0."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_fingerprints, "doc_id long, fp long")
+    """(doc_id, text_hash, fp) of every row; NULL and wordless texts have fp 0."""
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_hash().alias("text_hash")).mapInArrow(_fingerprints, "doc_id long, text_hash long, fp long")
 
 
 def segment_counts(fp: np.ndarray) -> np.ndarray:
@@ -162,7 +166,7 @@ def linked_fingerprints(distinct: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id) per row of `docs` (doc_id, text; other columns ignored).
+    """(doc_id, text_hash, fp, component_id) per row of `docs` (doc_id, text; other columns ignored).
 
     component_id is the smallest doc_id reachable over links of at most two differing bits. Rows with
     equal text, repeated rows and all texts without words share a fingerprint. A NULL doc_id keeps its
@@ -174,4 +178,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rooted = distinct.join(group, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id")
