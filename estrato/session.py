@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -27,8 +26,8 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int = 8, app_name: str = "estrato", memory: str = "8g") -> SparkSession:
-    """A single-process session for tests and the bench."""
+def local_session(cores: int = 8, app_name: str = "estrato", memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """A single-process session for tests and the bench; ``shared`` is its shared folder, new by default."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
@@ -37,22 +36,15 @@ def local_session(cores: int = 8, app_name: str = "estrato", memory: str = "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
+        .config("spark.checkpoint.dir", shared or tempfile.mkdtemp(prefix="estrato-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return apply_settings(spark)
 
 
-@functools.cache
-def _own_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="estrato-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` where set, a new one otherwise (tests)."""
+    """Folder every executor can reach: ``spark.checkpoint.dir`` where it is set, else one in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _own_folder(spark.sparkContext.applicationId)
+    folder = configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
+    return folder.rstrip("/")
