@@ -14,6 +14,7 @@ from estrato.functions.dates import (  # noqa: F401
 from estrato.functions.keys import concat_key, hash_key, sha256_in_path  # noqa: F401
 from estrato.functions.numbers import (  # noqa: F401
     exact_sum,
+    money_as_written,
     money_from_text,
     parse_decimal_br,
     percent,

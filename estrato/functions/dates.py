@@ -11,7 +11,7 @@ from estrato.functions.text import _col, clean_text
 
 # Text formats, analytic window, sentinel keys and month names.
 DATE_FORMAT_BR = "dd/MM/yyyy"
-CONTROL_TIMESTAMP_FORMAT = "dd/MM/yyyy HH:mm:ss"
+CONTROL_TIMESTAMP_PATTERN = r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$"
 CALENDAR_START = dt.date(1990, 1, 1)
 CALENDAR_END = dt.date(2050, 12, 31)
 MISSING_DATE_SK = -1
@@ -31,7 +31,12 @@ def parse_date_br(value: Column | str) -> Column:
 
 def parse_control_timestamp(value: Column | str) -> Column:
     """Strict day-first timestamp without time zone, NULL when it is not a real calendar moment."""
-    return F.try_to_timestamp(clean_text(value), F.lit(CONTROL_TIMESTAMP_FORMAT)).cast("timestamp_ntz")
+    text = clean_text(value)
+    parts = F.regexp_extract(text, CONTROL_TIMESTAMP_PATTERN, 0)
+    day = F.concat_ws("-", F.substring(parts, 7, 4), F.substring(parts, 4, 2), F.substring(parts, 1, 2))
+    # put together as text and cast without a zone: no session setting takes part
+    iso = F.concat(day, F.lit("T"), F.substring(parts, 12, 8))
+    return F.when(parts != "", iso).try_cast("timestamp_ntz")
 
 
 def yyyymmdd(date: Column | str) -> Column:

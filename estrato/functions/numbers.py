@@ -19,10 +19,22 @@ def parse_decimal_br(value: Column | str, precision: int = 17, scale: int = 2) -
 
 
 def money_from_text(value: Column | str) -> Column:
-    """Raw money text at the width used for sums, to reconcile against typed columns."""
+    """Raw money text at the width used for sums, read as the typed columns are."""
     return parse_decimal_br(value, 38, 2)
 
 
+def money_as_written(value: Column | str) -> Column:
+    """What raw money text says to a reader, independent of the typed columns' parser.
+
+    A text with a comma has dots between thousands and cents after the comma; any other text is a
+    plain number. Used on the raw side of reconciliations, so that an amount which the parser drops
+    shows as a difference.
+    """
+    text = F.regexp_replace(_col(value), r"[^0-9,.+-]", "")
+    plain = F.when(text.contains(","), F.translate(F.translate(text, ".", ""), ",", ".")).otherwise(text)
+    return F.when(plain.rlike(r"^[+-]?\d+(\.\d*)?$"), plain).try_cast(SUM_TYPE)
+
+
 def exact_sum(value: Column | str, zero_when_empty: bool = True) -> Column:
     """Sum at decimal(38,2); an all-NULL or empty input gives 0.00 unless told otherwise."""
     total = F.sum(_col(value).cast(SUM_TYPE)).cast(SUM_TYPE)

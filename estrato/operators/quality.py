@@ -228,7 +228,7 @@ def run_gates(
             return [tuple(r) for r in gates[name]().select(
                 "gate", "item", "expected", "actual", "diff", "status").collect()]
         except Exception as error:  # noqa: BLE001  a broken gate is a failed gate
-            return [(name, str(error)[:500], None, None, None, FAIL)]
+            return [(name, str(error), None, None, None, FAIL)]
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         rows = [row for found in pool.map(run_one, gates) for row in found]

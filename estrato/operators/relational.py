@@ -220,17 +220,27 @@ def mapping_audit(
 ) -> DataFrame:
     """Per derived column: source rows whose recomputed value differs from the stored one (NULL-aware).
 
-    All columns are checked in one join. Source rows are first counted per (key, derived values).
+    All columns are checked in one join. Source rows are first counted per (key, derived values) and
+    target rows brought to one per key, so a key that repeats on both sides is no product. A source
+    row without target differs in every column; so does one whose target rows disagree.
     """
     expected = source.select(key, *[c.alias(f"__{n}") for n, c in mapped.items()])
     expected = expected.groupBy(*expected.columns).agg(F.count("*").alias("__n"))
-    joined = expected.join(target.select(key, *mapped), key)
+    stored = target.groupBy(F.col(key).alias("__key")).agg(
+        *[f(n).alias(f"__{m}_{n}") for n in mapped for m, f in (("min", F.min), ("max", F.max))],
+        *[F.count_if(F.col(n).isNull()).alias(f"__null_{n}") for n in mapped], F.count("*").alias("__rows"),
+    )
+    joined = expected.join(stored, expected[key] == stored["__key"], "left")
+
+    def differs(n: str) -> Column:
+        value, nulls = F.col(f"__{n}"), F.col(f"__null_{n}")
+        same = F.when(value.isNull(), nulls == F.col("__rows")).otherwise(
+            (nulls == 0) & (value == F.col(f"__min_{n}")) & (value == F.col(f"__max_{n}")))
+        return ~F.coalesce(same, F.lit(False))
+
     differing = joined.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("checked_rows"),
-        *[
-            F.coalesce(F.sum(F.when(~F.col(f"__{n}").eqNullSafe(F.col(n)), F.col("__n"))), F.lit(0)).alias(n)
-            for n in mapped
-        ],
+        *[F.coalesce(F.sum(F.when(differs(n), F.col("__n"))), F.lit(0)).alias(n) for n in mapped],
     )
     return differing.unpivot(["checked_rows"], list(mapped), "column_name", "n_different").select(
         "column_name", "checked_rows", "n_different"

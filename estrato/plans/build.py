@@ -45,7 +45,8 @@ def build_gold(spark: SparkSession, silver: Tables, folder: str, parallel: int =
 
 
 def build_mart(spark: SparkSession, gold: Tables, folder: str) -> DataFrame:
-    return materialize(spark, L.proposta_convenio_view(gold), f"{folder}/gold/mart_proposta_convenio")
+    """The serving table, its rows ordered by year and state so that their filters skip files."""
+    return materialize(spark, L.proposta_convenio_view(gold), f"{folder}/gold/mart_proposta_convenio", cluster=("ano_proposta", "uf"))
 
 
 def require(spark: SparkSession, gates: Mapping, parallel: int = 4) -> DataFrame:
@@ -57,20 +58,37 @@ def require(spark: SparkSession, gates: Mapping, parallel: int = 4) -> DataFrame
 
 
 def build_all(
-    spark: SparkSession, raw: Tables, folder: str | None = None, known=R.KNOWN_ORPHAN_PROPOSALS, gates: bool = True
+    spark: SparkSession, raw: Tables, folder: str | None = None, known=R.KNOWN_ORPHAN_PROPOSALS, gates: bool = True,
+    allowed_losses: Mapping[str, float] | None = None, baseline: DataFrame | None = None,
+    schema_locations: Mapping[str, str] | None = None,
 ) -> dict:
     """raw -> silver -> gates -> gold -> gates -> mart -> gates. Each layer is written before the next reads it.
 
+    Gates hold the reconciliations and the declared contracts of each layer. ``allowed_losses`` maps
+    "table.column" to the share of rows whose raw text may be typed to NULL. With a ``baseline``
+    (gate, item, baseline) items that have a stored total must also equal it, and the orphan
+    proposals must be exactly the known ones. ``schema_locations`` maps schemas to where they must lie.
     Without a folder the layers go to the shared folder the cluster names in ``spark.checkpoint.dir``.
     """
     folder = folder or f"{shared_folder(spark)}/layers"
+
+    def passed(checks: Mapping) -> None:
+        if not gates:
+            return
+        if baseline is not None:
+            checks = {n: (lambda g=g: Q.with_baseline(g(), baseline)) for n, g in checks.items()}
+        require(spark, checks)
+
     silver = build_silver(spark, raw, folder)
-    if gates:
-        require(spark, C.raw_to_silver_gates(raw, silver, known))
+    first = C.raw_to_silver_gates(raw, silver, known, allowed_losses)
+    if baseline is not None:
+        first["orphan_set"] = lambda: C.orphan_set_gate(silver, known, spark)
+    passed(first)
     gold = build_gold(spark, silver, folder)
-    if gates:
-        require(spark, C.silver_to_gold_gates(silver, gold, known))
+    second = C.silver_to_gold_gates(silver, gold, known)
+    for schema, place in (schema_locations or {}).items():
+        second[f"location_{schema}"] = lambda schema=schema, place=place: C.location_gate(spark, schema, place)
+    passed(second)
     mart = build_mart(spark, gold, folder)
-    if gates:
-        require(spark, C.view_gates(gold, mart, "mart"))
+    passed(C.view_gates(gold, mart, "mart"))
     return {"silver": silver, "gold": gold, "mart": mart}

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.functions import date_sk, money_from_text
+from estrato.functions import money_as_written
 from estrato.functions.numbers import SUM_TYPE
 from estrato.operators import profiling as P
 from estrato.operators import quality as Q
@@ -237,9 +237,16 @@ def orphan_set_equality(silver: Tables, known: Sequence[int], spark: SparkSessio
     return extra.unionByName(gone)
 
 
+def orphan_set_gate(silver: Tables, known: Sequence[int], spark: SparkSession) -> DataFrame:
+    """Orphan proposals are exactly the known ones: none more, none gone."""
+    sides = orphan_set_equality(silver, known, spark)
+    return Q.must_be("orphan_set", Q.measures(sides, {s: F.count_if(F.col("side") == s) for s in ("unexpected", "missing")}))
+
+
 def raw_money(raw: Tables, silver: Tables) -> DataFrame:
     gate = "money"
-    expected = [Q.money_measures(raw[t], {s: money_from_text(r) for r, s in cols.items()}) for t, cols in RAW_MONEY.items()]
+    # the raw side has its own reading of the text: with the parser under test a lost amount is lost twice
+    expected = [Q.money_measures(raw[t], {s: money_as_written(r) for r, s in cols.items()}) for t, cols in RAW_MONEY.items()]
     actual = [Q.money_measures(silver[t], {s: s for s in cols.values()}) for t, cols in RAW_MONEY.items()]
     return Q.compare(gate, Q.stack(expected), Q.stack(actual))
 
@@ -262,14 +269,40 @@ def parse_losses(raw: Tables) -> DataFrame:
     return J.named_rows({t: parse_loss(raw[t], layout) for t, layout in layouts.items()}, "table_name")
 
 
-def raw_to_silver_gates(raw: Tables, silver: Tables, known=R.KNOWN_ORPHAN_PROPOSALS) -> dict[str, Callable[[], DataFrame]]:
+def parse_losses_gate(raw: Tables, allowed: Mapping[str, float] | None = None) -> DataFrame:
+    """Raw text that no typed value stands for, per column, against the declared share of rows (0 if not declared).
+
+    ``allowed`` maps "table.column" to a share from 0 to 1. expected is the number of rows allowed.
+    """
+    shares = F.create_map(*[F.lit(x) for pair in (allowed or {"": 0.0}).items() for x in (pair[0], float(pair[1]))])
+    item = F.concat_ws(".", "table_name", "column_name")
+    most = F.floor(F.coalesce(F.try_element_at(shares, item), F.lit(0.0)) * F.col("total_rows")).cast(SUM_TYPE)
+    rows = parse_losses(raw).select(item.alias("item"), most.alias("expected"), F.col("lost_rows").cast(SUM_TYPE).alias("actual"))
+    diff = (F.col("actual") - F.col("expected")).cast(SUM_TYPE)
+    return rows.select(F.lit("parse_losses").alias("gate"), "item", "expected", "actual", diff.alias("diff"),
+                       F.when(F.col("actual") <= F.col("expected"), Q.PASS).otherwise(Q.FAIL).alias("status"))
+
+
+def contracts_gate(tables: Tables, contracts: Mapping[str, Contract], label: str) -> DataFrame:
+    """The declared contracts of a layer as gate rows: violations per rule, none allowed."""
+    found = Q.check_contracts(tables, contracts)
+    return Q.must_be(f"{label}_contracts", found.select(
+        F.concat(F.col("table_name"), F.lit(" "), F.col("rule"), F.lit(" "), F.col("target")).alias("item"),
+        F.col("violations").cast(SUM_TYPE).alias("value")))
+
+
+def raw_to_silver_gates(
+    raw: Tables, silver: Tables, known=R.KNOWN_ORPHAN_PROPOSALS, allowed_losses: Mapping[str, float] | None = None
+) -> dict[str, Callable[[], DataFrame]]:
     return {
         "row_counts": lambda: raw_row_counts(raw, silver),
         "key_uniqueness": lambda: silver_key_uniqueness(silver),
         "agreement_conflicts": lambda: conflict_reconciliation(raw, silver),
         "references": lambda: silver_references(raw, silver, known),
         "money": lambda: raw_money(raw, silver),
+        "parse_losses": lambda: parse_losses_gate(raw, allowed_losses),
         "lineage": lambda: lineage_completeness(silver),
+        "silver_contracts": lambda: contracts_gate(silver, SILVER_CONTRACTS, "silver"),
     }
 
 
@@ -363,7 +396,14 @@ def date_keys_gate(gold: Tables) -> DataFrame:
 
 
 def _keys(mapping: Mapping[str, str]) -> dict[str, Column]:
-    return {target: date_sk(source) for target, source in mapping.items()}
+    """The key rule written out again, apart from the function under test: its text and its bounds."""
+    # First and last civil day of the calendar, sentinels for none and for outside.
+    def key(day: str) -> Column:
+        text = F.date_format(day, "yyyyMMdd")
+        inside = (F.col(day) >= F.lit("1990-01-01").cast("date")) & (F.col(day) <= F.lit("2050-12-31").cast("date"))
+        return F.when(F.col(day).isNull(), -1).when(inside, text.try_cast("int")).otherwise(-2).cast("int")
+
+    return {target: key(source) for target, source in mapping.items()}
 
 
 def date_mapping(silver: Tables, gold: Tables) -> DataFrame:
@@ -447,6 +487,7 @@ def silver_to_gold_gates(silver: Tables, gold: Tables, known=R.KNOWN_ORPHAN_PROP
         "agreement_money": lambda: agreement_money_gate(silver, gold),
         "balance_observations": lambda: balance_gate(silver, gold),
         "bridge_columns": lambda: bridge_columns_gate(gold),
+        "gold_contracts": lambda: contracts_gate(gold, GOLD_CONTRACTS, "gold"),
     }
 
 
@@ -478,48 +519,64 @@ def view_gates(gold: Tables, view: DataFrame, label: str) -> dict[str, Callable[
 
 
 # Totals of the published snapshot, for the optional baseline mode.
-BASELINE = """
-row_counts|proposta|1157619
-row_counts|programa_proposta|1158975
-row_counts|programa_elegibilidade|1257350
-row_counts|programa_cadastral|53018
-row_counts|convenio|287586
-agreement_conflicts|distinct_keys|287584
-agreement_conflicts|conflict_keys|2
-agreement_conflicts|conflict_rows|4
-agreement_conflicts|clean_rows|287582
-references|proposta without programa|78
-money|valor_global_convenio|356856636504.87
-money|valor_repasse_convenio|331287339337.88
-money|valor_contrapartida_convenio|23710083216.75
-money|valor_empenhado_convenio|192071916388.96
-money|valor_desembolsado_convenio|153212385725.46
-money|valor_global_proposta|1495209875334.42
-money|valor_repasse_proposta|1425758135735.63
-money|valor_contrapartida_proposta|69451779598.79
-gold_row_counts|dim_data|22282
-gold_row_counts|dim_proponente|29325
-gold_row_counts|dim_municipio|5570
-gold_row_counts|dim_orgao|184
-gold_row_counts|dim_programa|53018
-gold_row_counts|fct_proposta|1157619
-gold_row_counts|bridge_programa_proposta|1158975
-gold_row_counts|fct_convenio|287584
-gold_row_counts|fct_convenio_saldo_observacao|287586
-proposal_money|valor_global_proposta|1495209875334.42
-proposal_money|valor_repasse_proposta|1425758135735.63
-proposal_money|valor_contrapartida_proposta|69451779598.79
-agreement_money|valor_global_convenio|356840744533.16
-agreement_money|valor_repasse_convenio|331271766468.34
-agreement_money|valor_contrapartida_convenio|23709764114.58
-agreement_money|valor_empenhado_convenio|192064543060.79
-agreement_money|valor_desembolsado_convenio|153205012397.29
-balance_observations|balance_checksum|18079072724.97
-"""
+BASELINE = {
+    "row_counts": {
+        "proposta": "1157619",
+        "programa_proposta": "1158975",
+        "programa_elegibilidade": "1257350",
+        "programa_cadastral": "53018",
+        "convenio": "287586",
+    },
+    "agreement_conflicts": {
+        "distinct_keys": "287584",
+        "conflict_keys": "2",
+        "conflict_rows": "4",
+        "clean_rows": "287582",
+    },
+    "references": {
+        "proposta without programa": "78",
+    },
+    "money": {
+        "valor_global_convenio": "356856636504.87",
+        "valor_repasse_convenio": "331287339337.88",
+        "valor_contrapartida_convenio": "23710083216.75",
+        "valor_empenhado_convenio": "192071916388.96",
+        "valor_desembolsado_convenio": "153212385725.46",
+        "valor_global_proposta": "1495209875334.42",
+        "valor_repasse_proposta": "1425758135735.63",
+        "valor_contrapartida_proposta": "69451779598.79",
+    },
+    "gold_row_counts": {
+        "dim_data": "22282",
+        "dim_proponente": "29325",
+        "dim_municipio": "5570",
+        "dim_orgao": "184",
+        "dim_programa": "53018",
+        "fct_proposta": "1157619",
+        "bridge_programa_proposta": "1158975",
+        "fct_convenio": "287584",
+        "fct_convenio_saldo_observacao": "287586",
+    },
+    "proposal_money": {
+        "valor_global_proposta": "1495209875334.42",
+        "valor_repasse_proposta": "1425758135735.63",
+        "valor_contrapartida_proposta": "69451779598.79",
+    },
+    "agreement_money": {
+        "valor_global_convenio": "356840744533.16",
+        "valor_repasse_convenio": "331271766468.34",
+        "valor_contrapartida_convenio": "23709764114.58",
+        "valor_empenhado_convenio": "192064543060.79",
+        "valor_desembolsado_convenio": "153205012397.29",
+    },
+    "balance_observations": {
+        "balance_checksum": "18079072724.97",
+    },
+}
 
 
 def published_baseline(spark: SparkSession) -> DataFrame:
-    rows = [tuple(line.split("|")) for line in BASELINE.strip().splitlines()]
+    rows = [(gate, item, value) for gate, items in BASELINE.items() for item, value in items.items()]
     return spark.createDataFrame(rows, "gate string, item string, baseline string").withColumn(
         "baseline", F.col("baseline").cast(SUM_TYPE))
 

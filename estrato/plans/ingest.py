@@ -25,6 +25,8 @@ class Dataset:
     source_file: str
     table: str
     raw_key: str | None = None
+    multiline: bool = True  # False: no field holds a line end, so that files are split
+
 
 
 class Ledger:
@@ -108,24 +110,20 @@ def ingest_dataset(spark: SparkSession, dataset: Dataset, run_id: str, at: str,
     written: the write observes broken records and the version is only published without any.
     """
     started = time.time()
-    names = D.read_header(spark, dataset.path)
-    found = D.header_findings(names)
-    if found:
-        raise D.ContractError(f"{dataset.path}: {'; '.join(found)}")
-    if not D.invalid_text_lines(spark, dataset.path).isEmpty():
-        raise D.ContractError(f"{dataset.path}: bytes that are not valid UTF-8")
-
-    rows = D.add_lineage(D.read_checked(spark, dataset.path, names), at, run_id, dataset.source_file, sha256)
+    names = D.checked_header(spark, dataset.path, multiline=dataset.multiline)
+    read = D.read_checked(spark, dataset.path, names, multiline=dataset.multiline)
+    rows = D.add_lineage(read, at, run_id, dataset.source_file, sha256)
 
     def check(observed: dict) -> None:
         if observed["broken"]:
             raise D.ContractError(
-                f"{dataset.path}: {observed['broken']} records without {len(names)} fields, e.g. {observed['example']!r}")
+                f"{dataset.path}: {observed['broken']} records without {len(names)} fields, first in "
+                f"{D.first_broken(D.read_checked(spark, dataset.path, names))}")
 
     seen: dict = {}
     version = S.overwrite_snapshot(
         spark, rows, dataset.table, check=lambda o: (seen.update(o), check(o))[1],
-        metrics={"broken": F.count(D.BROKEN), "example": F.min(D.BROKEN)},
+        metrics={"broken": F.count(D.BROKEN)}, drop=[D.BROKEN], rebalance=True,
     )
     return {
         "ingestion_run_id": run_id, "dataset_id": dataset.dataset_id, "source_member_file": dataset.source_file,
@@ -186,8 +184,8 @@ def run(spark: SparkSession, ledger: Ledger, datasets: Sequence[Dataset], contro
             ledger.record(ingest_dataset(spark, dataset, run_id, at, hashes[dataset.dataset_id]))
         except Exception as error:
             ledger.record({"ingestion_run_id": run_id, "dataset_id": dataset.dataset_id, "status": "FAILED",
-                           "error_message": str(error)[:2000]})
-            ledger.finish_run(run_id, at, "FAILED", control, error=str(error)[:2000])
+                           "error_message": str(error)})
+            ledger.finish_run(run_id, at, "FAILED", control, error=str(error))
             raise
 
     after = _marker(spark, control_after or control_path)

@@ -1,16 +1,18 @@
 """Strict reading of semicolon-separated text, with its contract checked on Spark.
 
-Files are checked as DataFrames: one row per finding. A quoted line end keeps a file from being
-split, so one file is one task; feed many files rather than one large one, and the rows are spread
-out again after the read.
+Files are checked as DataFrames: one row per finding, and every file of the input is looked at. A
+quoted line end keeps a file from being split, so one such file is one task; a source whose fields
+hold no line ends says so (``multiline=False``) and its files are split. Rows are spread out again
+when they are written.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,18 +27,68 @@ class ContractError(ValueError):
     """A file does not keep its contract."""
 
 
-def _options(delimiter: str) -> dict[str, str]:
+def _options(delimiter: str, multiline: bool = True, columns: int = 0) -> dict[str, str]:
     return {
-        "sep": delimiter, "quote": '"', "escape": '"', "multiLine": "true", "emptyValue": "",
+        "sep": delimiter, "quote": '"', "escape": '"', "multiLine": str(multiline).lower(), "emptyValue": "",
         "encoding": "UTF-8", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
-        # a record may be wide or long; nothing is cut short
-        "maxColumns": "20480", "maxCharsPerColumn": "-1",
+        # a record may be wide or long; nothing is cut short. `columns` is what the widest line holds
+        "maxColumns": str(max(20480, 2 * columns)), "maxCharsPerColumn": "-1",
     }
 
 
+def line_report(spark: SparkSession, path: str, delimiter: str = DELIMITER) -> DataFrame:
+    """One row per file: its first line, bad lines and the widest one. The text source splits files.
+
+    Columns: file, first_line (byte-order mark removed), invalid_lines (bytes that are not UTF-8),
+    odd_quote_lines (an unbalanced quote: a field goes on in the next line), widest (fields).
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        # place of the line in its file: block, then order within the task that reads the block
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+        "value",
+    )
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    fields = F.length("value") - F.length(F.replace("value", F.lit(delimiter), F.lit(""))) + 1
+    return lines.groupBy("file").agg(
+        F.regexp_replace(F.min_by("value", "place"), "^" + BOM, "").alias("first_line"),
+        F.count_if(~F.is_valid_utf8("value")).alias("invalid_lines"),
+        F.count_if(quotes % 2 == 1).alias("odd_quote_lines"),
+        F.max(fields).alias("widest"),
+    )
+
+
+def _names(line: Column, delimiter: str) -> Column:
+    return F.transform(F.split(line, re.escape(delimiter), -1), lambda n: F.trim(F.regexp_replace(F.trim(n), '^"(.*)"$', "$1")))
+
+
+def file_findings(report: DataFrame, delimiter: str = DELIMITER, multiline: bool = True) -> DataFrame:
+    """(file, finding) for every file whose header differs from the first file's or whose text is broken.
+
+    ``report`` comes from line_report; the first file is the one with the smallest path. Header names
+    are compared one by one, in order, without quotes and outer spaces.
+    """
+    head = report.agg(F.min("file").alias("first_file"), F.min_by("first_line", "file").alias("wanted"))
+    own, wanted = _names(F.col("first_line"), delimiter), _names(F.col("wanted"), delimiter)
+    missing, extra = F.array_except(wanted, own), F.array_except(own, wanted)
+    header = F.when(own == wanted, F.lit(None)).otherwise(F.concat(
+        F.lit("header differs from "), F.col("first_file"), F.lit(": missing ["), F.array_join(missing, ", "),
+        F.lit("], extra ["), F.array_join(extra, ", "), F.lit("]"),
+        F.when((F.size(missing) == 0) & (F.size(extra) == 0), F.lit(", other order or number")).otherwise(F.lit("")),
+    ))
+    invalid = F.when(F.col("invalid_lines") > 0, F.concat(F.col("invalid_lines").cast("string"), F.lit(" lines with bytes that are not valid UTF-8")))
+    quotes = F.when(F.col("odd_quote_lines") > 0, F.concat(F.col("odd_quote_lines").cast("string"), F.lit(" lines with an unbalanced quote")))
+    found = [header, invalid] if multiline else [header, invalid, quotes]
+    # one row against one row per file
+    return report.crossJoin(F.broadcast(head)).select("file", F.explode(F.array_compact(F.array(*found))).alias("finding"))
+
+
 def read_header(spark: SparkSession, path: str, delimiter: str = DELIMITER) -> list[str]:
-    """Column names of the first record, byte-order mark and outer spaces removed. One record travels."""
-    first = spark.read.options(**_options(delimiter), header="false", inferSchema="false").csv(path).limit(1).collect()
+    """Column names of the first record of the first file, mark and outer spaces removed. One record travels."""
+    head = line_report(spark, path, delimiter).agg(F.min("file"), F.max("widest")).first()
+    if head[0] is None:
+        raise ContractError(f"{path} is empty")
+    first = spark.read.options(**_options(delimiter, columns=head[1]), header="false", inferSchema="false").csv(head[0]).limit(1).collect()
     if not first:
         raise ContractError(f"{path} is empty")
     return [(v or "").strip().lstrip(BOM) for v in first[0]]
@@ -59,12 +111,7 @@ def header_findings(names: Sequence[str], reserved: Sequence[str] = LINEAGE) ->
     return found
 
 
-def invalid_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with bytes that are not UTF-8. The text source splits files, so this scan is parallel."""
-    return spark.read.text(path).filter(~F.is_valid_utf8("value")).select(F.input_file_name().alias("file"))
-
-
-def read_checked(spark: SparkSession, path: str, header: Sequence[str], delimiter: str = DELIMITER) -> DataFrame:
+def read_checked(spark: SparkSession, path: str, header: Sequence[str], delimiter: str = DELIMITER, multiline: bool = True) -> DataFrame:
     """All-text rows plus the raw text of records whose width differs from the header (else NULL).
 
     Counting or selecting few columns would let the parser skip the width check, so callers use
@@ -73,17 +120,32 @@ def read_checked(spark: SparkSession, path: str, header: Sequence[str], delimite
     fields = [T.StructField(n, T.StringType(), True) for n in header]
     schema = T.StructType([*fields, T.StructField(BROKEN, T.StringType(), True)])
     return (
-        spark.read.options(**_options(delimiter), header="true", enforceSchema="true", mode="PERMISSIVE",
+        spark.read.options(**_options(delimiter, multiline, len(header)), header="true", enforceSchema="true", mode="PERMISSIVE",
                            columnNameOfCorruptRecord=BROKEN)
         .schema(schema).csv(path)
     )
 
 
+def broken_records(rows: DataFrame) -> DataFrame:
+    """(file, record, broken): the first record of a wrong width of each file and its number, from 1.
+
+    ``rows`` comes from read_checked with multi-line reading, where one task reads a file in order.
+    """
+    columns = [c for c in rows.columns if c != BROKEN]
+    # every column is measured and the result used, so that the parser reads the whole record
+    whole = reduce(lambda x, y: x + y, [F.coalesce(F.length(c), F.lit(0)) for c in columns])
+    placed = rows.select(F.col("_metadata.file_path").alias("file"), BROKEN, whole.alias("__all"), F.monotonically_increasing_id().alias("__at"))
+    first = F.min(F.when(F.col(BROKEN).isNotNull(), F.col("__at")))
+    return placed.groupBy("file").agg(
+        (first - F.min("__at") + 1).alias("record"), F.min_by(BROKEN, F.when(F.col(BROKEN).isNotNull(), F.col("__at"))).alias("broken"), F.max("__all").alias("__longest"),
+    ).filter(F.col("broken").isNotNull() & (F.col("__longest") >= 0)).select("file", "record", "broken")
+
+
 def read_delimited_strict(spark: SparkSession, path: str, header: Sequence[str], delimiter: str = DELIMITER) -> DataFrame:
     """All-text rows; the first record of a wrong width fails the job."""
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in header])
     return (
-        spark.read.options(**_options(delimiter), header="true", enforceSchema="true", mode="FAILFAST")
+        spark.read.options(**_options(delimiter, columns=len(header)), header="true", enforceSchema="true", mode="FAILFAST")
         .schema(schema).csv(path)
     )
 
@@ -104,17 +166,32 @@ def width_report(rows: DataFrame) -> DataFrame:
     )
 
 
-def check_file(spark: SparkSession, path: str, delimiter: str = DELIMITER, reserved: Sequence[str] = LINEAGE) -> dict:
-    """Full contract check: header, text encoding, record widths. Raises ContractError, else a summary."""
+def checked_header(spark: SparkSession, path: str, delimiter: str = DELIMITER, reserved: Sequence[str] = LINEAGE, multiline: bool = True) -> list[str]:
+    """The header that all files of the input share; ContractError names every file that breaks the contract."""
     names = read_header(spark, path, delimiter)
     found = header_findings(names, reserved)
     if found:
         raise ContractError(f"{path}: {'; '.join(found)}")
-    if not invalid_text_lines(spark, path).isEmpty():
-        raise ContractError(f"{path}: bytes that are not valid UTF-8")
-    report = width_report(read_checked(spark, path, names, delimiter)).first()
+    broken = file_findings(line_report(spark, path, delimiter), delimiter, multiline).orderBy("file", "finding")
+    if not broken.isEmpty():
+        summary = broken.groupBy().agg(F.count_distinct("file").alias("files"), F.min(F.struct("file", "finding")).alias("first")).first()
+        raise ContractError(f"{summary['files']} files break the contract; {summary['first']['file']}: {summary['first']['finding']}")
+    return names
+
+
+def first_broken(rows: DataFrame) -> str:
+    """The first record of a wrong width in words; for the message of an error."""
+    row = broken_records(rows).orderBy("file").first()
+    return "" if row is None else f"{row['file']}, record {row['record']}: {row['broken']!r}"
+
+
+def check_file(spark: SparkSession, path: str, delimiter: str = DELIMITER, reserved: Sequence[str] = LINEAGE, multiline: bool = True) -> dict:
+    """Full contract check of all files: header, text encoding, record widths. Raises ContractError, else a summary."""
+    names = checked_header(spark, path, delimiter, reserved, multiline)
+    rows = read_checked(spark, path, names, delimiter)
+    report = width_report(rows).first()
     if report["broken_rows"]:
-        raise ContractError(f"{path}: expected {len(names)} fields, broken record {report['first_broken']!r}")
+        raise ContractError(f"{path}: expected {len(names)} fields, broken record in {first_broken(rows)}")
     return {"columns": names, "logical_rows": report["logical_rows"]}
 
 

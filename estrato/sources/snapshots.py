@@ -7,8 +7,9 @@ version in place. A marker is created only if absent: of two writers one gets th
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -83,18 +84,28 @@ def overwrite_snapshot(
     check: Callable[[dict], None] | None = None,
     metrics: dict | None = None,
     files: int | None = None,
+    drop: Sequence[str] = (),
+    rebalance: bool = False,
+    cluster: Sequence[str] = (),
 ) -> int:
     """Writes a new version and publishes it only if the checks pass; returns the version.
 
     ``metrics`` are aggregates observed while writing, so checks cost no further scan of the
     input. The rows read back from the written files must match what was observed or expected.
+    ``drop`` are columns that only the metrics need. ``rebalance`` deals the rows into files of
+    even size, ``cluster`` also keeps rows of near values of these columns together, so that
+    filters on them skip files.
     """
     version = _next_version(spark, table)
     seen = Observation()
     aggregates = [F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (metrics or {}).items()]]
-    out = df.observe(seen, *aggregates)
-    if metrics and "__broken_record" in df.columns:
-        out = out.drop("__broken_record")
+    # rows are dealt before they are counted: finding the ranges reads a sample of its input
+    out = df
+    if cluster:
+        out = out.repartitionByRange(*[F.col(c) for c in cluster]).sortWithinPartitions(*cluster)
+    elif rebalance:
+        out = out.hint("rebalance")
+    out = out.observe(seen, *aggregates).drop(*drop)
     if files is not None:
         out = out.coalesce(files)
     out.write.mode("errorifexists").parquet(version_path(table, version))
@@ -129,13 +140,13 @@ def ensure_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
         return
     try:
         read_snapshot(spark, table).limit(1).collect()
-    except (PySparkException, SnapshotError, Exception) as error:  # noqa: B014
+    except (PySparkException, SnapshotError, Py4JError) as error:
         raise SnapshotError(f"{table} exists but cannot be read; it is left untouched") from error
 
 
-def materialize(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
+def materialize(spark: SparkSession, df: DataFrame, table: str, cluster: Sequence[str] = ()) -> DataFrame:
     """Writes a model and continues from the written table, which cuts its lineage."""
-    overwrite_snapshot(spark, df, table)
+    overwrite_snapshot(spark, df, table, cluster=cluster)
     return read_snapshot(spark, table)
 
 

@@ -8,6 +8,7 @@ from estrato.operators import quality as Q
 from estrato.operators import relational as J
 from estrato.operators.quality import Contract
 from estrato.plans import checks as C
+from estrato.plans import layers as L
 from estrato.plans import records as R
 from suite import oracle_tables as T
 from suite.layers import gold, mart, raw, silver
@@ -108,8 +109,10 @@ def register(reg: Registry) -> None:
     reg.add(
         "contract_on_line_items",
         lambda s, d: Q.check_contract(
-            {"lineitem": table(s, d, "lineitem"), "part": table(s, d, "part").filter("p_size > 10")}, "lineitem", broken),
-        " UNION ALL ".join(contract_sql("lineitem", "", broken)).replace("FROM part", "FROM (SELECT * FROM part WHERE p_size > 10)"),
+            {"lineitem": table(s, d, "lineitem"), "part": table(s, d, "part").withColumn("p_partkey", F.col("p_partkey") + 5)}, "lineitem", broken),
+        " UNION ALL ".join(contract_sql("lineitem", "", broken)).replace(
+            "FROM part", "FROM (SELECT p_partkey + 5 AS p_partkey FROM part)").replace(
+            "p_partkey AS k FROM part", "p_partkey AS k FROM (SELECT p_partkey + 5 AS p_partkey FROM part)"),
     )
     reg.add("rows_with_null", lambda s, d: Q.null_rows(silver(s, d)["proposta"], "modalidade").select("id_proposta", "numero_proposta"),
             "SELECT id_proposta, numero_proposta FROM silver_proposta WHERE modalidade IS NULL")
@@ -128,16 +131,18 @@ def register(reg: Registry) -> None:
             """SELECT numero_convenio, count(*) AS n_tuples FROM (SELECT DISTINCT numero_convenio, valor_saldo_conta FROM silver_convenio)
             GROUP BY ALL HAVING count(*) > 1""")
     reg.add("conflict_flag_consistency",
-            lambda s, d: silver(s, d)["convenio"].groupBy("has_source_conflict").agg(
-                F.count("*").alias("n_rows"), F.count_if((F.col("source_conflict_count") > 1) != F.col("has_source_conflict")).alias("n_odd")),
-            """SELECT has_source_conflict, count(*) AS n_rows, count(*) FILTER (WHERE (source_conflict_count > 1) <> has_source_conflict) AS n_odd
-            FROM silver_convenio GROUP BY ALL""")
+            # the flags of one row in seven are turned round, so that there is something to find
+            lambda s, d: Q.inconsistent_flags(silver(s, d)["convenio"].withColumn(
+                "flag", F.col("has_source_conflict") != (F.col("id_proposta") % 7 == 0)), "source_conflict_count", "flag").groupBy("flag").agg(F.count("*").alias("n_odd")),
+            """SELECT flag, count(*) AS n_odd FROM (SELECT *, has_source_conflict <> (id_proposta % 7 = 0) AS flag FROM silver_convenio)
+            WHERE (source_conflict_count > 1) <> flag GROUP BY ALL""")
     reg.add("conflicting_observations", lambda s, d: C.conflict_listing(silver(s, d)),
             "SELECT numero_convenio, id_convenio_observacao, valor_saldo_conta, source_conflict_count FROM silver_convenio WHERE has_source_conflict")
     reg.add("presence_flag_of_mart",
-            lambda s, d: mart(s, d, ["tem_convenio", "numero_convenio"]).groupBy("tem_convenio").agg(
-                F.count("*").alias("n_rows"), F.count("numero_convenio").alias("n_agreements")),
-            "SELECT tem_convenio, count(*) AS n_rows, count(numero_convenio) AS n_agreements FROM mart GROUP BY ALL")
+            lambda s, d: Q.inconsistent_presence(mart(s, d, ["id_proposta", "tem_convenio", "numero_convenio"]).withColumn(
+                "flag", F.col("tem_convenio") != (F.col("id_proposta") % 7 == 0)), "flag", "numero_convenio").groupBy("flag").agg(F.count("*").alias("n_odd")),
+            """SELECT flag, count(*) AS n_odd FROM (SELECT *, tem_convenio <> (id_proposta % 7 = 0) AS flag FROM mart)
+            WHERE flag <> (numero_convenio IS NOT NULL) GROUP BY ALL""")
     # conflicts on real name clashes: customers and suppliers described per nation
     roles = lambda s, d: {
         "customer": (table(s, d, "customer"), "c_nationkey", "c_mktsegment"),
@@ -187,7 +192,8 @@ def register(reg: Registry) -> None:
         ("programa_proposta->proposta unexpected", "0", unexpected("silver_programa_proposta", "silver_proposta")),
         ("proposta without programa", unlinked("raw_proposta", "raw_programa_proposta", "ID_PROPOSTA"), unlinked("silver_proposta", "silver_programa_proposta", "id_proposta")),
     ]))
-    raw_money = lambda t, c: f"SELECT coalesce(sum(TRY_CAST(replace({c}, ',', '.') AS DECIMAL(38,2))), 0) FROM raw_{t}"
+    raw_money = lambda t, c: (
+        f"SELECT coalesce(sum(TRY_CAST(CASE WHEN contains({c}, ',') THEN replace(replace({c}, '.', ''), ',', '.') ELSE {c} END AS DECIMAL(38,2))), 0) FROM raw_{t}")
     reg.add("gate_money", lambda s, d: C.raw_money(raw(s, d), silver(s, d)), gate_sql("money", [
         (sv, raw_money(t, rw), money(f"silver_{t}", sv)) for t, cols in C.RAW_MONEY.items() for rw, sv in cols.items()
     ]))
@@ -204,6 +210,27 @@ def register(reg: Registry) -> None:
         f"{sql_kind[f.kind](f.source)} IS NULL) AS lost_rows, count(*) AS total_rows FROM raw_{t}"
         for t, (layout, _) in layouts.items() for f in layout if f.kind in sql_kind
     ))
+    # one column within its allowance, one above it, the others without any
+    allowed = {"proposta.ano_proposta": 0.05, "convenio.is_opera_obtv": 0.01}
+    share = " ".join(f"WHEN '{k}' THEN {v}" for k, v in allowed.items())
+    reg.add("gate_parse_losses", lambda s, d: C.parse_losses_gate(raw(s, d), allowed), "SELECT 'parse_losses' AS gate, item, expected, actual, "
+            "CAST(actual - expected AS DECIMAL(38,2)) AS diff, CASE WHEN actual <= expected THEN 'PASS' ELSE 'FAIL' END AS status FROM ("
+            + " UNION ALL ".join(
+                f"SELECT '{t}.{f.name}' AS item, CAST(floor(CASE '{t}.{f.name}' {share} ELSE 0 END * count(*)) AS DECIMAL(38,2)) AS expected, "
+                f"CAST(count(*) FILTER (WHERE {T.clean(f.source)} IS NOT NULL AND {sql_kind[f.kind](f.source)} IS NULL) AS DECIMAL(38,2)) AS actual FROM raw_{t}"
+                for t, (layout, _) in layouts.items() for f in layout if f.kind in sql_kind) + ")")
+    # an amount written with a dot between thousands: the typed side drops it, the raw side does not
+    def thousands(s, d):
+        damaged = raw(s, d)["convenio"].withColumn("VL_GLOBAL_CONV", F.when(F.col("NR_CONVENIO").endswith("7"), "1.234,56").otherwise(F.col("VL_GLOBAL_CONV")))
+        return C.raw_money({"convenio": damaged, "proposta": raw(s, d)["proposta"]}, {**silver(s, d), "convenio": L.silver_tables({**raw(s, d), "convenio": damaged})["convenio"]})
+
+    spoiled = "CASE WHEN NR_CONVENIO LIKE '%7' THEN '1.234,56' ELSE VL_GLOBAL_CONV END"
+    reg.add("gate_money_with_thousands", thousands, gate_sql("money", [
+        ("valor_global_convenio",
+         f"SELECT coalesce(sum(TRY_CAST(CASE WHEN contains(v, ',') THEN replace(replace(v, '.', ''), ',', '.') ELSE v END AS DECIMAL(38,2))), 0) FROM (SELECT {spoiled} AS v FROM raw_convenio)",
+         f"SELECT coalesce(sum({T.money('v')}), 0) FROM (SELECT {spoiled} AS v FROM raw_convenio)"),
+        *[(sv, raw_money(t, rw), money(f"silver_{t}", sv)) for t, cols in C.RAW_MONEY.items() for rw, sv in cols.items() if rw != "VL_GLOBAL_CONV"],
+    ]))
 
     # silver -> gold gates
     codes = " UNION ".join(sql.replace(", descricao_orgao_superior_programa AS l", "").replace(", descricao_orgao_superior AS l", "").replace(", descricao_orgao AS l", "") for sql in ROLES_SQL.values())

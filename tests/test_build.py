@@ -8,6 +8,9 @@ from estrato.plans import layers as L
 from suite.raw_tables import raw_tables
 
 SF = "/root/testdata/sf0.001"
+# the derived raw tables hold impossible dates and broken numbers on purpose
+ALLOWED = {"proposta.ano_proposta": 0.05, "proposta.data_proposta": 0.05,
+           "convenio.dias_prestacao_contas": 0.2, "convenio.valor_saldo_remanescente_convenente": 0.05}
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +18,14 @@ def clean_raw(spark):
     """The derived raw tables with links that name existing proposals, each once."""
     raw = dict(raw_tables(spark, SF))
     raw["programa_proposta"] = raw["programa_proposta"].filter(F.col("ID_PROPOSTA").cast("bigint") < 900000000).distinct()
+    # "NAO" is no flag value, and the silver contract wants one on every row
+    raw["convenio"] = raw["convenio"].withColumn("IND_OPERA_OBTV", F.regexp_replace("IND_OPERA_OBTV", "^NAO$", "NÃO"))
     return raw
 
 
 @pytest.fixture(scope="module")
 def built(spark, clean_raw, tmp_path_factory):
-    return BUILD.build_all(spark, clean_raw, str(tmp_path_factory.mktemp("layers")))
+    return BUILD.build_all(spark, clean_raw, str(tmp_path_factory.mktemp("layers")), allowed_losses=ALLOWED)
 
 
 def test_all_gates_pass_and_a_second_build_is_the_same(spark, built, clean_raw, tmp_path):
@@ -68,3 +73,46 @@ def test_orphan_set_equality(spark, built):
     silver = {**built["silver"], "programa_proposta": spark.createDataFrame([(1, -5), (1, -6), (1, 1)], "id_programa bigint, id_proposta bigint")}
     assert C.orphan_set_equality(silver, [-5, -6], spark).isEmpty()
     assert {(r["id_proposta"], r["side"]) for r in C.orphan_set_equality(silver, [-5, -7], spark).collect()} == {(-6, "unexpected"), (-7, "missing")}
+
+
+def test_an_amount_that_the_parser_drops_fails_the_money_gate_and_the_loss_gate(spark, clean_raw, built):
+    damaged = {**clean_raw, "convenio": clean_raw["convenio"].withColumn(
+        "VL_GLOBAL_CONV", F.when(F.col("NR_CONVENIO") == F.lit(clean_raw["convenio"].first()["NR_CONVENIO"]), "1.234,56").otherwise(F.col("VL_GLOBAL_CONV")))}
+    silver = {**built["silver"], "convenio": L.silver_tables(damaged)["convenio"]}
+    failed = {r["item"] for r in C.raw_money(damaged, silver).collect() if r["status"] == "FAIL"}
+    assert failed == {"valor_global_convenio"}
+    lost = {r["item"] for r in C.parse_losses_gate(damaged, ALLOWED).collect() if r["status"] == "FAIL"}
+    assert lost == {"convenio.valor_global_convenio"}
+    assert {r["status"] for r in C.parse_losses_gate(clean_raw, ALLOWED).collect()} == {"PASS"}
+    with pytest.raises(BUILD.GateFailure, match="parse_losses: convenio.dias_prestacao_contas"):
+        BUILD.require(spark, C.raw_to_silver_gates(clean_raw, built["silver"]))
+
+
+def test_a_wrong_or_missing_date_key_fails_the_mapping_gate(built):
+    fact = built["gold"]["fct_proposta"]
+    wrong = fact.withColumn("data_proposta_sk", F.when(F.col("id_proposta") == 3, F.lit(20000101)).otherwise(F.col("data_proposta_sk")))
+    for broken in (wrong, fact.filter("id_proposta <> 3"), fact.union(wrong.filter("id_proposta = 3"))):
+        rows = C.date_mapping_gate(built["silver"], {**built["gold"], "fct_proposta": broken}).collect()
+        assert "fct_proposta.data_proposta_sk" in {r["item"] for r in rows if r["status"] == "FAIL"}
+    assert {r["status"] for r in C.date_mapping_gate(built["silver"], built["gold"]).collect()} == {"PASS"}
+
+
+def test_a_broken_contract_fails_the_build_gates(spark, built):
+    doubled = built["gold"]["dim_proponente"].union(built["gold"]["dim_proponente"].limit(1))
+    with pytest.raises(BUILD.GateFailure, match="gold_contracts: dim_proponente unique"):
+        BUILD.require(spark, {"c": lambda: C.contracts_gate({**built["gold"], "dim_proponente": doubled}, C.GOLD_CONTRACTS, "gold")})
+
+
+def test_baseline_mode_of_the_build(spark, clean_raw, tmp_path):
+    with pytest.raises(BUILD.GateFailure, match="row_counts: proposta"):
+        BUILD.build_all(spark, clean_raw, str(tmp_path), allowed_losses=ALLOWED, baseline=C.published_baseline(spark))
+
+
+def test_schema_location_gate(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS placed")
+    from estrato.sources.catalog import schema_location
+
+    place = schema_location(spark, "placed")
+    assert [r["status"] for r in C.location_gate(spark, "placed", place).collect()] == ["PASS"]
+    assert [r["status"] for r in C.location_gate(spark, "placed", place + "/elsewhere").collect()] == ["FAIL"]
+    spark.sql("DROP SCHEMA placed")

@@ -13,7 +13,8 @@ NAMES = [
     "proposals_and_agreements_by_year", "semantic_view", "silver_convenio", "gold_dim_orgao", "metrics_by_uf",
     "chart_agreements_by_body", "filter_selector_values", "gate_key_uniqueness", "gate_agreement_money",
     "contract_on_line_items", "profile_columns_convenio", "agreement_column_stability", "money_inflation",
-    "two_row_agreement_differences", "ledger_active_snapshots", "ledger_retention_plan", "fn_dates", "salted_left_join",
+    "two_row_agreement_differences", "gate_money", "gate_money_with_thousands", "gate_parse_losses", "gate_date_mapping", "conflict_flag_consistency",
+    "presence_flag_of_mart", "ledger_active_snapshots", "ledger_retention_plan", "fn_dates", "salted_left_join",
 ]
 
 

@@ -191,3 +191,74 @@ def test_ingest_run(spark, tmp_path):
     assert I.apply_retention(spark, ledger, raw, "r3", "now") == "EXECUTED"
     assert I.apply_retention(spark, ledger, raw, "r3", "now") == "NOOP"
     assert I.apply_retention(spark, ledger, raw, "r5", "now") == "SKIPPED"
+
+
+# ---- several files of one input ------------------------------------------------------------------------
+
+def _three(tmp_path, second):
+    for name, text in (("a.csv", "ID;VAL\n1;x\n"), ("b.csv", second), ("c.csv", "﻿ID;VAL\n5;z\n")):
+        (tmp_path / name).write_bytes(text.encode() if isinstance(text, str) else text)
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize(
+    ("second", "message"),
+    [
+        ("VAL;ID\nx;3\n", "other order"),
+        ("ID\n3\n", r"missing \[VAL\]"),
+        ("ID;VAL;MORE\n3;x;y\n", r"extra \[MORE\]"),
+        (b"ID;VAL\n3;\x80\x81\n", "not valid UTF-8"),
+        ("ID;VAL\n3;x\n4;y\n5\n6;w\n", r"b.csv, record 3: '5'"),
+    ],
+)
+def test_every_file_keeps_the_contract(spark, tmp_path, second, message):
+    path = _three(tmp_path / "in" if (tmp_path / "in").mkdir() is None else tmp_path, second)
+    dataset = I.Dataset("d", path, "d.csv", str(tmp_path / "table"))
+    with pytest.raises(D.ContractError, match=message):
+        I.ingest_dataset(spark, dataset, "r", "t", "0" * 64)
+    assert S.current_version(spark, dataset.table) is None
+
+
+def test_quoted_names_and_marks_in_later_files_are_no_difference(spark, tmp_path):
+    assert D.check_file(spark, _three(tmp_path, '﻿"ID" ; VAL\n3;"a\nb"\n')) == {"columns": ["ID", "VAL"], "logical_rows": 3}
+
+
+def test_files_without_line_ends_in_fields_are_split_and_checked_for_quotes(spark, tmp_path):
+    path = tmp_path / "big.csv"
+    path.write_text("ID;VAL\n" + "".join(f"{k};{'v' * 200}{k}\n" for k in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        rows = D.read_checked(spark, str(path), ["ID", "VAL"], multiline=False)
+        assert rows.rdd.getNumPartitions() > 2 and sum(1 for r in rows.toLocalIterator() if r["VAL"].startswith("v")) == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    path.write_text('ID;VAL\n1;"a\nb"\n')
+    with pytest.raises(D.ContractError, match="unbalanced quote"):
+        D.checked_header(spark, str(path), multiline=False)
+
+
+def test_one_input_file_becomes_several_output_files(spark, tmp_path):
+    path = tmp_path / "big.csv"
+    path.write_text("ID;VAL\n" + "".join(f"{k};{hash(str(k))}{'v' * 100}{k * 7}\n" for k in range(30_000)))
+    sizes = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    for key in sizes:
+        spark.conf.set(key, "50k")
+    try:
+        dataset = I.Dataset("d", str(path), "d.csv", str(tmp_path / "table"))
+        I.ingest_dataset(spark, dataset, "r", "t", "0" * 64)
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+    assert len(S.read_snapshot(spark, dataset.table).inputFiles()) > 1
+
+
+def test_control_timestamp_does_not_depend_on_the_session_zone(spark):
+    from estrato.functions import parse_control_timestamp
+
+    rows = spark.createDataFrame([("16/10/2011 00:30:00",), ("31/02/2026 10:00:00",), ("1/2/2020 10:00:00",), (" ",), ("16/10/2011 24:00:00",)], "t string")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        found = [r[0] for r in rows.select(parse_control_timestamp("t").cast("string")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == ["2011-10-16 00:30:00", None, None, None, None]
