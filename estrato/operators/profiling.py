@@ -1,15 +1,16 @@
 """Table profiles: columns, candidate keys, functional dependencies, duplicates, dates, lineage.
 
-The wide profiles turn columns into (column, value) pairs and count each pair inside the tasks
-first. That is one scan for any number of columns, without the row expansion that several
-``count(distinct)`` in one aggregate would cause, and a value shared by most rows stays cheap.
+Counts, lengths and smallest and largest values of any number of columns come from one plain
+aggregate. Only what needs distinct values turns columns into (column, value) pairs, counted inside
+the tasks first, so a value shared by most rows stays cheap; long text takes part by its digest and
+never is a grouping key itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -27,39 +28,46 @@ def as_pairs(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), ca
     )
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], cast: str | None = "string") -> DataFrame:
-    return as_pairs(df, columns, cast=cast).groupBy("column_name", "value").agg(F.count("*").alias("n"))
+def value_key(value: Column) -> Column:
+    """The value itself, or a 256-bit digest of text longer than that (marked, so the two never meet)."""
+    return F.when(F.length(value) > 64, F.concat(F.lit("#"), F.sha2(value, 256))).otherwise(value)
+
+
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, key, n): rows per value of every column; NULL is a value."""
+    pairs = as_pairs(df, columns).select("column_name", value_key(F.col("value")).alias("key"))
+    return pairs.groupBy("column_name", "key").agg(F.count("*").alias("n"))
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: rows, NULLs, empty or blank, blank-only, distinct values, length range, percentages."""
     columns = list(columns or df.columns)
-    counts = value_counts(df, columns)
-    n, value = F.col("n"), F.col("value")
-    zero = F.lit(0).cast("bigint")
-    where = lambda condition: F.coalesce(F.sum(F.when(condition, n)), zero)
-    stats = counts.groupBy("column_name").agg(
-        F.sum(n).alias("total_rows"),
-        where(value.isNull()).alias("null_count"),
-        where(value.isNotNull() & (F.trim(value) == "")).alias("empty_count"),
-        where(is_blank_only(value)).alias("blank_count"),
-        F.count(value).alias("distinct_count"),
-        F.min(F.length(value)).alias("min_length"),
-        F.max(F.length(value)).alias("max_length"),
+    text = [F.col(c).cast("string") for c in columns]
+    counted = {
+        "total_rows": lambda v: F.count("*"),
+        "null_count": lambda v: F.count_if(v.isNull()),
+        "empty_count": lambda v: F.count_if(v.isNotNull() & (F.trim(v) == "")),
+        "blank_count": lambda v: F.count_if(F.coalesce(is_blank_only(v), F.lit(False))),
+        "min_length": lambda v: F.min(F.length(v)),
+        "max_length": lambda v: F.max(F.length(v)),
+    }
+    wide = df.agg(*[f(v).alias(f"{n}_{i}") for i, v in enumerate(text) for n, f in counted.items()])
+    rows = [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{n}_{i}").alias(n) for n in counted]) for i, c in enumerate(columns)]
+    stats = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*").filter(F.col("total_rows") > 0)
+    distinct = value_counts(df, columns).groupBy("column_name").agg(F.count("key").alias("distinct_count"))
+    return stats.join(F.broadcast(distinct), "column_name").select(  # one row per profiled column on both sides
+        "column_name", "total_rows", "null_count", "empty_count", "blank_count", "distinct_count", "min_length", "max_length",
+        F.round(F.col("null_count") / F.col("total_rows") * 100.0, 4).alias("null_pct"),
+        F.round(F.col("distinct_count") / F.col("total_rows") * 100.0, 4).alias("distinct_pct"),
     )
-    return stats.withColumns({
-        "null_pct": F.round(F.col("null_count") / F.col("total_rows") * 100.0, 4),
-        "distinct_pct": F.round(F.col("distinct_count") / F.col("total_rows") * 100.0, 4),
-    })
 
 
 def top_values(df: DataFrame, columns: Sequence[str], max_distinct: int = 35, top: int = 10) -> DataFrame:
     """Most frequent values (NULL included) of columns with few distinct values; ties by value."""
-    counts = value_counts(df, columns)
-    few = counts.groupBy("column_name").agg(F.count("value").alias("__d")).filter(F.col("__d") <= max_distinct)
-    shown = counts.join(F.broadcast(few), "column_name").select(  # one row per profiled column
-        "column_name", F.coalesce(F.col("value"), F.lit(CONCAT_NULL)).alias("value"), "n"
-    )
+    few = value_counts(df, columns).groupBy("column_name").agg(F.count("key").alias("__d")).filter(F.col("__d") <= max_distinct)
+    # values travel only for the columns that turned out to have few; the list has a row per profiled column
+    shown = as_pairs(df, columns).join(F.broadcast(few.select("column_name")), "column_name").groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    shown = shown.select("column_name", F.coalesce(F.col("value"), F.lit(CONCAT_NULL)).alias("value"), "n")
     # at most max_distinct + 1 rows per column are left at this point
     rank = F.row_number().over(W.partitionBy("column_name").orderBy(F.desc("n"), F.asc("value")))
     return shown.withColumn("rank", rank).filter(F.col("rank") <= top)
@@ -120,39 +128,48 @@ def dependency(
 ) -> DataFrame:
     """key -> attribute, for many attributes at once: keys with several values, and the most values.
 
-    Rows collapse to distinct (key, attributes) tuples in one shuffle keyed by the whole tuple. A
-    key with a single tuple has a single value everywhere, so only keys with several tuples are
-    looked at column by column, however large the table is.
+    One aggregate by key holds the smallest and largest value and the NULLs of every attribute, which
+    tells whether it varies; rows are not expanded. Distinct values are counted only where they vary:
+    a row of such a key yields one pair per varying attribute.
     """
-    tuples = _tuples(df, keys, attributes, null_keys)
-    per_key = key_counts(tuples, keys, "__n")
+    rows = df.select(*keys, *attributes)
+    if not null_keys:
+        for k in keys:
+            rows = rows.filter(F.col(k).isNotNull())
+
+    def varies(a: str) -> Column:
+        several = F.coalesce(F.min(a) != F.max(a), F.lit(False))
+        return several | ((F.count(a) > 0) & (F.count(a) < F.count("*"))) if null_is_value else several
+
+    per_key = rows.groupBy(*keys).agg(
+        F.array_compact(F.array(*[F.when(varies(a), F.lit(a)) for a in attributes])).alias("__varying"),
+        *[(F.count(a) > 0).cast("int").alias(f"__has_{i}") for i, a in enumerate(attributes)],
+    )
+    wide = per_key.agg(
+        F.count("*").alias("total_keys"),
+        *[F.count_if(F.array_contains("__varying", a)).alias(f"m{i}") for i, a in enumerate(attributes)],
+        *[F.max(f"__has_{i}").alias(f"h{i}") for i in range(len(attributes))],
+    )
+    # values an attribute shows per key when none varies: 1, or 0 where NULL is no value and all are NULL
+    totals = wide.select("total_keys", F.explode(F.array(*[
+        F.struct(F.lit(a).alias("column_name"), F.col(f"m{i}").alias("__multiple"),
+                 (F.when(F.col("total_keys") > 0, 1) if null_is_value else F.col(f"h{i}")).alias("__base"))
+        for i, a in enumerate(attributes)])).alias("r")).select("total_keys", "r.*")
     marks = [f"__k{i}" for i in range(len(keys))]
-    several = per_key.filter(F.col("__n") > 1).select(*[F.col(k).alias(m) for k, m in zip(keys, marks)])
-    open_tuples = tuples.join(several, null_safe_match(tuples, several, list(zip(keys, marks))), "left_semi")
+    several = per_key.filter(F.size("__varying") > 0).select(*[F.col(k).alias(m) for k, m in zip(keys, marks)], "__varying")
+    open_rows = rows.join(several, null_safe_match(rows, several, list(zip(keys, marks))))
+    pairs = F.array(*[F.struct(F.lit(a).alias("column_name"), value_key(F.col(a).cast("string")).alias("value")) for a in attributes])
     counted = F.count("*") if null_is_value else F.count("value")
-    varying = (
-        as_pairs(open_tuples, attributes, keys)
-        .distinct()
-        .groupBy(*keys, "column_name")
-        .agg(counted.alias("__values"))
-        .groupBy("column_name")
-        .agg(F.count_if(F.col("__values") > 1).alias("__multiple"), F.max("__values").alias("__max"))
+    most = (
+        open_rows.select(*keys, F.explode(F.filter(pairs, lambda p: F.array_contains("__varying", p["column_name"]))).alias("__p"))
+        .select(*keys, "__p.*").distinct().groupBy(*keys, "column_name").agg(counted.alias("__values"))
+        .groupBy("column_name").agg(F.max("__values").alias("__max"))
     )
-    totals = per_key.agg(F.count("*").alias("total_keys")).select(
-        "total_keys", F.explode(F.array(*[F.lit(a) for a in attributes])).alias("column_name")
-    )
-    # values a column shows per key when none varies: 1, or 0 where NULL is no value and all are NULL
-    if null_is_value:
-        base = totals.withColumn("__base", F.when(F.col("total_keys") > 0, 1))
-    else:
-        present = tuples.agg(*[F.max(F.col(a).isNotNull().cast("int")).alias(a) for a in attributes])
-        base = totals.join(present.unpivot([], list(attributes), "column_name", "__base"), "column_name")
-    zero = F.lit(0).cast("bigint")
-    result = base.join(varying, "column_name", "left").select(
+    result = totals.join(F.broadcast(most), "column_name", "left").select(  # one row per attribute on both sides
         "column_name",
         "total_keys",
-        (F.col("total_keys") - F.coalesce(F.col("__multiple"), zero)).alias("single_keys"),
-        F.coalesce(F.col("__multiple"), zero).alias("multiple_keys"),
+        (F.col("total_keys") - F.col("__multiple")).alias("single_keys"),
+        F.col("__multiple").alias("multiple_keys"),
         F.greatest(F.col("__base").cast("bigint"), F.col("__max")).alias("max_values"),
     )
     pct = F.round(F.try_divide(F.col("multiple_keys"), F.col("total_keys")) * 100.0, digits)
@@ -254,7 +271,7 @@ def pair_summary(df: DataFrame, key: str, columns: Sequence[str], lineage: Seque
 
 def date_profile(df: DataFrame, columns: Sequence[str], first_year: int = 1990, last_year: int = 2050) -> DataFrame:
     """Per date column: NULLs, range, distinct years, rows before and after the window. One scan."""
-    counts = value_counts(df, columns, cast="date")
+    counts = as_pairs(df, columns, cast="date").groupBy("column_name", "value").agg(F.count("*").alias("n"))
     year, n = F.year("value"), F.col("n")
     # a date column holds few distinct days, so the second step works on a small table
     by_year = counts.groupBy("column_name", year.alias("__year")).agg(
