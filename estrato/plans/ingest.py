@@ -7,6 +7,7 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ class Ledger:
         return L.active_snapshots(self.runs(), self.manifest())
 
     def _write(self, df: DataFrame, path: str) -> None:
-        S.overwrite_snapshot(self.spark, df, path, files=1)
+        S.overwrite_snapshot(self.spark, df, path, rebalance=True)
 
     def _put_run(self, row: Mapping) -> None:
         new = self.spark.createDataFrame([tuple(row.get(n) for n in L.RUNS_SCHEMA.names)], L.RUNS_SCHEMA)
@@ -138,10 +139,25 @@ def _registry(spark: SparkSession, datasets: Sequence[Dataset]) -> DataFrame:
     return spark.createDataFrame([(d.dataset_id, d.table) for d in datasets], "dataset_id string, table_name string")
 
 
-def _table_sizes(spark: SparkSession, datasets: Sequence[Dataset]) -> DataFrame:
+def active_version(spark: SparkSession, ledger: Ledger, dataset: Dataset) -> int | None:
+    """Version that the latest successful run published; a later run that failed does not count."""
+    row = ledger.active().filter(F.col("dataset_id") == dataset.dataset_id).select("delta_version").first()
+    return None if row is None else row["delta_version"]
+
+
+def active_table(spark: SparkSession, ledger: Ledger, dataset: Dataset) -> DataFrame:
+    version = active_version(spark, ledger, dataset)
+    if version is None:
+        raise S.SnapshotError(f"{dataset.dataset_id} has no active version")
+    return S.read_snapshot(spark, dataset.table, version)
+
+
+def _table_sizes(spark: SparkSession, ledger: Ledger, datasets: Sequence[Dataset]) -> DataFrame:
+    """Rows of each dataset's active version; datasets without one are left out."""
+    versions = {r["dataset_id"]: r["delta_version"] for r in ledger.active().select("dataset_id", "delta_version").collect()}
     sizes = [
-        (d.dataset_id, d.table, S.read_snapshot(spark, d.table).count())
-        for d in datasets if S.current_version(spark, d.table) is not None
+        (d.dataset_id, d.table, S.read_snapshot(spark, d.table, versions[d.dataset_id]).count())
+        for d in datasets if versions.get(d.dataset_id) in S.published_versions(spark, d.table)
     ]
     return spark.createDataFrame(sizes, "dataset_id string, table_name string, n_rows bigint")
 
@@ -157,7 +173,7 @@ def run(spark: SparkSession, ledger: Ledger, datasets: Sequence[Dataset], contro
     control = _marker(spark, control_path)
     registry = _registry(spark, datasets)
     last = L.last_successful_run(ledger.runs())
-    sizes = _table_sizes(spark, datasets)
+    sizes = _table_sizes(spark, ledger, datasets)
     active = ledger.active()
     inventory = FS.raw_inventory(spark, raw_folder) if raw_folder else active.select(F.col("raw_s3_key").alias("raw_key"))
     broken = L.local_state(registry, sizes.drop("dataset_id"), active, inventory)
@@ -167,10 +183,7 @@ def run(spark: SparkSession, ledger: Ledger, datasets: Sequence[Dataset], contro
         ledger.finish_run(run_id, at, "NO_CHANGE", control, len(datasets))
         return "NO_CHANGE"
 
-    digests = {d.dataset_id: FS.file_digests(spark, d.path).agg(
-        F.sha2(F.concat_ws("", F.sort_array(F.collect_list("sha256"))), 256).alias("h"),
-        F.max("sha256").alias("one"), F.count("*").alias("n")).first() for d in datasets}
-    hashes = {k: (v["one"] if v["n"] == 1 else v["h"]) for k, v in digests.items()}
+    hashes = {d.dataset_id: FS.text_fingerprint(spark, d.path).first()[0] for d in datasets}
     incoming = spark.createDataFrame(list(hashes.items()), "dataset_id string, source_sha256 string")
     plan = {r["dataset_id"]: r for r in L.reuse_candidates(incoming, active, sizes.filter("n_rows > 0"), force).collect()}
     known = {r["dataset_id"]: r.asDict() for r in active.collect()}  # one row per registered dataset
@@ -178,7 +191,8 @@ def run(spark: SparkSession, ledger: Ledger, datasets: Sequence[Dataset], contro
         choice = plan[dataset.dataset_id]
         if choice["action"] == "REUSE":
             ledger.record({**known[dataset.dataset_id], "ingestion_run_id": run_id, "reuse_reason": choice["reuse_reason"],
-                           "original_run_id": choice["original_run_id"]})
+                           "original_run_id": choice["original_run_id"], "retrieved_at_utc": at, "duration_seconds": 0.0,
+                           "retention_status": "ACTIVE", "retention_deleted_at_utc": None, "error_message": None})
             continue
         try:
             ledger.record(ingest_dataset(spark, dataset, run_id, at, hashes[dataset.dataset_id]))
@@ -211,21 +225,19 @@ def apply_retention(spark: SparkSession, ledger: Ledger, raw_folder: str, run_id
     if good.isEmpty():
         return "SKIPPED"
     plan = L.retention_plan(ledger.runs(), ledger.manifest(), FS.raw_inventory(spark, raw_folder), keep)
-    candidates = plan.filter(F.col("action") == "CANDIDATE").select("raw_key")
-    deleted, failed, total = [], 0, 0
-    for row in candidates.toLocalIterator():  # one name at a time, however many there are
-        total += 1
-        if dry_run:
-            continue
-        try:
-            gone = S.delete_exact(spark, row["raw_key"], raw_folder)
-        except Exception:  # noqa: BLE001  one file that cannot be deleted does not stop the others
-            gone = False
-        failed += not gone
-        if gone:
-            deleted.append((row["raw_key"],))
-    if deleted:
-        ledger.mark_deleted(spark.createDataFrame(deleted, "raw_s3_key string"), at)
-    status = L.retention_status(total, failed, dry_run)
+    candidates = plan.filter(F.col("action") == "CANDIDATE").select("raw_key").distinct()
+    if dry_run:
+        status = L.retention_status(candidates.count(), 0, True)
+    else:
+        candidates = S.materialize(spark, candidates, f"{ledger.runs_path}_retention_{run_id}")  # the plan as it was before
+        for row in candidates.toLocalIterator():  # one name at a time, however many there are
+            try:
+                S.delete_exact(spark, row["raw_key"], raw_folder)
+            except (ValueError, Py4JError):  # what cannot be deleted is found below and does not stop the others
+                continue
+        # what is gone is what the folder no longer lists
+        left = FS.raw_inventory(spark, raw_folder).select("raw_key")
+        ledger.mark_deleted(candidates.join(left, "raw_key", "left_anti").select(F.col("raw_key").alias("raw_s3_key")), at)
+        status = L.retention_status(candidates.count(), candidates.join(left, "raw_key", "left_semi").count(), False)
     ledger.set_retention_status(run_id, status)
     return status

@@ -1,12 +1,14 @@
 """Versioned tables: each write is a whole new version, published by one small marker file.
 
-Layout: ``<table>/_v=<n>`` holds Parquet, ``<table>/_published/<n>`` marks version n as complete.
-Readers only see marked versions, so a lost executor or a failed write leaves the last good
-version in place. A marker is created only if absent: of two writers one gets the version.
+Layout: every write has a Parquet folder of its own, ``<table>/_v=<n>-<attempt>``, and
+``<table>/_published/<n>`` names the one that is version n. Readers only see marked versions, so a
+lost executor, a failed write or a second writer leaves the last good version in place. Where the
+cluster has a transactional table format, use that.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JError
@@ -54,16 +56,27 @@ def current_version(spark: SparkSession, table: str) -> int | None:
     return versions[-1] if versions else None
 
 
-def version_path(table: str, version: int) -> str:
-    return f"{table}/_v={version}"
+def version_path(spark: SparkSession, table: str, version: int) -> str:
+    """Folder of a published version, as its marker names it."""
+    fs, marker = _fs(spark, f"{table}/_published/{version}")
+    if not fs.exists(marker):
+        raise SnapshotError(f"{table} has no version {version}")
+    jvm = spark._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(marker), "UTF-8"))
+    try:
+        return f"{table}/{reader.readLine()}"
+    finally:
+        reader.close()
 
 
-def _publish(spark: SparkSession, table: str, version: int) -> None:
+def _publish(spark: SparkSession, table: str, version: int, folder: str) -> None:
     fs, marker = _fs(spark, f"{table}/_published/{version}")
     try:
-        fs.create(marker, False).close()
-    except Exception as error:  # noqa: BLE001  the marker exists: another writer was first
+        out = fs.create(marker, False)
+    except Py4JError as error:  # the marker exists: another writer was first
         raise SnapshotError(f"version {version} of {table} was published by another writer") from error
+    out.write(bytearray(folder.encode()))
+    out.close()
 
 
 def _next_version(spark: SparkSession, table: str) -> int:
@@ -72,7 +85,7 @@ def _next_version(spark: SparkSession, table: str) -> int:
     if not fs.exists(p):
         return 0
     found = [s.getPath().getName() for s in fs.listStatus(p)]
-    used = [int(n[3:]) for n in found if n.startswith("_v=") and n[3:].isdigit()]
+    used = [int(n[3:].split("-")[0]) for n in found if n.startswith("_v=")]
     return max([*used, *published_versions(spark, table), -1]) + 1
 
 
@@ -83,7 +96,6 @@ def overwrite_snapshot(
     expected_rows: int | None = None,
     check: Callable[[dict], None] | None = None,
     metrics: dict | None = None,
-    files: int | None = None,
     drop: Sequence[str] = (),
     rebalance: bool = False,
     cluster: Sequence[str] = (),
@@ -106,15 +118,14 @@ def overwrite_snapshot(
     elif rebalance:
         out = out.hint("rebalance")
     out = out.observe(seen, *aggregates).drop(*drop)
-    if files is not None:
-        out = out.coalesce(files)
-    out.write.mode("errorifexists").parquet(version_path(table, version))
+    folder = f"_v={version}-{uuid.uuid4().hex}"
+    out.write.mode("errorifexists").parquet(f"{table}/{folder}")
     observed = seen.get
     if check is not None:
         check(observed)
     wanted = observed["rows"] if expected_rows is None else expected_rows
-    verify_written(spark, version_path(table, version), wanted)
-    _publish(spark, table, version)
+    verify_written(spark, f"{table}/{folder}", wanted)
+    _publish(spark, table, version, folder)
     return version
 
 
@@ -130,13 +141,13 @@ def read_snapshot(spark: SparkSession, table: str, version: int | None = None) -
     chosen = current_version(spark, table) if version is None else version
     if chosen is None:
         raise SnapshotError(f"{table} has no published version")
-    return spark.read.parquet(version_path(table, chosen))
+    return spark.read.parquet(version_path(spark, table, chosen))
 
 
 def ensure_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
     """Creates an empty table only where nothing exists. An unreadable one raises and stays as it is."""
     if not path_exists(spark, table):
-        overwrite_snapshot(spark, spark.createDataFrame([], schema), table, files=1)
+        overwrite_snapshot(spark, spark.createDataFrame([], schema), table)
         return
     try:
         read_snapshot(spark, table).limit(1).collect()

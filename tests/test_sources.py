@@ -105,7 +105,7 @@ def test_snapshots(spark, tmp_path):
         S.ensure_table(spark, broken, L.RUNS_SCHEMA)
     assert open(broken).read() == "text where a table should be"
     with pytest.raises(ValueError):
-        S.delete_exact(spark, f"{tmp_path}/t/_v=0", f"{tmp_path}/raw")
+        S.delete_exact(spark, S.version_path(spark, f"{tmp_path}/t", 0), f"{tmp_path}/raw")
 
 
 def test_catalog(spark, tmp_path):
@@ -117,9 +117,9 @@ def test_catalog(spark, tmp_path):
     with pytest.raises(ValueError):
         CAT.ensure_schema(spark, "est_b", " / ")
     S.overwrite_snapshot(spark, spark.range(3), f"{place}/t")
-    assert CAT.register_table(spark, "est_a", "t", S.version_path(f"{place}/t", 0)) == "CREATED"
+    assert CAT.register_table(spark, "est_a", "t", S.version_path(spark, f"{place}/t", 0)) == "CREATED"
     S.overwrite_snapshot(spark, spark.range(4), f"{place}/t")
-    assert CAT.register_table(spark, "est_a", "t", S.version_path(f"{place}/t", 1)) == "REFRESHED"
+    assert CAT.register_table(spark, "est_a", "t", S.version_path(spark, f"{place}/t", 1)) == "REFRESHED"
     assert CAT.list_tables(spark, "est_a") == ["t"] and CAT.table_count(spark, "est_a", "t") == 4
 
 
@@ -177,7 +177,7 @@ def test_ingest_run(spark, tmp_path):
     assert go("r2", control) == "NO_CHANGE"
     assert go("r3", newer) == "SUCCESS"
     reused = ledger.manifest().filter("ingestion_run_id = 'r3' AND dataset_id = 'd'").first()
-    assert reused["original_run_id"] == "r1" and "r1" in reused["reuse_reason"]
+    assert reused["original_run_id"] == "r1" and "r1" in reused["reuse_reason"] and reused["retrieved_at_utc"] == "2026-r3"
     with pytest.raises(RuntimeError, match="marker changed"):
         go("r4", control, control_after=newer)
     put(tmp_path, "in.csv", "ID;V\n001;a;extra\n")
@@ -189,6 +189,7 @@ def test_ingest_run(spark, tmp_path):
     put(tmp_path, "raw/d/sha256=dead/in.zip", b"old")
     assert I.apply_retention(spark, ledger, raw, "r3", "now", dry_run=True) == "DRY_RUN"
     assert I.apply_retention(spark, ledger, raw, "r3", "now") == "EXECUTED"
+    assert [r["raw_s3_key"].rsplit("/", 1)[1] for r in ledger.manifest().filter("retention_status = 'DELETED'").collect()] == []
     assert I.apply_retention(spark, ledger, raw, "r3", "now") == "NOOP"
     assert I.apply_retention(spark, ledger, raw, "r5", "now") == "SKIPPED"
 
@@ -262,3 +263,39 @@ def test_control_timestamp_does_not_depend_on_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert found == ["2011-10-16 00:30:00", None, None, None, None]
+
+
+def test_fingerprint_follows_content_and_names_but_not_the_order_of_files(spark, tmp_path):
+    def of(files):
+        folder = tmp_path / str(len(list(tmp_path.iterdir())))
+        for name, text in files.items():
+            put(folder, name, text)
+        return FS.text_fingerprint(spark, str(folder)).first()[0]
+
+    base = of({"a": "1;x\n2;y\n", "b": "3;z\n"})
+    assert base == of({"b": "3;z\n", "a": "1;x\n2;y\n"})
+    others = [of({"a": "1;x\n2;z\n", "b": "3;z\n"}), of({"a": "1;x\n", "b": "2;y\n3;z\n"}), of({"a": "1;x\n2;y\n", "c": "3;z\n"}), of({"a": "1;x\n2;y\n2;y\n2;y\n", "b": "3;z\n"})]
+    assert len({base, *others}) == 5
+    assert FS.text_fingerprint(spark, put(tmp_path, "empty/x", "")).first()[0] is not None
+
+
+def test_two_writers_of_one_version(spark, tmp_path):
+    table = f"{tmp_path}/t"
+    S.overwrite_snapshot(spark, spark.range(3), table)
+    with pytest.raises(S.SnapshotError, match="another writer"):
+        S._publish(spark, table, 0, "_v=0-late")
+    assert S.read_snapshot(spark, table).count() == 3
+
+
+def test_a_failed_run_does_not_become_the_active_version(spark, tmp_path):
+    control = put(tmp_path, "c1.csv", "data_carga\n16/09/2026 06:32:11\n")
+    newer = put(tmp_path, "c2.csv", "data_carga\n17/09/2026 06:32:11\n")
+    source = put(tmp_path, "in.csv", "ID;V\n001;a\n")
+    ledger = I.Ledger(spark, f"{tmp_path}/ledger")
+    datasets = [I.Dataset("d", source, "in.csv", f"{tmp_path}/bronze/d", "raw")]
+    I.run(spark, ledger, datasets, control, "r1", "t1")
+    put(tmp_path, "in.csv", "ID;V\n001;a\n002;b\n")
+    with pytest.raises(RuntimeError, match="marker changed"):
+        I.run(spark, ledger, datasets, control, "r2", "t2", force=True, control_after=newer)
+    assert S.read_snapshot(spark, datasets[0].table).count() == 2
+    assert I.active_table(spark, ledger, datasets[0]).count() == 1
