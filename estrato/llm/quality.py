@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estrato.llm.common import encoded
+from estrato.llm.common import encoded, sliced, stored
 
 DICTIONARY = 112 << 10
 SAMPLE = 3000
@@ -115,8 +115,12 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, label: str = "qua
     sizes = marks.groupBy("y").agg(F.count("*").alias("n"))
     place = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 40)) / (1 << 40)
     share = F.least(F.lit(sample) / F.col("n"), F.lit(0.5))
-    chosen = marks.join(F.broadcast(sizes), "y").select("doc_id", "y", F.when(place < share, 0).when(place < 2 * share, 1).alias("use")).filter("use is not null")
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null").join(chosen, "doc_id").select("y", "use", "text")
+    # two rows of sizes; about 4 * sample ids and texts by the choice above, checked before they are sent round
+    chosen = stored(marks.join(F.broadcast(sizes), "y").select("doc_id", "y", F.when(place < share, 0).when(place < 2 * share, 1).alias("use")).filter("use is not null"), "chosen")
+    if chosen.count() > 8 * max(sample, 100):
+        raise ValueError("the hash of the ids does not spread them; choose another sample")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null")
+    rows = stored(texts.join(F.broadcast(chosen), "doc_id").select("y", "use", "text"), "sample")
 
     def build(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         return pa.table([[key[0].as_py()], [dictionary_of(encoded(rows.column("text")))]], schema=pa.schema([("y", pa.int32()), ("d", pa.binary())]))
@@ -154,7 +158,7 @@ def with_quality(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(shared.value.good, shared.value.bad)
         for batch in batches:
-            found = [sizes.measures(t) for t in encoded(batch.column("text"))]
+            found = [sizes.measures(t) for _, _, texts in sliced(batch.column("text")) for t in texts]
             more = [pa.array([shared.value.curve(x) for x in found], pa.float64()), pa.array([x[0] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, *FIELDS])
 
