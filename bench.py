@@ -24,6 +24,7 @@ from estrato.plans import build as BUILD  # noqa: E402
 from estrato.plans import checks as C  # noqa: E402
 from estrato.plans import dashboard as B  # noqa: E402
 from estrato.plans import layers as L  # noqa: E402
+from estrato.plans import profile as PROFILE  # noqa: E402
 from estrato.plans import records as R  # noqa: E402
 from estrato.session import local_session, shared_folder  # noqa: E402
 from suite.raw_tables import raw_tables  # noqa: E402
@@ -54,13 +55,13 @@ def main() -> None:
     timed("gates_raw_to_silver", lambda: Q.run_gates(spark, C.raw_to_silver_gates(raw, silver)))
     gold = timed("build_gold", lambda: BUILD.build_gold(spark, silver, folder))
     timed("gates_silver_to_gold", lambda: Q.run_gates(spark, C.silver_to_gold_gates(silver, gold)))
-    mart = timed("build_mart", lambda: BUILD.build_mart(spark, gold, folder))
+    mart = timed("build_mart", lambda: BUILD.build_mart(spark, gold, folder, proven=True))
     timed("gates_mart", lambda: Q.run_gates(spark, C.view_gates(gold, mart, "mart")))
     timed("contracts_gold", lambda: Q.check_contracts(gold, C.GOLD_CONTRACTS).collect())
 
     for name, chart in B.BENCHMARK.items():
-        view = lambda c=chart: L.proposta_convenio_view(gold, B.chart_columns(c))
-        timed(f"{name}_view_distinct", lambda: chart.run(L.proposta_convenio_view(gold), keys_proven=False).collect(), 3)
+        view = lambda c=chart: L.proposta_convenio_view(gold, B.chart_columns(c), proven=True)
+        timed(f"{name}_view_distinct", lambda: chart.run(L.proposta_convenio_view(gold, proven=True), keys_proven=False).collect(), 3)
         timed(f"{name}_view_plain", lambda: chart.run(view()).collect(), 3)
         timed(f"{name}_mart", lambda: chart.run(mart).collect(), 3)
 
@@ -72,7 +73,7 @@ def main() -> None:
     timed("dashboard_12_concurrent", dashboard, 3)
     for name, filters in B.SCENARIOS.items():
         timed(f"scenario_{name}", lambda f=filters: summarize(mart, list(B.METRICS.values()), ["uf"], f).collect(), 3)
-    timed("multiplicity_money", lambda: financial_steps_on(raw).collect())
+    timed("multiplicity_money", lambda: PROFILE.financial_steps(raw).collect())
     timed("profile_raw_columns", lambda: [P.column_profile(raw[n], [c for c in raw[n].columns if c not in R.LINEAGE]).collect() for n in raw])
     timed("agreement_column_stability", lambda: P.column_stability(
         silver["convenio"], ["numero_convenio"], [f.name for f in R.CONVENIO if f.name != "numero_convenio"], ["valor_saldo_conta"]).collect())
@@ -87,21 +88,5 @@ def main() -> None:
     spark.stop()
 
 
-def financial_steps_on(raw):
-    """Money totals after joins, from the written raw tables."""
-    from estrato.functions import money_from_text
-    from estrato.operators import relational as J
-
-    value = money_from_text("VL_GLOBAL_CONV")
-    links = J.link_multiplicity(raw["programa_proposta"], "ID_PROPOSTA")
-    rules = raw["programa"].groupBy("ID_PROGRAMA").agg(F.count("*").alias("n_rows"))
-    chained = J.link_multiplicity(raw["programa_proposta"], "ID_PROPOSTA", weights=rules, weight_key="ID_PROGRAMA")
-    return J.named_rows({
-        "base": J.plain_totals(raw["convenio"], value),
-        "after_links": J.multiplied_totals(raw["convenio"], "ID_PROPOSTA", value, links),
-        "after_programs": J.multiplied_totals(raw["convenio"], "ID_PROPOSTA", value, chained),
-    }, "step")
-
-
 if __name__ == "__main__":
     main()

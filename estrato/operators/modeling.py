@@ -67,9 +67,18 @@ class Role:
     outputs: dict[str, str]  # output name -> column of the joined table
     bounded: bool = False  # size proven independent of the data (the calendar)
     carries: tuple[str, ...] = ()  # columns kept only for roles that are reached through this one
+    proven: bool = False  # the key was found unique by a gate; else uniqueness is checked while joining
     spread_by: str | None = None  # left column that spreads very hot keys over sub-keys (salted_join)
 
 
+def _one_per_key(side: DataFrame, key: str, name: str) -> DataFrame:
+    """The side itself; an error at run time where a key repeats. NULL keys match nothing and may repeat."""
+    others = [c for c in side.columns if c != key]
+    grouped = side.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"), *[F.first(c).alias(c) for c in others])
+    repeated = F.raise_error(F.concat(F.lit(f"{name}: repeated key "), F.col(key).cast("string"))).cast(side.schema[key].dataType)
+    return grouped.select(F.when(F.col("__n") > 1, repeated).otherwise(F.col(key)).alias(key), *others)
+
+
 def star_view(
     fact: DataFrame,
     fact_columns: dict[str, str | Column],
@@ -80,9 +89,10 @@ def star_view(
 ) -> DataFrame:
     """Left-joins the roles to the fact and names the result columns.
 
-    Every role must be unique on its key (checked by the declared constraints), so a role that
-    contributes no wanted column, and reaches no other needed role, is not joined at all: the
-    grain cannot change. ``derived`` maps an output to (needed role, expression over outputs).
+    Every role must be unique on its key. A role that carries no proof of that is brought to one row
+    per key as it is joined, and a key that repeats there fails the job instead of multiplying rows.
+    A role that contributes no wanted column, and reaches no other needed role, is not joined at all:
+    the grain cannot change. ``derived`` maps an output to (needed role, expression over outputs).
     """
     derived = derived or {}
     wanted = list(wanted) if wanted is not None else list(order)
@@ -119,6 +129,8 @@ def star_view(
         ]
         side_columns += [F.col(c) for c in role.carries if c in keys]
         side = role.table().select(F.col(role.right_key).alias(marker), *side_columns)
+        if not role.proven:
+            side = _one_per_key(side, marker, name)
         if role.spread_by:
             side = side.withColumnRenamed(marker, role.left_key)
             result = salted_join(result, side, role.left_key, role.spread_by)

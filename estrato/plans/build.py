@@ -44,9 +44,9 @@ def build_gold(spark: SparkSession, silver: Tables, folder: str, parallel: int =
     return _write_all(spark, plans, list(plans), f"{folder}/gold", parallel)
 
 
-def build_mart(spark: SparkSession, gold: Tables, folder: str) -> DataFrame:
+def build_mart(spark: SparkSession, gold: Tables, folder: str, proven: bool = False) -> DataFrame:
     """The serving table, its rows ordered by year and state so that their filters skip files."""
-    return materialize(spark, L.proposta_convenio_view(gold), f"{folder}/gold/mart_proposta_convenio", cluster=("ano_proposta", "uf"))
+    return materialize(spark, L.proposta_convenio_view(gold, proven=proven), f"{folder}/gold/mart_proposta_convenio", cluster=("ano_proposta", "uf"))
 
 
 def require(spark: SparkSession, gates: Mapping, parallel: int = 4) -> DataFrame:
@@ -89,6 +89,6 @@ def build_all(
     for schema, place in (schema_locations or {}).items():
         second[f"location_{schema}"] = lambda schema=schema, place=place: C.location_gate(spark, schema, place)
     passed(second)
-    mart = build_mart(spark, gold, folder)
+    mart = build_mart(spark, gold, folder, proven=gates)
     passed(C.view_gates(gold, mart, "mart"))
     return {"silver": silver, "gold": gold, "mart": mart}

@@ -6,6 +6,7 @@ Every function is DataFrame -> DataFrame; nothing here runs a job or writes a ta
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -192,8 +193,12 @@ VIEW_COLUMNS = (
 )
 
 
-def proposta_convenio_view(gold: Tables, columns: Sequence[str] | None = None) -> DataFrame:
-    """Proposals with their dimensions and their 0..1 agreement; only the joins ``columns`` need are made."""
+def proposta_convenio_view(gold: Tables, columns: Sequence[str] | None = None, proven: bool = False) -> DataFrame:
+    """Proposals with their dimensions and their 0..1 agreement; only the joins ``columns`` need are made.
+
+    ``proven`` says that the gold gates passed on these tables: their keys are unique. Otherwise that is
+    checked as the joins run.
+    """
     same = lambda *names: {n: n for n in names}
     fact_columns = {
         **same("id_proposta", "numero_proposta", "identificacao_proponente", "codigo_municipio_ibge",
@@ -222,4 +227,5 @@ def proposta_convenio_view(gold: Tables, columns: Sequence[str] | None = None) -
                              {"data_assinatura": "data", "ano_assinatura": "ano"}, bounded=True)),
     ]
     derived = {"tem_convenio": ("agreement", F.col("numero_convenio").isNotNull())}
+    roles = [(name, replace(role, proven=proven)) for name, role in roles]
     return star_view(gold["fct_proposta"], fact_columns, roles, VIEW_COLUMNS, columns, derived)

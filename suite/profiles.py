@@ -9,6 +9,7 @@ from estrato.functions import clean_text, concat_key, date_sk, hash_key, money_f
 from estrato.operators import profiling as P
 from estrato.operators import relational as J
 from estrato.operators.skew import salted_join, with_group_count
+from estrato.plans import profile as PROFILE
 from estrato.plans import records as R
 from suite import oracle_tables as T
 from suite.layers import gold, mart, raw, silver
@@ -77,20 +78,6 @@ DATE_COLUMNS = {
 }
 
 
-def financial_steps(s, d):
-    """Raw agreements alone, through the program links, and through the program rules."""
-    r = raw(s, d)
-    value = money_from_text("VL_GLOBAL_CONV")
-    links = J.link_multiplicity(r["programa_proposta"], "ID_PROPOSTA")
-    rules = r["programa"].groupBy("ID_PROGRAMA").agg(F.count("*").alias("n_rows"))
-    chained = J.link_multiplicity(r["programa_proposta"], "ID_PROPOSTA", weights=rules, weight_key="ID_PROGRAMA")
-    return J.named_rows({
-        "base": J.plain_totals(r["convenio"], value),
-        "after_links": J.multiplied_totals(r["convenio"], "ID_PROPOSTA", value, links),
-        "after_programs": J.multiplied_totals(r["convenio"], "ID_PROPOSTA", value, chained),
-    }, "step")
-
-
 MONEY_RAW = "TRY_CAST(replace(VL_GLOBAL_CONV, ',', '.') AS DECIMAL(38,2))"
 STEPS_SQL = f"""
 SELECT 'base' AS step, count(*) AS n_rows, CAST(sum({MONEY_RAW}) AS DECIMAL(38,2)) AS total FROM raw_convenio
@@ -99,23 +86,6 @@ UNION ALL SELECT 'after_programs', count(*), CAST(sum({MONEY_RAW}) AS DECIMAL(38
  JOIN raw_programa_proposta l ON c.ID_PROPOSTA = l.ID_PROPOSTA JOIN raw_programa p ON l.ID_PROGRAMA = p.ID_PROGRAMA"""
 
 
-def fan_out(s, d):
-    """Rows after each successive inner join agreement -> proposal -> link -> program rule."""
-    r = raw(s, d)
-    one = F.lit(1)
-    proposals = J.link_multiplicity(r["proposta"], "ID_PROPOSTA")
-    kept = r["convenio"].join(r["proposta"].select("ID_PROPOSTA").distinct(), "ID_PROPOSTA", "left_semi")
-    links = J.link_multiplicity(r["programa_proposta"], "ID_PROPOSTA")
-    rules = r["programa"].groupBy("ID_PROGRAMA").agg(F.count("*").alias("n_rows"))
-    chained = J.link_multiplicity(r["programa_proposta"], "ID_PROPOSTA", weights=rules, weight_key="ID_PROGRAMA")
-    return J.named_rows({
-        "agreements": J.plain_totals(r["convenio"], one),
-        "with_proposals": J.multiplied_totals(r["convenio"], "ID_PROPOSTA", one, proposals),
-        "with_links": J.multiplied_totals(kept, "ID_PROPOSTA", one, links),
-        "with_programs": J.multiplied_totals(kept, "ID_PROPOSTA", one, chained),
-    }, "step").select("step", "n_rows")
-
-
 def histogram_sql(entities: str, value: str) -> str:
     return f"""SELECT n_members, count(*) AS n_entities, CAST(sum({value}) AS DECIMAL(38,2)) AS unique_total,
     CAST(sum(CAST({value} AS DECIMAL(38,2)) * n_members) AS DECIMAL(38,2)) AS inflated_total FROM (
@@ -126,19 +96,6 @@ def histogram_sql(entities: str, value: str) -> str:
 UNIQUE_AGREEMENTS = "(SELECT DISTINCT numero_convenio, id_proposta, valor_global_convenio FROM silver_convenio)"
 
 
-def base_measures(s, d):
-    """Base and derived measures of the snapshot, long form."""
-    from estrato.operators import quality as Q
-
-    g = silver(s, d)
-    canonical = g["convenio"].select("numero_convenio", *R.CONVENIO_MONEY).distinct()
-    return Q.stack([
-        Q.measures(g["proposta"], {"propostas": F.count("*"), **{c: X.exact_sum(c) for c in R.PROPOSTA_MONEY}}),
-        Q.measures(canonical, {"convenios": F.count("*"), **{c: X.exact_sum(c) for c in R.CONVENIO_MONEY}}),
-        Q.measures(g["convenio"], {"propostas_conveniadas": F.count_distinct("id_proposta")}),
-    ])
-
-
 def register(reg: Registry) -> None:
     # ---- functions over whole columns
     reg.add("fn_text", lambda s, d: raw(s, d)["proposta"].select(
@@ -269,13 +226,13 @@ def register(reg: Registry) -> None:
     reg.add("body_code_overlap", lambda s, d: J.key_overlap({n: (silver(s, d)[t], c) for n, (t, c) in sets.items()}), " UNION ALL ".join(
         f"SELECT '{a}' AS left_set, '{b}' AS right_set, count(*) AS n_common FROM (SELECT DISTINCT {sets[a][1]} AS k FROM silver_{sets[a][0]}) x JOIN (SELECT DISTINCT {sets[b][1]} AS k FROM silver_{sets[b][0]}) y ON x.k = y.k"
         for i, a in enumerate(names) for b in names[i:]))
-    reg.add("join_fan_out", fan_out, """SELECT 'agreements' AS step, count(*) AS n_rows FROM raw_convenio
+    reg.add("join_fan_out", lambda s, d: PROFILE.join_fan_out(raw(s, d)), """SELECT 'agreements' AS step, count(*) AS n_rows FROM raw_convenio
         UNION ALL SELECT 'with_proposals', count(*) FROM raw_convenio c JOIN raw_proposta p ON c.ID_PROPOSTA = p.ID_PROPOSTA
         UNION ALL SELECT 'with_links', count(*) FROM raw_convenio c JOIN raw_proposta p ON c.ID_PROPOSTA = p.ID_PROPOSTA JOIN raw_programa_proposta l ON p.ID_PROPOSTA = l.ID_PROPOSTA
         UNION ALL SELECT 'with_programs', count(*) FROM raw_convenio c JOIN raw_proposta p ON c.ID_PROPOSTA = p.ID_PROPOSTA
          JOIN raw_programa_proposta l ON p.ID_PROPOSTA = l.ID_PROPOSTA JOIN raw_programa g ON l.ID_PROGRAMA = g.ID_PROGRAMA""")
-    reg.add("money_after_joins", financial_steps, STEPS_SQL)
-    reg.add("money_inflation", lambda s, d: J.inflation(financial_steps(s, d), "base"),
+    reg.add("money_after_joins", lambda s, d: PROFILE.financial_steps(raw(s, d)), STEPS_SQL)
+    reg.add("money_inflation", lambda s, d: J.inflation(PROFILE.financial_steps(raw(s, d)), "base"),
             f"""SELECT step, n_rows, total, CAST(total - b AS DECIMAL(38,2)) AS difference, round(CAST(total AS DOUBLE) / CAST(b AS DOUBLE), 6) AS factor,
             round((CAST(total AS DOUBLE) / CAST(b AS DOUBLE) - 1) * 100, 6) AS pct_difference FROM (SELECT *, max(total) FILTER (WHERE step = 'base') OVER () AS b FROM ({STEPS_SQL}))""")
     unique = lambda s, d: silver(s, d)["convenio"].select("numero_convenio", "id_proposta", "valor_global_convenio").distinct()
@@ -292,23 +249,16 @@ def register(reg: Registry) -> None:
                 CAST(sum(unique_total) FILTER (WHERE n_members > 0) AS DECIMAL(38,2)) AS unique_total, CAST(sum(inflated_total) FILTER (WHERE n_members > 0) AS DECIMAL(38,2)) AS inflated_total,
                 CAST(sum(inflated_total - unique_total) FILTER (WHERE n_members > 0) AS DECIMAL(38,2)) AS difference,
                 round(CAST(sum(inflated_total) FILTER (WHERE n_members > 0) AS DOUBLE) / CAST(sum(unique_total) FILTER (WHERE n_members > 0) AS DOUBLE), 6) AS factor FROM ({sql})""")
-    reg.add("program_associations", lambda s, d: gold(s, d)["bridge_programa_proposta"].join(
-        gold(s, d)["fct_convenio"].select("id_proposta", "numero_convenio"), "id_proposta", "left").groupBy("id_programa").agg(
-            F.count_distinct("id_proposta").alias("propostas"), F.count_distinct("numero_convenio").alias("convenios")),
+    reg.add("program_associations", lambda s, d: PROFILE.program_associations(gold(s, d)),
         """SELECT id_programa, count(DISTINCT b.id_proposta) AS propostas, count(DISTINCT numero_convenio) AS convenios FROM bridge_programa_proposta b
         LEFT JOIN fct_convenio c ON b.id_proposta = c.id_proposta GROUP BY ALL""")
-    reg.add("base_measures", base_measures, " UNION ALL ".join([
+    reg.add("base_measures", lambda s, d: PROFILE.base_measures(silver(s, d)), " UNION ALL ".join([
         "SELECT 'propostas' AS item, CAST(count(*) AS DECIMAL(38,2)) AS value FROM silver_proposta",
         *[f"SELECT '{c}', CAST(sum({c}) AS DECIMAL(38,2)) FROM silver_proposta" for c in R.PROPOSTA_MONEY],
         "SELECT 'convenios', CAST(count(*) AS DECIMAL(38,2)) FROM (SELECT DISTINCT numero_convenio, " + ", ".join(R.CONVENIO_MONEY) + " FROM silver_convenio)",
         *[f"SELECT '{c}', CAST(coalesce(sum({c}), 0) AS DECIMAL(38,2)) FROM (SELECT DISTINCT numero_convenio, {', '.join(R.CONVENIO_MONEY)} FROM silver_convenio)" for c in R.CONVENIO_MONEY],
         "SELECT 'propostas_conveniadas', CAST(count(DISTINCT id_proposta) AS DECIMAL(38,2)) FROM silver_convenio"]))
-    reg.add("quality_indicators", lambda s, d: J.named_rows({
-        "conflicting_agreements": silver(s, d)["convenio"].filter("has_source_conflict").agg(F.count_distinct("numero_convenio").alias("n"), F.lit(None).cast("decimal(38,2)").alias("value")),
-        "proposals_without_program": J.unlinked_rows(gold(s, d)["fct_proposta"], "id_proposta", gold(s, d)["bridge_programa_proposta"], "id_proposta").agg(
-            F.count("*").alias("n"), X.exact_sum("valor_global_proposta").alias("value")),
-        "dates_outside_window": gold(s, d)["fct_proposta"].agg(F.count_if(F.col("data_fim_vigencia_proposta_sk") == -2).alias("n"), F.lit(None).cast("decimal(38,2)").alias("value")),
-    }, "indicator"), """SELECT 'conflicting_agreements' AS indicator, count(DISTINCT numero_convenio) AS n, CAST(NULL AS DECIMAL(38,2)) AS value FROM silver_convenio WHERE has_source_conflict
+    reg.add("quality_indicators", lambda s, d: PROFILE.quality_indicators(silver(s, d), gold(s, d)), """SELECT 'conflicting_agreements' AS indicator, count(DISTINCT numero_convenio) AS n, CAST(NULL AS DECIMAL(38,2)) AS value FROM silver_convenio WHERE has_source_conflict
         UNION ALL SELECT 'proposals_without_program', count(*), CAST(coalesce(sum(valor_global_proposta), 0) AS DECIMAL(38,2)) FROM fct_proposta WHERE id_proposta NOT IN (SELECT id_proposta FROM bridge_programa_proposta)
         UNION ALL SELECT 'dates_outside_window', count(*), NULL FROM fct_proposta WHERE data_fim_vigencia_proposta_sk = -2""")
     reg.add("describe_columns", lambda s, d: P.describe_columns(silver(s, d)["programa_proposta"], R.LINEAGE).join(

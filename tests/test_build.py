@@ -116,3 +116,12 @@ def test_schema_location_gate(spark):
     assert [r["status"] for r in C.location_gate(spark, "placed", place).collect()] == ["PASS"]
     assert [r["status"] for r in C.location_gate(spark, "placed", place + "/elsewhere").collect()] == ["FAIL"]
     spark.sql("DROP SCHEMA placed")
+
+
+def test_a_repeated_dimension_key_raises_unless_its_role_is_not_needed(built):
+    doubled = {**built["gold"], "dim_municipio": built["gold"]["dim_municipio"].unionByName(built["gold"]["dim_municipio"])}
+    with pytest.raises(Exception, match="town: repeated key"):
+        L.proposta_convenio_view(doubled, ["id_proposta", "uf"]).collect()
+    plain = L.proposta_convenio_view(built["gold"], ["id_proposta", "nome_proponente"])
+    assert plain.exceptAll(L.proposta_convenio_view(doubled, ["id_proposta", "nome_proponente"])).isEmpty()
+    assert plain.exceptAll(L.proposta_convenio_view(built["gold"], ["id_proposta", "nome_proponente"], proven=True)).isEmpty()
