@@ -5,10 +5,16 @@ Events play manifest rows (one per run and dataset), users play runs.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estrato.operators import ledger as L
 from estrato.operators.relational import without
+from estrato.session import shared_folder
+from estrato.sources import delimited as D
 from suite.raw_tables import table
 from suite.registry import Registry
 
@@ -87,6 +93,89 @@ def register(reg: Registry) -> None:
         ELSE 'ERROR_STATUS_' || max(status) END AS branch FROM ({RUNS}) WHERE ingestion_run_id = '7'""")
     reg.add("ledger_known_exceptions_removed", lambda s, d: without(table(s, d, "orders").select(F.nullif(F.col("o_custkey") % 9, F.lit(4)).alias("k")).groupBy("k").agg(F.count("*").alias("n")), "k", [1, 2]),
             "SELECT nullif(o_custkey % 9, 4) AS k, count(*) AS n FROM orders WHERE coalesce(nullif(o_custkey % 9, 4) NOT IN (1, 2), TRUE) GROUP BY ALL")
-    reg.add("changed_digests_of_documents", lambda s, d: table(s, d, "documents").groupBy("source").agg(
-        F.count_distinct(F.sha2("text", 256)).alias("distinct_hashes"), F.count("*").alias("n")),
-        "SELECT source, count(DISTINCT sha256(text)) AS distinct_hashes, count(*) AS n FROM documents GROUP BY ALL")
+    reg.add("ledger_change_decisions", change_decisions, CHANGES)
+    reg.add("ledger_local_state", local_state, LOCAL_STATE)
+    reg.add("ledger_retention_outcomes", retention_outcomes, OUTCOMES)
+    reg.add("strict_read_of_orders", strict_read, "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority, '  a;\"b\" ' || o_orderstatus AS note, CAST(NULL AS VARCHAR) AS broken FROM orders")
+    reg.add("file_contract_findings", file_contract, """SELECT * FROM (VALUES ('b', ': missing [], extra [], other order or number'), ('c', ': missing [o_orderpriority], extra [o_clerk]')) v(folder, finding)
+        WHERE (SELECT count(*) FROM orders) > 0""")
+
+
+def change_decisions(s, d):
+    """Every outcome of the decision, on the last successful run of the data."""
+    r = runs(s, d).withColumn("source_data_carga_raw_initial", F.concat(F.lit("m"), "ingestion_run_id"))
+    r = r.withColumn("source_data_carga_raw_final", F.when(F.col("ingestion_run_id").cast("int") % 3 == 0, F.lit("")))
+    last = L.last_successful_run(r)
+    types = inventory(s, d).select("dataset_id").distinct()
+    intact = types.withColumn("reason", F.lit(None).cast("string"))
+    damaged = types.withColumn("reason", F.when(F.col("dataset_id") == "click", "TABLE_EMPTY").when(F.col("dataset_id") < "m", "RAW_FILE_MISSING"))
+    same = F.col("__marker")
+    cases = {
+        "forced": (last, same, damaged, True), "first": (L.last_successful_run(r.filter("status = 'FAILED'")), same, intact, False),
+        "changed": (last, F.concat(same, F.lit("x")), intact, False), "damaged": (last, same, damaged, False), "same": (last, same, intact, False),
+    }
+    parts = [L.change_decision(*args).select(F.lit(name).alias("situation"), "skip", "reason") for name, args in cases.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+CHANGES = f"""SELECT situation, reason = 'NO_CHANGE' AS skip, reason FROM (
+ SELECT unnest(['forced', 'first', 'changed', 'damaged', 'same']) AS situation,
+  unnest(['FORCED', 'NO_PREVIOUS_SUCCESS', 'MARKER_CHANGED', CASE WHEN (SELECT count(*) FROM events WHERE event_type < 'm') > 0 THEN 'LOCAL_STATE_INCOMPLETE' ELSE 'NO_CHANGE' END, 'NO_CHANGE']) AS reason)
+ WHERE (SELECT count(*) FROM ({RUNS}) WHERE status = 'SUCCESS') > 0"""
+
+
+def local_state(s, d):
+    """Datasets whose table is absent or empty, that have no active snapshot, or whose raw file is gone."""
+    registry = inventory(s, d).select("dataset_id", F.concat(F.lit("t_"), "dataset_id").alias("table_name")).distinct().unionByName(
+        table(s, d, "region").select(F.col("r_name").alias("dataset_id"), F.concat(F.lit("t_"), "r_name").alias("table_name")))
+    sizes = table(s, d, "events").groupBy(F.concat(F.lit("t_"), "event_type").alias("table_name")).agg(F.count("*").alias("n_rows")).unionByName(
+        table(s, d, "region").filter("r_regionkey < 4").select(F.concat(F.lit("t_"), "r_name").alias("table_name"), F.when(F.col("r_regionkey") > 1, F.lit(5)).otherwise(F.lit(0)).cast("bigint").alias("n_rows")))
+    active = L.active_snapshots(runs(s, d), manifest(s, d))
+    return L.local_state(registry, sizes, active, inventory(s, d).filter("dataset_id > 'd'"))
+
+
+LOCAL_STATE = f"""WITH active AS (SELECT * FROM ({GOOD}) QUALIFY row_number() OVER (PARTITION BY dataset_id ORDER BY run_end DESC, ingested_at_utc DESC) = 1),
+ stored AS (SELECT DISTINCT 'raw/' || event_type || '/sha256=ab' || CAST(event_id % 50 AS VARCHAR) || '/f.zip' AS k FROM events WHERE event_type > 'd')
+ SELECT dataset_id, CASE WHEN raw_s3_key NOT IN (SELECT k FROM stored) THEN 'RAW_FILE_MISSING' END AS reason FROM active
+ UNION ALL SELECT DISTINCT event_type, 'NO_ACTIVE_SNAPSHOT' FROM events WHERE event_type NOT IN (SELECT dataset_id FROM active)
+ UNION ALL SELECT r_name, CASE WHEN r_regionkey >= 4 THEN 'TABLE_MISSING' WHEN r_regionkey > 1 THEN 'NO_ACTIVE_SNAPSHOT' ELSE 'TABLE_EMPTY' END FROM region"""
+
+
+def retention_outcomes(s, d):
+    """Per dataset: candidates of the plan, and what a dry run, a clean run and a run with failures report."""
+    plan = L.retention_plan(runs(s, d), manifest(s, d), inventory(s, d))
+    n = F.count_if(F.col("action") == "CANDIDATE")
+    outcomes = F.array(*[F.struct(F.lit(name).alias("mode"), F.lit(L.retention_status(1, failed, dry)).alias("some"), F.lit(L.retention_status(0, 0, dry)).alias("none"))
+                         for name, failed, dry in (("dry", 0, True), ("clean", 0, False), ("failing", 1, False))])
+    counted = plan.groupBy("dataset_id").agg(n.alias("candidates")).withColumn("o", F.explode(outcomes))
+    return counted.select("dataset_id", "candidates", "o.mode", F.when(F.col("candidates") > 0, F.col("o.some")).otherwise(F.col("o.none")).alias("status"))
+
+
+OUTCOMES = f"""WITH plan AS (SELECT i.dataset_id, EXISTS (SELECT 1 FROM ({RECENT}) h WHERE h.dataset_id = i.dataset_id AND i.raw_key LIKE '%sha256=' || h.source_sha256 || '/%') AS kept
+ FROM (SELECT DISTINCT event_type AS dataset_id, 'raw/' || event_type || '/sha256=ab' || CAST(event_id % 50 AS VARCHAR) || '/f.zip' AS raw_key FROM events) i),
+ counted AS (SELECT dataset_id, count(*) FILTER (WHERE NOT kept) AS candidates FROM plan GROUP BY ALL)
+ SELECT dataset_id, candidates, mode, CASE WHEN mode = 'dry' THEN 'DRY_RUN' WHEN candidates = 0 THEN 'NOOP' WHEN mode = 'failing' THEN 'PARTIAL_FAILURE' ELSE 'EXECUTED' END AS status
+ FROM counted, (VALUES ('dry'), ('clean'), ('failing')) m(mode)"""
+
+
+def _text_files(df, folder, name):
+    """Semicolon text with a header in every file, below the folder that all executors share."""
+    df.write.csv(f"{folder}/{name}", sep=";", header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def strict_read(s, d):
+    folder = f"{shared_folder(s)}/strict-{uuid.uuid4().hex}"
+    orders = table(s, d, "orders").select("o_orderkey", "o_orderpriority", F.concat(F.lit('  a;"b" '), "o_orderstatus").alias("note"))
+    _text_files(orders.repartition(3), folder, "orders")
+    names = D.checked_header(s, f"{folder}/orders")
+    return D.read_checked(s, f"{folder}/orders", names).select(*names, F.col(D.BROKEN).alias("broken"))
+
+
+def file_contract(s, d):
+    """Three sets of files in one input: the first as wanted, the second with columns changed round, the third with another one."""
+    folder = f"{shared_folder(s)}/mixed-{uuid.uuid4().hex}"
+    orders = table(s, d, "orders").select("o_orderkey", "o_orderpriority")
+    for name, columns in (("a", ["o_orderkey", "o_orderpriority"]), ("b", ["o_orderpriority", "o_orderkey"]), ("c", ["o_orderkey", F.col("o_orderpriority").alias("o_clerk")])):
+        _text_files(orders.select(*columns), folder, name)
+    found = D.file_findings(D.line_report(s, f"{folder}/*"))
+    return found.select(F.regexp_extract("file", "/([abc])/[^/]*$", 1).alias("folder"), F.regexp_extract("finding", ": missing.*$", 0).alias("finding")).distinct()

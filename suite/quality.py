@@ -126,6 +126,11 @@ def register(reg: Registry) -> None:
             lambda s, d: C.unexpected_orphans(silver(s, d)["programa_proposta"], silver(s, d)["proposta"], KNOWN),
             f"""SELECT pp.id_proposta, count(*) AS n_rows FROM silver_programa_proposta pp LEFT JOIN silver_proposta p
             ON pp.id_proposta = p.id_proposta WHERE p.id_proposta IS NULL AND pp.id_proposta NOT IN {KNOWN_SQL} GROUP BY ALL""")
+    reg.add("orphan_set_difference", lambda s, d: C.orphan_set_equality(silver(s, d), (*KNOWN, 5), s),
+            f"""SELECT DISTINCT pp.id_proposta, 'unexpected' AS side FROM silver_programa_proposta pp LEFT JOIN silver_proposta p ON pp.id_proposta = p.id_proposta
+            WHERE p.id_proposta IS NULL AND pp.id_proposta NOT IN {KNOWN_SQL} UNION ALL
+            SELECT k, 'missing' FROM (VALUES (900000000), (900000997), (5)) v(k) WHERE k NOT IN (SELECT pp.id_proposta FROM silver_programa_proposta pp
+            LEFT JOIN silver_proposta p ON pp.id_proposta = p.id_proposta WHERE p.id_proposta IS NULL)""")
     reg.add("unstable_observations",
             lambda s, d: Q.unstable_keys(silver(s, d)["convenio"], "numero_convenio", ["numero_convenio", "valor_saldo_conta"]),
             """SELECT numero_convenio, count(*) AS n_tuples FROM (SELECT DISTINCT numero_convenio, valor_saldo_conta FROM silver_convenio)
