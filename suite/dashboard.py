@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estrato.operators.metrics import count_equivalence, filter_values, present_count, row_count, summarize
 from estrato.plans import dashboard as B
+from estrato.session import shared_folder
+from estrato.sources.snapshots import materialize
 from suite.layers import gold, mart
 from suite.registry import Registry
 
@@ -130,6 +136,20 @@ def register(reg: Registry) -> None:
             lambda s, d, c=chart: c.run(mart(s, d), {"uf": ["RJ", "BA"], "modalidade": ["CONVENIO"]}),
             chart_sql(chart, "uf IN ('RJ', 'BA') AND modalidade IN ('CONVENIO')"),
         )
+    # every selector over every chart; values that the derived tables hold
+    chosen = {
+        "ano_proposta": [1997, 1998], "ano_assinatura": [1999], "uf": ["RJ", "BA"], "municipio": ["NATION_7", "NATION_2"],
+        "orgao_concedente": ["ORGAO 30001", "ORGAO 30005"], "modalidade": ["CONVENIO", "TERMO DE FOMENTO"],
+        "situacao_proposta": ["Rejeitada"], "situacao_convenio": ["Em execução"],
+    }
+    for name, chart in B.CHARTS.items():
+        reg.add(
+            f"all_filters_on_{name}",
+            lambda s, d, c=chart: reduce(DataFrame.unionByName, [
+                c.run(mart(s, d, B.chart_columns(c, filters={f: v})), {f: v}).select(F.lit(f).alias("filter_name"), "*") for f, v in chosen.items()]),
+            " UNION ALL ".join(
+                f"SELECT '{f}' AS filter_name, * FROM ({chart_sql(chart, f'{f} IN (' + ', '.join(repr(x) for x in v) + ')')})" for f, v in chosen.items()),
+        )
     values = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n_rows FROM mart "
         f"WHERE {c} IS NOT NULL GROUP BY ALL" for c in B.FILTER_COLUMNS
@@ -148,6 +168,11 @@ def register(reg: Registry) -> None:
             lambda s, d, c=chart: c.run(mart(s, d, B.chart_columns(c))),
             chart_sql(chart),
         )
+        reg.add(  # the serving table, written ordered by year and state, as the build writes it
+            f"benchmark_{name}_mart_written",
+            lambda s, d, c=chart: c.run(materialize(s, mart(s, d), f"{shared_folder(s)}/mart-{uuid.uuid4().hex}", cluster=("ano_proposta", "uf"))),
+            chart_sql(chart),
+        )
     ask_sql = {
         "proposals_per_year": "SELECT ano_proposta, count(*) AS propostas FROM mart WHERE ano_proposta IS NOT NULL GROUP BY ALL",
         "proposed_value_per_uf": f"SELECT uf, {METRIC_SQL['valor_global_proposto']} AS valor_global_proposto FROM mart GROUP BY ALL",

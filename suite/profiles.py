@@ -142,9 +142,9 @@ def register(reg: Registry) -> None:
     reg.add("group_count_with_null_keys", lambda s, d: with_group_count(raw(s, d)["proposta"].select("ID_PROPOSTA", "MODALIDADE"), ["MODALIDADE"], "n_same"),
             "SELECT ID_PROPOSTA, MODALIDADE, count(*) OVER (PARTITION BY MODALIDADE) AS n_same FROM raw_proposta")
     reg.add("salted_left_join", lambda s, d: salted_join(
-        table(s, d, "events").select("event_id", F.col("user_id").alias("c_custkey")), table(s, d, "customer").select("c_custkey", "c_name").filter("c_custkey % 3 > 0"),
+        table(s, d, "events").select("event_id", F.col("user_id").alias("c_custkey")), table(s, d, "customer").select((F.col("c_custkey") * 2).alias("c_custkey"), "c_name"),
         "c_custkey", "event_id", "left", salts=8, top=16),
-        "SELECT event_id, user_id AS c_custkey, c_name FROM events LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 > 0) ON user_id = c_custkey")
+        "SELECT event_id, user_id AS c_custkey, c_name FROM events LEFT JOIN (SELECT c_custkey * 2 AS k, c_name FROM customer) ON user_id = k")
 
     # ---- column profiles
     for name, columns in {"proposta": [f.source for f in R.PROPOSTA], "programa": [f.source for f in R.PROGRAMA],

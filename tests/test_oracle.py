@@ -11,7 +11,8 @@ from suite import all_queries
 SF = "/root/testdata/sf0.001"
 NAMES = [
     "proposals_and_agreements_by_year", "semantic_view", "silver_convenio", "gold_dim_orgao", "metrics_by_uf",
-    "chart_agreements_by_body", "filter_selector_values", "gate_key_uniqueness", "gate_agreement_money",
+    "chart_agreements_by_body", "filter_selector_values", "all_filters_on_agreements_by_body", "all_filters_on_kpi_proposed_value",
+    "benchmark_q3_proposals_by_year_mart_written", "ledger_change_decisions", "ledger_local_state", "strict_read_of_orders", "file_contract_findings", "gate_key_uniqueness", "gate_agreement_money",
     "contract_on_line_items", "profile_columns_convenio", "agreement_column_stability", "money_inflation",
     "two_row_agreement_differences", "gate_money", "gate_money_with_thousands", "gate_parse_losses", "gate_date_mapping", "conflict_flag_consistency",
     "presence_flag_of_mart", "ledger_active_snapshots", "ledger_retention_plan", "fn_dates", "salted_left_join",
