@@ -17,6 +17,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,7 +97,7 @@ def encoded(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(texts: Sequence[bytes], most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices(texts: Sequence[bytes | str], most: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive texts of at most `most` bytes together (a longer text stands alone)."""
     start, held = 0, 0
     for i, x in enumerate(texts):
@@ -108,6 +109,22 @@ def slices(texts: Sequence[bytes], most: int = 4 << 20) -> Iterator[tuple[int, i
         yield start, len(texts)
 
 
+def sliced(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(start, end, UTF-8 bytes) of consecutive texts of about `most` bytes together, made one slice at a time.
+
+    A batch from Spark has a fixed number of rows, however long they are; only a slice of it is ever
+    turned into Python objects. What Arrow freed goes back to the system at the end.
+    """
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    total, start = np.cumsum(sizes + 1), 0
+    while start < len(sizes):
+        before = total[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(total, before + most, "right")))
+        yield start, end, encoded(column.slice(start, end - start))
+        start = end
+    pa.default_memory_pool().release_unused()
+
+
 def separator_table(separators: Iterable[int]) -> np.ndarray:
     out = np.zeros(256, bool)
     out[list(separators)] = True
@@ -124,7 +141,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     have = _POWERS.get(int(base))
     if have is None or len(have) < n:
-        steps = np.full(1 << max(20, (int(n) - 1).bit_length()), base, np.uint64)
+        steps = np.full(1 << max(18, (int(n) - 1).bit_length()), base, np.uint64)
         steps[0] = 1
         have = _POWERS[int(base)] = np.multiply.accumulate(steps)
     return have[:n]
@@ -162,7 +179,7 @@ class Words:
     def word(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]]
 
-    def hashes(self, which: int = 0, block: int = 1 << 20) -> np.ndarray:
+    def hashes(self, which: int = 0, block: int = 1 << 18) -> np.ndarray:
         """One 64-bit value per word, from its bytes alone."""
         out = np.empty(len(self.start), np.uint64)
         i = 0

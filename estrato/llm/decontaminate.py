@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estrato.llm.common import Words, encoded, record_batch, separator_table, slices, stored, window_hashes
+from estrato.llm.common import Words, record_batch, separator_table, sliced, stored, window_hashes
 
 SEPARATORS = separator_table([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 """All bytes but digits, a-z and those of non-ASCII characters separate words."""
@@ -70,9 +70,8 @@ def token_counts(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
         known = shared.value
         total = np.zeros(len(known), np.int64)
         for batch in batches:
-            texts = encoded(batch.column(0))
-            for lo, hi in slices(texts):
-                hashes = lower_words(texts[lo:hi]).hashes(0)
+            for _, _, texts in sliced(batch.column(0)):
+                hashes = lower_words(texts).hashes(0)
                 at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
                 total += np.bincount(at[known[at] == hashes], minlength=len(known))
         seen = np.flatnonzero(total)
@@ -174,9 +173,8 @@ def passages(docs: DataFrame, block: list[tuple[int | None, bytes]], size: int =
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = encoded(batch.column("text"))
-            for lo, hi in slices(texts):
-                words = lower_words(texts[lo:hi])
+            for lo, hi, texts in sliced(batch.column("text")):
+                words = lower_words(texts)
                 starts, found = occurrences(words, index.value)
                 lengths = index.value.length[found]
                 step = np.zeros(len(words) + 1, np.int32)

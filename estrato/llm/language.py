@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estrato.llm.common import mixed, record_batch, slices
+from estrato.llm.common import mixed, record_batch, sliced, slices
 
 FEATURES = 1 << 14
 CENTROIDS = 4
@@ -31,6 +31,7 @@ a text of one word has few of its language's n-grams and is far from any centroi
 unknown script has none."""
 SHARPNESS = 20.0
 MODEL_BYTES = 512 << 20
+SLICE_BYTES = 1 << 20
 UNKNOWN = "und"
 
 FIELDS = {"lang_pred": "string", "score": "double", "similarity": "double", "rejected": "boolean"}
@@ -74,9 +75,8 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(FEATURES, np.int64), 0
         for batch in batches:
-            texts = [x or "" for x in batch.column(0).to_pylist()]
-            for lo, hi in slices(texts, 1 << 20):
-                for seen, _ in features(texts[lo:hi]):
+            for _, _, texts in sliced(batch.column(0), SLICE_BYTES):
+                for seen, _ in features([x.decode() for x in texts]):
                     total[seen] += 1
                     n += 1
         yield record_batch(pa.schema([("k", pa.int64()), ("n", pa.int64())]), np.append(np.flatnonzero(total), -1), np.append(total[total > 0], n))
@@ -150,7 +150,7 @@ def fit(docs: DataFrame, learnable: Column, lang: str = "lang", sample: int = SA
             return schema.empty_table()
         x = np.zeros((len(texts), FEATURES), np.float32)
         at = 0
-        for lo, hi in slices(texts, 1 << 20):
+        for lo, hi in slices(texts, SLICE_BYTES):
             for seen, counts in features(texts[lo:hi]):
                 x[at, seen] = weighted(seen, counts, shared.value)
                 at += 1
@@ -181,8 +181,7 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [x or "" for x in batch.column("text").cast(pa.string()).to_pylist()]
-            found = [shared.value.classify(*f) for lo, hi in slices(texts, 1 << 20) for f in features(texts[lo:hi])]
+            found = [shared.value.classify(*f) for _, _, texts in sliced(batch.column("text").cast(pa.string()), SLICE_BYTES) for f in features([x.decode() for x in texts])]
             columns = zip(*found) if found else [()] * 4
             more = [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, *FIELDS])

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estrato.llm.common import Words, encoded, separator_table, slices, window_hashes
+from estrato.llm.common import Words, separator_table, sliced, window_hashes
 from estrato.llm.license_texts import TEMPLATES
 
 COVERAGE = 0.8
@@ -130,10 +130,9 @@ def with_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cove
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = scanner.value
         for batch in batches:
-            texts = [x.translate(_LOWER) for x in encoded(batch.column("text"))]
             found: list[list[tuple[str, float, int, int]]] = []
-            for lo, hi in slices(texts):
-                words = Words(texts[lo:hi], SEPARATORS)
+            for lo, hi, texts in sliced(batch.column("text")):
+                words = Words([x.translate(_LOWER) for x in texts], SEPARATORS)
                 hashes = words.hashes()
                 pairs = np.append(window_hashes(hashes, 2), np.uint64(0)) if len(hashes) else hashes
                 if len(pairs):

@@ -11,7 +11,9 @@ settled by merging the two alone, once per pair. Both give exactly the library's
 
 from __future__ import annotations
 
+import functools
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -20,15 +22,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.llm.common import slices
+from estrato.llm.common import sliced
 
 MARK = "▁"
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 UNIGRAM, MERGES = 1, 2
 UNKNOWN_PENALTY = 10.0
-KEPT_WORDS = 200_000
+SHIFT = 22
+LETTERS = 1 << 21
+"""States from here on are single letters that are no piece; START stands before a word."""
+START = LETTERS - 1
+KEPT_WORDS = 100_000
 """Encoded words that a task keeps from slice to slice."""
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 200_000
+SLICE_BYTES = 2 << 20
 
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -49,21 +56,22 @@ class Pieces:
         self.text = [p.piece for p in proto.pieces]
         self.score = [p.score for p in proto.pieces]
         self.id = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == NORMAL}
-        if any(p.type == USER for p in proto.pieces) or any(MARK in p.lstrip(MARK) for p in self.id):
+        if len(proto.pieces) >= START or any(p.type == USER for p in proto.pieces) or any(MARK in p.lstrip(MARK) for p in self.id):
             raise ValueError("pieces set by users or pieces with a mark inside are not supported")
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == UNKNOWN)
-        self.longest = max(map(len, self.id), default=1)
         self.lengths: dict[str, list[int]] = {}
         for piece in self.id:
-            own = self.lengths.setdefault(piece[-2:], [])  # by the last two letters
-            if len(piece) > 1 and len(piece) not in own:
-                own.append(len(piece))
+            if len(piece) > 1:
+                own = self.lengths.setdefault(piece[-2:], [])  # by the last two letters
+                if len(piece) not in own:
+                    own.append(len(piece))
         for own in self.lengths.values():
-            own.sort(reverse=True)  # of equal scores the library takes the longer last piece
+            own.sort(reverse=True)  # of equal sums the library takes the longer last piece
+        self.by_lines = self.prefix and not any("\n" in p for p in self.id)
         self.floor = min((self.score[i] for i in self.id.values()), default=0.0) - UNKNOWN_PENALTY
         self.raw = [bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else p.piece.replace(MARK, " ").encode() if p.type == NORMAL else b" \xe2\x81\x87 " if p.type == UNKNOWN else b"" for p in proto.pieces]
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """Pieces by merging: always the pair with the best score, the leftmost of equals."""
@@ -79,81 +87,115 @@ class Pieces:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def joins(self, left: str, right: str) -> bool:
-        """Whether merging leaves both pieces as they are; `left` is empty at the start of a word."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+    def state(self, letter: str) -> int:
+        """Id of a single letter; letters that are no piece have numbers past all ids."""
+        return self.id.get(letter, LETTERS + ord(letter))
+
+    def shown(self, state: int) -> str:
+        return "" if state == START else chr(state - LETTERS) if state >= LETTERS else self.text[state]
+
+    def joins(self, left: int, right: int) -> bool:
+        """Whether merging leaves both pieces as they are; `left` is START at the start of a word."""
+        a, b = self.shown(left), self.shown(right)
+        known = self.merged(a + b) == ([a, b] if a else [b])
+        if len(self.pairs) >= KEPT_PAIRS:
+            self.pairs.clear()
+        self.pairs[left << SHIFT | right] = known
         return known
 
-    def ids_of(self, piece: str) -> list[int]:
-        known = self.id.get(piece)
-        if known is not None:
-            return [known]
-        return [self.bytes[b] for b in piece.encode()] if self.bytes else [self.unknown]
+    def ids_of(self, state: int) -> list[int]:
+        if state < LETTERS:
+            return [state]
+        return [self.bytes[b] for b in chr(state - LETTERS).encode()] if self.bytes else [self.unknown]
 
-    def encode_sorted(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
-        """(word, ids) for words in ascending order; forward states are shared along common prefixes."""
-        last: list[str] = [""]  # last[i]: last piece of the encoding of the first i characters
+    def encode_sorted(self, words: Iterable[str]) -> Iterator[tuple[str, bytes]]:
+        """(word, ids as int32 bytes) for words in ascending order; forward states are shared along common prefixes."""
+        last: list[int] = [START]  # last[i]: last piece of the encoding of the first i letters
         score: list[float] = [0.0]
         before = ""
-        ids, lengths, joins, merges = self.id, self.lengths, self.joins, self.kind == MERGES
+        ids, lengths, pairs, scores, text, merges = self.id, self.lengths, self.pairs, self.score, self.text, self.kind == MERGES
         for word in words:
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
             del last[shared + 1 :], score[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                best = letter = word[end - 1]
+                best = None
                 if merges:  # exactly one piece fits; if no longer one does, it is the letter
                     for n in lengths.get(word[end - 2 : end], ()) if end > 1 else ():
-                        if n <= end and (piece := word[end - n : end]) in ids and joins(last[end - n], piece):
-                            best = piece
-                            break
+                        if n <= end and (piece := ids.get(word[end - n : end])) is not None:
+                            fits = pairs.get(last[end - n] << SHIFT | piece)
+                            if fits or fits is None and self.joins(last[end - n], piece):
+                                best = piece
+                                break
+                    if best is None:
+                        best = self.state(word[end - 1])
                 else:
                     total = None
                     for n in lengths.get(word[end - 2 : end], ()) if end > 1 else ():
-                        if n <= end and (known := ids.get(word[end - n : end])) is not None and (total is None or score[end - n] + self.score[known] > total):
-                            total, best = score[end - n] + self.score[known], word[end - n : end]
-                    own = ids.get(letter)
-                    alone = score[end - 1] + (self.floor if own is None else self.score[own])
+                        if n <= end and (piece := ids.get(word[end - n : end])) is not None and (total is None or score[end - n] + scores[piece] > total):
+                            total, best = score[end - n] + scores[piece], piece
+                    letter = self.state(word[end - 1])
+                    alone = score[end - 1] + (self.floor if letter >= LETTERS else scores[letter])
                     if total is None or alone > total:
                         total, best = alone, letter
                     score.append(total)
                 last.append(best)
             out, end = [], len(word)
             while end:
-                out.append(last[end])
-                end -= len(last[end])
+                state = last[end]
+                if state < LETTERS:
+                    out.append(state)
+                    end -= len(text[state])
+                else:
+                    out += reversed(self.ids_of(state))
+                    end -= 1
+            out.reverse()
             before = word
-            yield word, [i for piece in reversed(out) for i in self.ids_of(piece)]
+            yield word, array("i", out).tobytes()
 
-    def words(self, text: str) -> list[str]:
-        """Marked words of a text; joined they are the text with its spaces marked."""
+    def keys(self, text: str) -> list[str]:
+        """Keys of a text's words: the word without its mark, or with its line end, or as `marked` has it."""
         if not text:
             return []
-        marked = (MARK if self.prefix else "") + text.replace(" ", MARK)
-        return _WORDS.findall(marked)
+        if self.by_lines and MARK not in text:
+            apart = text.replace("\n", " \n")  # no piece has a line end, so words end there too
+            if "  " not in apart and not apart.endswith(" ") and text[0] != " ":
+                return apart.split(" ")
+        return _WORDS.findall((MARK if self.prefix else "") + text.replace(" ", MARK))
+
+    def marked(self, key: str) -> str:
+        return key if not self.by_lines or key.startswith((MARK, "\n")) else MARK + key
 
     def decode(self, ids: Iterable[int]) -> str:
         out = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return out[1:] if self.prefix and out.startswith(" ") else out
 
 
+@functools.lru_cache(maxsize=1)
+def loaded(model: bytes) -> Pieces:
+    """A worker keeps the last model, and what it knows of its pairs, from task to task."""
+    return Pieces(model)
+
+
 def encoder(pieces: Pieces):
     """A function from texts to (ids, number of words) per text, with words kept from call to call."""
-    known: dict[str, list[int]] = {}
+    known: dict[str, bytes] = {}
 
     def encode(texts: list[str]) -> list[tuple[np.ndarray, int]]:
-        split = [pieces.words(x) for x in texts]
-        new = set(chain.from_iterable(split)) - known.keys()
+        split = [pieces.keys(x) for x in texts]
+        keys = set(chain.from_iterable(split))
+        new = keys - known.keys()
         if len(known) + len(new) > KEPT_WORDS:
             known.clear()
-            new = set(chain.from_iterable(split))
-        known.update(pieces.encode_sorted(sorted(new)))
-        return [(np.fromiter(chain.from_iterable(map(known.__getitem__, w)), np.int32), len(w)) for w in split]
+            new = keys
+        words: dict[str, list[str]] = {}
+        for key in new:
+            words.setdefault(pieces.marked(key), []).append(key)
+        for word, ids in pieces.encode_sorted(sorted(words)):
+            for key in words[word]:
+                known[key] = ids
+        return [(np.frombuffer(b"".join(map(known.__getitem__, w)), np.int32), len(w)) for w in split]
 
     return encode
 
@@ -175,20 +217,20 @@ def encoded_texts(docs: DataFrame, model_path: str) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(model_bytes(docs.sparkSession, model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model.value)
+        pieces = loaded(model.value)
         encode = encoder(pieces)
         for batch in batches:
-            texts = batch.column("text").cast(pa.string()).to_pylist()
-            for lo, hi in slices([x or "" for x in texts]):
-                own = texts[lo:hi]
-                found = encode([x or "" for x in own])
+            column = batch.column("text").cast(pa.string())
+            for lo, hi, texts in sliced(column, SLICE_BYTES):
+                own = [x.decode() for x in texts]
+                found = encode(own)
                 sizes = np.array([len(ids) for ids, _ in found], np.int64)
                 offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                empty = np.array([x is None for x in own])
+                empty = column.slice(lo, hi - lo).is_null().to_numpy(zero_copy_only=False)
                 ids = pa.ListArray.from_arrays(pa.array(offsets, mask=np.append(empty, False)), pa.array(np.concatenate([ids for ids, _ in found]), pa.int32()))
                 part = batch.slice(lo, hi - lo)
                 more = [ids, pa.array(sizes, mask=empty), pa.array(np.array([n for _, n in found], np.int64), mask=empty),
-                        pa.array([None if x is None else pieces.decode(ids.tolist()) for x, (ids, _) in zip(own, found)], pa.string())]
+                        pa.array([None if none else pieces.decode(ids.tolist()) for none, (ids, _) in zip(empty, found)], pa.string())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, *added])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"{n} {t}" for n, t in added.items()]

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estrato.llm.common import encoded, record_batch, slices, stored
+from estrato.llm.common import record_batch, sliced, stored
 from estrato.llm.components import components, forest
 
 SEGMENTS = 16
@@ -51,8 +51,7 @@ def fingerprint_of(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])
     for batch in batches:
-        texts = encoded(batch.column(1))
-        values = np.fromiter(map(fingerprint_of, texts), np.uint64, len(texts))
+        values = np.array([fingerprint_of(x) for _, _, texts in sliced(batch.column(1)) for x in texts], np.uint64)
         yield record_batch(schema, batch.column(0), batch.column(2), pa.array(values.view(np.int64)))
 
 
