@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import functools
 import re
-from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -32,9 +31,9 @@ SHIFT = 22
 LETTERS = 1 << 21
 """States from here on are single letters that are no piece; START stands before a word."""
 START = LETTERS - 1
-KEPT_WORDS = 100_000
-"""Encoded words that a task keeps from slice to slice."""
-KEPT_PAIRS = 200_000
+KEPT_WORDS = 200_000
+"""Encoded words that a task keeps: when there are as many, those not used since the last turn go."""
+KEPT_PAIRS = 500_000
 SLICE_BYTES = 2 << 20
 
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -62,8 +61,8 @@ class Pieces:
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == UNKNOWN)
         self.lengths: dict[str, list[int]] = {}
         for piece in self.id:
-            if len(piece) > 1:
-                own = self.lengths.setdefault(piece[-2:], [])  # by the last two letters
+            if len(piece) > 2:
+                own = self.lengths.setdefault(piece[-3:], [])  # by the last three letters
                 if len(piece) not in own:
                     own.append(len(piece))
         for own in self.lengths.values():
@@ -71,6 +70,7 @@ class Pieces:
         self.by_lines = self.prefix and not any("\n" in p for p in self.id)
         self.floor = min((self.score[i] for i in self.id.values()), default=0.0) - UNKNOWN_PENALTY
         self.raw = [bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else p.piece.replace(MARK, " ").encode() if p.type == NORMAL else b" \xe2\x81\x87 " if p.type == UNKNOWN else b"" for p in proto.pieces]
+        self.codes = [np.int32(i).tobytes() for i in range(len(proto.pieces))]
         self.pairs: dict[int, bool] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -103,56 +103,54 @@ class Pieces:
         self.pairs[left << SHIFT | right] = known
         return known
 
-    def ids_of(self, state: int) -> list[int]:
-        if state < LETTERS:
-            return [state]
-        return [self.bytes[b] for b in chr(state - LETTERS).encode()] if self.bytes else [self.unknown]
+    def code(self, letter: int) -> bytes:
+        """Ids, as int32 bytes, of a letter that is no piece."""
+        if not self.bytes:
+            return self.codes[self.unknown]
+        return b"".join(self.codes[self.bytes[b]] for b in chr(letter - LETTERS).encode())
 
     def encode_sorted(self, words: Iterable[str]) -> Iterator[tuple[str, bytes]]:
         """(word, ids as int32 bytes) for words in ascending order; forward states are shared along common prefixes."""
         last: list[int] = [START]  # last[i]: last piece of the encoding of the first i letters
+        done: list[bytes] = [b""]  # done[i]: that encoding
         score: list[float] = [0.0]
         before = ""
-        ids, lengths, pairs, scores, text, merges = self.id, self.lengths, self.pairs, self.score, self.text, self.kind == MERGES
+        ids, lengths, pairs, scores, codes, merges = self.id, self.lengths, self.pairs, self.score, self.codes, self.kind == MERGES
         for word in words:
-            shared, most = 0, min(len(before), len(word))
-            while shared < most and before[shared] == word[shared]:
-                shared += 1
-            del last[shared + 1 :], score[shared + 1 :]
+            shared = len(before)
+            while not word.startswith(before[:shared]):
+                shared -= 1
+            del last[shared + 1 :], done[shared + 1 :], score[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                best = None
+                best, size = None, 1
                 if merges:  # exactly one piece fits; if no longer one does, it is the letter
-                    for n in lengths.get(word[end - 2 : end], ()) if end > 1 else ():
+                    for n in lengths.get(word[end - 3 : end], ()) if end > 2 else ():
                         if n <= end and (piece := ids.get(word[end - n : end])) is not None:
                             fits = pairs.get(last[end - n] << SHIFT | piece)
                             if fits or fits is None and self.joins(last[end - n], piece):
-                                best = piece
+                                best, size = piece, n
                                 break
+                    else:
+                        if end > 1 and (piece := ids.get(word[end - 2 : end])) is not None:
+                            fits = pairs.get(last[end - 2] << SHIFT | piece)
+                            if fits or fits is None and self.joins(last[end - 2], piece):
+                                best, size = piece, 2
                     if best is None:
                         best = self.state(word[end - 1])
                 else:
                     total = None
-                    for n in lengths.get(word[end - 2 : end], ()) if end > 1 else ():
+                    for n in (*lengths.get(word[end - 3 : end], ()), 2) if end > 2 else (2,):
                         if n <= end and (piece := ids.get(word[end - n : end])) is not None and (total is None or score[end - n] + scores[piece] > total):
-                            total, best = score[end - n] + scores[piece], piece
+                            total, best, size = score[end - n] + scores[piece], piece, n
                     letter = self.state(word[end - 1])
                     alone = score[end - 1] + (self.floor if letter >= LETTERS else scores[letter])
                     if total is None or alone > total:
-                        total, best = alone, letter
+                        total, best, size = alone, letter, 1
                     score.append(total)
                 last.append(best)
-            out, end = [], len(word)
-            while end:
-                state = last[end]
-                if state < LETTERS:
-                    out.append(state)
-                    end -= len(text[state])
-                else:
-                    out += reversed(self.ids_of(state))
-                    end -= 1
-            out.reverse()
+                done.append(done[end - size] + (codes[best] if best < LETTERS else self.code(best)))
             before = word
-            yield word, array("i", out).tobytes()
+            yield word, done[-1]
 
     def keys(self, text: str) -> list[str]:
         """Keys of a text's words: the word without its mark, or with its line end, or as `marked` has it."""
@@ -180,22 +178,27 @@ def loaded(model: bytes) -> Pieces:
 
 def encoder(pieces: Pieces):
     """A function from texts to (ids, number of words) per text, with words kept from call to call."""
+
     known: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
 
     def encode(texts: list[str]) -> list[tuple[np.ndarray, int]]:
+        nonlocal known, older
         split = [pieces.keys(x) for x in texts]
-        keys = set(chain.from_iterable(split))
-        new = keys - known.keys()
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = keys
-        words: dict[str, list[str]] = {}
-        for key in new:
-            words.setdefault(pieces.marked(key), []).append(key)
-        for word, ids in pieces.encode_sorted(sorted(words)):
-            for key in words[word]:
+        missing: dict[str, list[str]] = {}
+        for key in set(chain.from_iterable(split)) - known.keys():
+            ids = older.get(key)
+            if ids is None:
+                missing.setdefault(pieces.marked(key), []).append(key)
+            else:
+                known[key] = ids
+        for word, ids in pieces.encode_sorted(sorted(missing)):
+            for key in missing[word]:
                 known[key] = ids
-        return [(np.frombuffer(b"".join(map(known.__getitem__, w)), np.int32), len(w)) for w in split]
+        out = [(np.frombuffer(b"".join(map(known.__getitem__, w)), np.int32), len(w)) for w in split]
+        if len(known) > KEPT_WORDS:  # words not used since the last turn are forgotten with the next
+            known, older = {}, known
+        return out
 
     return encode
 
