@@ -7,7 +7,6 @@ are available where equality of hashes stands for equality of text.
 
 from __future__ import annotations
 
-import functools
 import importlib.util
 import shutil
 import tempfile
@@ -35,20 +34,18 @@ def _importable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _importable.__module__ = "__main__"  # travels by value: it runs where the package may be missing
 
 
-@functools.cache
-def _shipped(application_id: str) -> bool:
-    spark = SparkSession.getActiveSession()
-    if all(r[0] for r in spark.range(1).mapInArrow(_importable, "ok boolean").collect()):
-        return False
-    package = Path(__file__).resolve().parent.parent
-    # as --py-files would: Spark's own file server hands the archive to every executor
-    spark.sparkContext.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/estrato", "zip", package.parent, package.name))
-    return True
+_SEEN: set[str] = set()
 
 
 def ensure_importable(spark: SparkSession) -> None:
-    """Sends this package to the executors if their Python doesn't find it."""
-    _shipped(spark.sparkContext.applicationId)
+    """Sends this package to the executors if their Python doesn't find it; asked once per application."""
+    if spark.sparkContext.applicationId in _SEEN:
+        return
+    if not all(r[0] for r in spark.range(1).mapInArrow(_importable, "ok boolean").collect()):
+        package = Path(__file__).resolve().parent.parent
+        # as --py-files would: Spark's own file server hands the archive to every executor
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/estrato", "zip", package.parent, package.name))
+    _SEEN.add(spark.sparkContext.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

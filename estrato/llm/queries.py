@@ -60,7 +60,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs, crc_fold("doc_id", 4) != 2)
     return language.with_language(docs.select("doc_id", "text"), model).select(
-        "doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+        "doc_id", F.coalesce(crc_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +143,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"), crc_fold("doc_id", 5) != 0)
     return quality.with_quality(docs.select("doc_id", "text"), model).select(
-        "doc_id", (crc_fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+        "doc_id", F.coalesce(crc_fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
