@@ -106,7 +106,7 @@ def slices(texts: Sequence[bytes | str], most: int = 2 << 20) -> Iterator[tuple[
         yield start, len(texts)
 
 
-def sliced(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
+def sliced(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
     """(start, end, UTF-8 bytes) of consecutive texts of about `most` bytes together, made one slice at a time.
 
     A batch from Spark has a fixed number of rows, however long they are; only a slice of it is ever

@@ -31,7 +31,7 @@ a text of one word has few of its language's n-grams and is far from any centroi
 unknown script has none."""
 SHARPNESS = 20.0
 MODEL_BYTES = 512 << 20
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 UNKNOWN = "und"
 
 FIELDS = {"lang_pred": "string", "score": "double", "similarity": "double", "rejected": "boolean"}

@@ -33,8 +33,8 @@ LETTERS = 1 << 21
 START = LETTERS - 1
 KEPT_WORDS = 200_000
 """Encoded words that a task keeps: when there are as many, those not used since the last turn go."""
-KEPT_PAIRS = 500_000
-SLICE_BYTES = 2 << 20
+KEPT_PAIRS = 300_000
+SLICE_BYTES = 1 << 20
 
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
