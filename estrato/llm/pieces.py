@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import functools
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -34,6 +35,8 @@ START = LETTERS - 1
 KEPT_WORDS = 200_000
 """Encoded words that a task keeps: when there are as many, those not used since the last turn go."""
 KEPT_PAIRS = 300_000
+JOINED = 64
+"""Letters up to which a forward state holds its joined encoding; longer words are joined once, by their last pieces, and not kept."""
 SLICE_BYTES = 1 << 20
 
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -112,12 +115,14 @@ class Pieces:
     def encode_sorted(self, words: Iterable[str]) -> Iterator[tuple[str, bytes]]:
         """(word, ids as int32 bytes) for words in ascending order; forward states are shared along common prefixes."""
         last: list[int] = [START]  # last[i]: last piece of the encoding of the first i letters
-        done: list[bytes] = [b""]  # done[i]: that encoding
+        done: list[bytes] = [b""]  # done[i]: that encoding, for the first JOINED letters
         score: list[float] = [0.0]
         before = ""
         ids, lengths, pairs, scores, codes, merges = self.id, self.lengths, self.pairs, self.score, self.codes, self.kind == MERGES
         for word in words:
-            shared = len(before)
+            shared = min(len(before), len(word))
+            if shared > JOINED:
+                shared = bisect_left(range(shared), True, key=lambda n: not word.startswith(before[: n + 1]))
             while not word.startswith(before[:shared]):
                 shared -= 1
             del last[shared + 1 :], done[shared + 1 :], score[shared + 1 :]
@@ -148,9 +153,19 @@ class Pieces:
                         total, best, size = alone, letter, 1
                     score.append(total)
                 last.append(best)
-                done.append(done[end - size] + (codes[best] if best < LETTERS else self.code(best)))
+                if end <= JOINED:
+                    done.append(done[end - size] + (codes[best] if best < LETTERS else self.code(best)))
             before = word
-            yield word, done[-1]
+            yield word, done[-1] if len(word) <= JOINED else self.joined(last, done)
+
+    def joined(self, last: list[int], done: list[bytes]) -> bytes:
+        """The encoding of a word of more than JOINED letters: a state's piece tells where the one before it ends."""
+        parts, end = [], len(last) - 1
+        while end > JOINED:
+            piece = last[end]
+            parts.append(self.codes[piece] if piece < LETTERS else self.code(piece))
+            end -= len(self.shown(piece))
+        return b"".join([done[end], *reversed(parts)])
 
     def keys(self, text: str) -> list[str]:
         """Keys of a text's words: the word without its mark, or with its line end, or as `marked` has it."""
@@ -192,10 +207,15 @@ def encoder(pieces: Pieces):
                 missing.setdefault(pieces.marked(key), []).append(key)
             else:
                 known[key] = ids
+        long: list[str] = []
         for word, ids in pieces.encode_sorted(sorted(missing)):
             for key in missing[word]:
                 known[key] = ids
+            if len(word) > JOINED:
+                long += missing[word]
         out = [(np.frombuffer(b"".join(map(known.__getitem__, w)), np.int32), len(w)) for w in split]
+        for key in long:  # KEPT_WORDS counts words, not letters
+            del known[key]
         if len(known) > KEPT_WORDS:  # words not used since the last turn are forgotten with the next
             known, older = {}, known
         return out

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pytest
 import sentencepiece
@@ -61,6 +62,30 @@ def test_kept_words_change_nothing(model, monkeypatch):
     assert [i.tolist() for k in range(0, 500, 20) for i, _ in encode(given[k : k + 20])] == plain
 
 
+@pytest.mark.parametrize("letters", [4_000, 100_000])
+@pytest.mark.parametrize("kind", ["漢字是一個很長的段落", "ABCDEFGHabcdefgh0123456789+/", "🙂𝛼𝛽ঌ"])
+def test_long_texts_without_spaces(model, letters, kind):
+    library, own = sentencepiece.SentencePieceProcessor(model_proto=model), pieces.Pieces(model)
+    text = "".join(random.Random(5).choices(kind, k=letters))
+    tracemalloc.start()
+    try:
+        encode = pieces.encoder(own)
+        got = [ids.tolist() for ids, _ in encode([text, text[:-1] + "x"])]
+        del encode
+        held = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got == [library.encode(text), library.encode(text[:-1] + "x")]
+    assert held < 1000 * letters + (4 << 20)
+
+
+def test_long_words_are_not_kept(model):
+    encode = pieces.encoder(pieces.Pieces(model))
+    encode(["short " + "long" * 100])
+    known = next(c.cell_contents for n, c in zip(encode.__code__.co_freevars, encode.__closure__) if n == "known")
+    assert "short" in known and all(len(k) <= pieces.JOINED for k in known)
+
+
 def test_edges(make_docs, spiky_rows, model):
     library = sentencepiece.SentencePieceProcessor(model_proto=model)
     found = pieces.encoded_texts(make_docs(spiky_rows), MODEL).collect()
