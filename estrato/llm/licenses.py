@@ -3,7 +3,8 @@
 Where two neighbouring words of a template occur in a text, the region around is aligned with the
 template: words that are unique in both are anchors, the longest increasing subsequence of anchors is
 kept, and the gaps between them are aligned in the same way; equal words at a gap's ends match
-directly. The share of template words matched is the coverage. A region may hold the template once;
+directly. A match is aligned again around the place its words point to, so a region that began too
+early cuts nothing off. The share of template words matched is the coverage. A region may hold the template once;
 the search goes on behind each match, so several copies are all found.
 """
 
@@ -74,6 +75,23 @@ def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def whole(text: list[int], own: list[int], found: list[tuple[int, int]], least: int) -> list[tuple[int, int]]:
+    """The best of a match that a region may have cut and alignments around the place it points to.
+
+    The median offset of the matched words tells where the template begins in the text; the region of
+    its exact length there is aligned again, and one wider by half a length on both sides, from `least` on.
+    """
+    offsets = sorted(i - j for i, j in found)
+    begin = offsets[len(offsets) // 2]
+    tried = [found]
+    for slack in (0, len(own) // 2 + 1):
+        lo = max(least, begin - slack)
+        tried.append([(lo + i, j) for i, j in aligned(text[lo : max(lo, begin + len(own) + slack)], own)])
+        if len(tried[-1]) == len(own):
+            break
+    return max(filter(None, tried), key=lambda x: (len(x), x[0][0] - x[-1][0]))
+
+
 def _unique(words: list[int], start: int, end: int) -> dict[int, int]:
     seen: dict[int, int] = {}
     for p in range(start, end):
@@ -112,8 +130,9 @@ class Scanner:
                     continue
                 pairs_found = aligned(text[start:reach], own)
                 if len(pairs_found) >= need and len(pairs_found) >= density * (pairs_found[-1][0] - pairs_found[0][0] + 1):
-                    at = start + pairs_found[-1][0] + 1
-                    found.append((self.names[t], len(pairs_found) / len(own), start + pairs_found[0][0], at))
+                    best = whole(text, own, [(start + i, j) for i, j in pairs_found], max(at, 0))
+                    at = best[-1][0] + 1
+                    found.append((self.names[t], len(best) / len(own), best[0][0], at))
         return sorted(found, key=lambda x: (x[2], -x[3], x[0]))
 
 

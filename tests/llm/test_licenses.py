@@ -39,6 +39,23 @@ def test_several_copies_and_places(make_docs):
     assert row.spans[:4] == [2, 7, 8, 13]
 
 
+def test_verbatim_notices_in_prose_are_whole(make_docs):
+    rng = random.Random(3)
+    prose = "he spoke of the sea and in the end the people of the town asked for a copy of this story to be read without any doubt subject to the weather".split()
+    rows, want = [], {}
+    for k, name in enumerate(("MIT", "ISC", "BSD-2-Clause", "Apache-2.0 notice", "GPL-3.0 notice")):
+        size = len(licenses.Scanner({name: TEMPLATES[name]}).words[0])
+        for j in range(20):
+            gap = int(size * (0.45 + 0.015 * j))
+            before = rng.choices(prose, k=100) + ["of", "the"] + ["zz"] * gap
+            rows.append((100 * k + j, " ".join(before) + f"\n{TEMPLATES[name]}\nqq " + " ".join(rng.choices(prose, k=100))))
+            want[100 * k + j] = (name, len(before), len(before) + size)
+    for doc, r in scan(make_docs(rows)).items():
+        matches = list(zip(r.licenses, r.coverages, r.spans[::2], r.spans[1::2]))
+        name, first, end = want[doc]
+        assert (name, 1.0, first, end) in matches, (doc, want[doc], matches)
+
+
 def test_edges(make_docs, spiky_rows):
     found = licenses.with_licenses(make_docs(spiky_rows)).collect()
     assert len(found) == len(spiky_rows) and all(r.licenses == [] and r.spans == [] for r in found)
