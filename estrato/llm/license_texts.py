@@ -1,4 +1,6 @@
-"""Public licence notices and texts to scan for."""
+"""Public licence lines, notices and full texts to scan for."""
+
+from pkgutil import get_data
 
 # The wording of each notice, without names and years.
 TEMPLATES = {
@@ -66,3 +68,79 @@ publish, use, compile, sell, or distribute this software, either in source code
 binary, for any purpose, commercial or non-commercial, and by any means.
 """,
 }
+
+_LINES = {
+    "GPL-2.0": "the GNU General Public License, version 2",
+    "LGPL-2.1": "the GNU Lesser General Public License, version 2.1",
+    "LGPL-3.0": "the GNU Lesser General Public License, version 3",
+    "AGPL-3.0": "the GNU Affero General Public License, version 3",
+    "MPL-2.0": "the Mozilla Public License, version 2.0",
+    "EPL-1.0": "the Eclipse Public License, version 1.0",
+    "EPL-2.0": "the Eclipse Public License, version 2.0",
+    "BSD-2-Clause": "the BSD 2-Clause License",
+    "BSD-3-Clause": "the BSD 3-Clause License",
+    "ISC": "the ISC License",
+    "BSL-1.0": "the Boost Software License, version 1.0",
+    "CC0-1.0": "CC0 1.0",
+    "CC-BY-3.0": "CC BY 3.0",
+    "CC-BY-SA-3.0": "CC BY-SA 3.0",
+    "CC-BY-4.0": "CC BY 4.0",
+    "CC-BY-SA-4.0": "CC BY-SA 4.0",
+    "CC-BY-ND-4.0": "CC BY-ND 4.0",
+    "CC-BY-NC-SA-4.0": "CC BY-NC-SA 4.0",
+    "CC-BY-NC-ND-4.0": "CC BY-NC-ND 4.0",
+}
+TEMPLATES |= {f"{name} line": f"Licensed under {words}." for name, words in _LINES.items()}
+
+_CREATIVE_COMMONS = {
+    "CC-BY-4.0": "Attribution",
+    "CC-BY-SA-4.0": "Attribution-ShareAlike",
+    "CC-BY-ND-4.0": "Attribution-NoDerivatives",
+    "CC-BY-NC-4.0": "Attribution-NonCommercial",
+    "CC-BY-NC-SA-4.0": "Attribution-NonCommercial-ShareAlike",
+    "CC-BY-NC-ND-4.0": "Attribution-NonCommercial-NoDerivatives",
+}
+TEMPLATES |= {f"{name} notice": f"licensed under a Creative Commons {words} 4.0 International License." for name, words in _CREATIVE_COMMONS.items()}
+
+
+def _gnu(kind: str, version: str) -> str:
+    text = TEMPLATES["GPL-3.0 notice"].replace("General\nPublic", "General Public").replace("GNU\nGeneral", "GNU General")
+    text = text.replace("GNU General", f"GNU {kind}General").replace("version 3", f"version {version}")
+    return text.replace("This program", "This library").replace("this program", "this library") if kind == "Lesser " else text
+
+
+TEMPLATES |= {
+    "GPL-2.0 notice": _gnu("", "2"),
+    "LGPL-2.1 notice": _gnu("Lesser ", "2.1"),
+    "LGPL-3.0 notice": _gnu("Lesser ", "3"),
+    "AGPL-3.0 notice": _gnu("Affero ", "3"),
+    "MPL-2.0 notice": """
+This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
+was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.
+""",
+    "EPL-2.0 notice": """
+This program and the accompanying materials are made available under the terms of the Eclipse Public
+License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/
+""",
+    "BSD-3-Clause": TEMPLATES["BSD-2-Clause"].replace("THIS SOFTWARE IS PROVIDED BY", """
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY"""),
+    "Zlib": """
+This software is provided 'as-is', without any express or implied warranty. In no event will the authors be
+held liable for any damages arising from the use of this software. Permission is granted to anyone to use
+this software for any purpose, including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented;
+you must not claim that you wrote the original software. If you use this software in a product, an
+acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source
+versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution.
+""",
+}
+
+FULL = ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0")
+TEMPLATES |= {f"{name} text": get_data(__name__, f"license_full/{name}.txt").decode() for name in FULL}
+
+# Words that change which licence is meant, and words of short lines that don't tell one from another.
+VARIANTS = "lesser library affero nc sa nd noncommercial sharealike noderivatives noderivs"
+COMMON = "this work software code file text is are was licensed released published distributed available made under the a an of and to terms license licence version v international"

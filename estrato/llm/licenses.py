@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estrato.llm.common import Words, separator_table, sliced, window_hashes
-from estrato.llm.license_texts import TEMPLATES
+from estrato.llm.license_texts import COMMON, TEMPLATES, VARIANTS
 
 COVERAGE = 0.8
+SHORT = 20
+"""Templates of fewer words must match in every word but the COMMON ones."""
 DENSITY = 0.5
 """Least share of matched words in the stretch of text that a match takes up."""
 SEPARATORS = separator_table([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
@@ -113,27 +115,60 @@ class Scanner:
                 self.owners.setdefault(pair, []).append(t)
         self.pairs = np.array(sorted(self.owners), np.uint64)
 
+        few = Words([w.encode() for w in (COMMON, VARIANTS, "version v", " ".join(map(str, range(100))))], SEPARATORS)
+        known = few.hashes().tolist()
+        common, self.variants, version, self.numbers = (set(known[a:b]) for a, b in zip(few.first, few.first[1:]))
+        self.needed = []
+        zero = known[few.first[3]]  # version 2 is version 2.0
+        for own in self.words:
+            digits = {j for j, w in enumerate(own) if w in self.numbers and w != zero and any(x in version for x in own[max(0, j - 2) : j]) and all(x in version or x in self.numbers for x in own[max(0, j - 1) : j])}
+            self.needed.append({j for j, w in enumerate(own) if w not in common and w != zero} if len(own) < SHORT else digits)
+
+    def contradicted(self, text: list[int], t: int, found: list[tuple[int, int]]) -> bool:
+        """Whether the text names another licence or version than a template that it matches."""
+        missing = self.needed[t] - {j for _, j in found}
+        if missing and len(self.words[t]) < SHORT:
+            return True
+        for (i, j), (k, n) in zip(found, found[1:]):
+            gap = text[i + 1 : k]
+            if gap and gap[-1] in self.variants or any(x in missing for x in range(j + 1, n)) and (not gap or any(w in self.numbers for w in gap)):
+                return True
+        return False
+
     def scan(self, text: list[int], places: list[int], pairs: list[int], coverage: float, density: float = DENSITY) -> list[tuple[str, float, int, int]]:
-        """(template, coverage, first word, end word) of matches; places are where known pairs begin."""
+        """(template, coverage, first word, end word) of the best matches; places are where known pairs begin."""
         by_template: dict[int, list[int]] = {}
         for place, pair in zip(places, pairs):
             for t in self.owners[pair]:
                 by_template.setdefault(t, []).append(place)
         found = []
         for t, starts in by_template.items():
-            own, at = self.words[t], -1
+            own, at, skip = self.words[t], -1, -1
             need = coverage * len(own)
             for k, start in enumerate(starts):
                 reach = start + len(own) + len(own) // 2 + 1
                 # k.. lie within reach: a match of `need` words has about as many known pairs
-                if start < at or bisect_left(starts, reach, k) - k + 1 < need / 2:
+                if start < at or start < skip or bisect_left(starts, reach, k) - k + 1 < need / 2:
                     continue
                 pairs_found = aligned(text[start:reach], own)
+                skip = start + (need - len(pairs_found)) / 2  # a region that begins d words later has at most d words more to match
                 if len(pairs_found) >= need and len(pairs_found) >= density * (pairs_found[-1][0] - pairs_found[0][0] + 1):
                     best = whole(text, own, [(start + i, j) for i, j in pairs_found], max(at, 0))
+                    if self.contradicted(text, t, best):
+                        at = best[len(best) // 2][0] if len(own) >= SHORT else at
+                        continue
                     at = best[-1][0] + 1
-                    found.append((self.names[t], len(best) / len(own), best[0][0], at))
-        return sorted(found, key=lambda x: (x[2], -x[3], x[0]))
+                    found.append((self.names[t], len(best) / len(own), best[0][0], at, 3 * len(best) - len(own) - (at - best[0][0])))
+        return sorted(winners(found), key=lambda x: (x[2], -x[3], x[0]))
+
+
+def winners(found: list[tuple[str, float, int, int, int]]) -> list[tuple[str, float, int, int]]:
+    """Of matches that share over half of the shorter one's span the best aligned: matched words less those left over on both sides."""
+    kept: list[tuple[str, float, int, int]] = []
+    for name, share, first, end, _ in sorted(found, key=lambda x: (-x[4], x[0])):
+        if all(2 * (min(end, e) - max(first, f)) <= min(end - first, e - f) for _, _, f, e in kept):
+            kept.append((name, share, first, end))
+    return kept
 
 
 def with_licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:

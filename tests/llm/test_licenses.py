@@ -56,6 +56,30 @@ def test_verbatim_notices_in_prose_are_whole(make_docs):
         assert (name, 1.0, first, end) in matches, (doc, want[doc], matches)
 
 
+def test_neighbours_have_their_own_names(make_docs):
+    texts = {
+        "Licensed under CC BY 4.0.": "CC-BY-4.0 line",
+        "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0 line",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0 line",
+        "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0 line",
+        "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0 line",
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0 line",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0 line",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0 line",
+        "Licensed under the Mozilla Public License, Version 2.0.": "MPL-2.0 line",
+        "Licensed under the Eclipse Public License, Version 2.0.": "EPL-2.0 line",
+        "Licensed under the Foo License, Version 2.0.": None,
+        "Licensed under the Apache License, Version 1.1.": None,
+        "Licensed under CC BY 9.0.": None,
+        TEMPLATES["GPL-3.0 notice"].replace("version 3", "version 1"): None,
+        **{text: name for name, text in TEMPLATES.items()},
+    }
+    found = scan(make_docs([(k, f"some words before\n{text}\nand some words after") for k, text in enumerate(texts)]))
+    for k, (text, name) in enumerate(texts.items()):
+        assert found[k].licenses == ([name] if name else []), (text[:100], name, found[k].licenses)
+        assert set(found[k].coverages) <= {1.0} or name.endswith("line")
+
+
 def test_edges(make_docs, spiky_rows):
     found = licenses.with_licenses(make_docs(spiky_rows)).collect()
     assert len(found) == len(spiky_rows) and all(r.licenses == [] and r.spans == [] for r in found)
