@@ -5,7 +5,7 @@ import sentencepiece
 
 from estrato.llm import language
 from estrato.llm.common import crc_fold
-from tests.llm import test_decontaminate, test_lines, test_simhash
+from tests.llm import test_copies, test_decontaminate, test_lines
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -19,7 +19,8 @@ def brute(spark, rows, sf_dir):
     docs.sort()
     left = {d: (t, n, gone) for d, t, n, gone in test_lines.brute([(d, t) for d, t, _ in docs], 2)}
     docs = [(d, left[d][0], lang) for d, _, lang in docs if left[d][2] == 0 or left[d][2] < left[d][1]]
-    heads = {d for d, _, c in test_simhash.brute([(d, t) for d, t, _ in docs]) if d == c}
+    groups = test_copies.parts([d for d, _, _ in docs], test_copies.brute([(d, t) for d, t, _ in docs]))
+    heads = {g[0] for g in groups}
     docs = [x for x in docs if x[0] in heads]
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
     dirty = {d for d, _, hits, _ in test_decontaminate.brute([(d, t) for d, t, _ in docs], items) if hits}
