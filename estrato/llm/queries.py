@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.llm import decontaminate, embeddings, language, licenses, lines, pieces, quality, simhash, substrings, warc
+from estrato.llm import audit, decontaminate, embeddings, language, licenses, lines, packing, pieces, quality, simhash, substrings, warc
 from estrato.llm.common import crc_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,5 +185,51 @@ FROM rows JOIN least USING (r) LEFT JOIN counted USING (r)
 """
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_substring_dedup, op3_language_id, op4_line_dedup, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_quality_classifier, op8_sentencepiece, op9_license_scan, op10_embedding_near_dedup)}
-ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_benchmark_decontamination": OP5_SQL, "op10_embedding_near_dedup": OP10_SQL}
+def op11_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    found = packing.packed(table(spark, sf_dir, "documents"), tokenizer_path or public_tokenizers.path("word_bpe_49k.json"), ids=False)
+    return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source")
+
+
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), failed AS (
+  SELECT doc_id, part, len(w) < 50 AS a, 100 * len(list_distinct(w)) < 65 * len(w) AS b,
+         100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+         coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false) AS e
+  FROM docs
+), marks AS (
+  SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), rows AS (
+  SELECT part, CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS fails,
+         count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM failed LEFT JOIN marks USING (doc_id) GROUP BY 1, 2
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, CAST(s AS INTEGER) AS step, filter_order[s] AS own, left(filter_order, s - 1) AS earlier FROM orders, range(1, 6) AS r(s)
+), told AS (
+  SELECT part, filter_order, step, own, n, good, toxic, contains(fails, own) AS f, fails = own AS only_own, translate(fails, earlier, '') <> fails AS before FROM rows, steps
+), counted AS (
+  SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (WHERE NOT f AND NOT before), 0) AS kept, coalesce(sum(n) FILTER (WHERE f AND NOT before), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE f AND before), 0) AS redundant, coalesce(sum(n) FILTER (WHERE only_own), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE f AND NOT before), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE f AND NOT before), 0) AS toxic_lost
+  FROM told GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_substring_dedup, op3_language_id, op4_line_dedup, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_quality_classifier, op8_sentencepiece, op9_license_scan, op10_embedding_near_dedup, op11_packing, op13_filter_interactions)}
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_benchmark_decontamination": OP5_SQL, "op10_embedding_near_dedup": OP10_SQL, "op13_filter_interactions": OP13_SQL}
