@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.llm import audit, decontaminate, embeddings, language, licenses, lines, packing, pieces, quality, simhash, substrings, warc
+from estrato.llm import audit, decontaminate, embeddings, language, licenses, lines, packing, pieces, quality, ranking, simhash, substrings, warc
 from estrato.llm.common import crc_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,6 +192,35 @@ def op11_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None =
     return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.best_documents(ranking.Index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_no, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), items AS (
+  SELECT row_number() OVER () AS item, item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM benchmark
+), asked AS (
+  SELECT DISTINCT item, item_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM items
+), sizes AS (
+  SELECT row_no, count(*) AS n FROM docs GROUP BY row_no
+), corpus AS (
+  SELECT count(*) AS N_, CAST(sum(n) AS BIGINT) AS L FROM sizes
+), counts AS (
+  SELECT row_no, doc_id, term, count(*) AS tf FROM docs GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * N_ + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counts, corpus GROUP BY term, N_
+), scores AS (
+  SELECT item, item_id, row_no, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * N_) // L))))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN sizes USING (row_no), corpus GROUP BY item, item_id, row_no, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) <= 10
+"""
+
+
 def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -231,5 +260,5 @@ FROM counted
 """
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_substring_dedup, op3_language_id, op4_line_dedup, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_quality_classifier, op8_sentencepiece, op9_license_scan, op10_embedding_near_dedup, op11_packing, op13_filter_interactions)}
-ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_benchmark_decontamination": OP5_SQL, "op10_embedding_near_dedup": OP10_SQL, "op13_filter_interactions": OP13_SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_substring_dedup, op3_language_id, op4_line_dedup, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_quality_classifier, op8_sentencepiece, op9_license_scan, op10_embedding_near_dedup, op11_packing, op12_ranked_search, op13_filter_interactions)}
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_benchmark_decontamination": OP5_SQL, "op10_embedding_near_dedup": OP10_SQL, "op12_ranked_search": OP12_SQL, "op13_filter_interactions": OP13_SQL}
