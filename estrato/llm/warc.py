@@ -29,6 +29,8 @@ LEAST_SHARED = 1000
 """Smaller payloads are always written in full."""
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 64 << 20
+FRAMES_PER_READ = 16
+"""Frames (some 4 MB of records) that are read back together."""
 LEVEL = 3
 
 # Magic numbers of the Zstandard seekable format, and the WARC revisit profile.
@@ -202,14 +204,19 @@ def write_archives(pages: DataFrame, folder: str | None = None, date: str = "197
     return stored(marked.mapInArrow(write, ddl(INDEX)), "archive-index")
 
 
-def read_archives(index: DataFrame, payload: bool = False) -> DataFrame:
-    """Every record of the bundles that `index` names, frame by frame; RECORD's columns."""
+def read_archives(index: DataFrame, payload: bool = False, frames_per_read: int = FRAMES_PER_READ) -> DataFrame:
+    """Every record of the bundles that `index` names, frame by frame; RECORD's columns.
+
+    What is dealt out are runs of `frames_per_read` frames, to a fixed number of tasks: a row is a few
+    bytes to the optimizer, which would otherwise bring all of them to one task. Frames are independent,
+    so a task reads the parts of a bundle that it was dealt. An empty index gives no records.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for uri in batch.column(0).to_pylist():
+            for uri, run in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 bundle = Reader(uri)
-                for number in range(len(bundle.starts)):
+                for number in range(run * frames_per_read, min(len(bundle.starts), (run + 1) * frames_per_read)):
                     data, at, rows = bundle.frame(number), 0, []
                     while at < len(data):
                         row, at = parsed(data, at)
@@ -217,8 +224,8 @@ def read_archives(index: DataFrame, payload: bool = False) -> DataFrame:
                     yield _batch(RECORD, rows)
                 bundle.close()
 
-    bundles = index.select("bundle").distinct()
-    return bundles.repartition(task_count(index.sparkSession), "bundle").mapInArrow(read, ddl(RECORD))
+    runs = index.select("bundle", F.expr(f"frame div {frames_per_read}").alias("run")).distinct()
+    return runs.repartition(task_count(index.sparkSession)).mapInArrow(read, ddl(RECORD))
 
 
 def fetch(wanted: DataFrame) -> DataFrame:
@@ -236,4 +243,5 @@ def fetch(wanted: DataFrame) -> DataFrame:
                 rows.append(parsed(data, offset)[0])
             yield _batch(RECORD, rows)
 
-    return wanted.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset").mapInArrow(read, ddl(RECORD))
+    dealt = wanted.repartition(task_count(wanted.sparkSession), "bundle", "frame")  # a fixed number of tasks, as in read_archives
+    return dealt.sortWithinPartitions("bundle", "frame", "offset").mapInArrow(read, ddl(RECORD))

@@ -38,7 +38,18 @@ def test_round_trip_against_brute_force(spark):
     assert got == brute(ROWS)
     full = {(r.page_id, r.payload_digest): bytes(r.payload) for r in read.filter("record_type = 'response'").collect()}
     assert all(hashlib.sha1(data).hexdigest() == digest for (_, digest), data in full.items())
-    assert index.select("bundle").distinct().count() > 4 and index.select(F.max("frame")).head()[0] > 0
+
+
+def test_bundles_frames_and_reads_are_dealt_out(spark):
+    # incompressible payloads: a frame of 5 KB reaches the bundle's size, so bundles follow from bytes, not tasks
+    rows = [(k, "u", random.Random(k).randbytes(8000).hex()) for k in range(60)]
+    index = warc.write_archives(pages(spark, rows), frame_bytes=5000, bundle_bytes=12_000)
+    assert index.select("bundle").distinct().count() >= 20 and index.select(F.max("frame")).head()[0] > 0
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    for read in (warc.read_archives(index, frames_per_read=1), warc.fetch(index)):
+        per_task = [r[1] for r in read.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == 60 and len(per_task) >= 3 and max(per_task) <= 40, per_task
+    assert sorted(r.page_id for r in warc.read_archives(index, frames_per_read=2).collect()) == list(range(60))
 
 
 def test_records_by_index(spark):
