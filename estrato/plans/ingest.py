@@ -104,14 +104,16 @@ class Ledger:
         self._write(changed, self.manifest_path)
 
 
-def ingest_dataset(spark: SparkSession, dataset: Dataset, run_id: str, at: str, sha256: str) -> dict:
+def ingest_dataset(spark: SparkSession, dataset: Dataset, run_id: str, at: str, sha256: str, report: DataFrame | None = None) -> dict:
     """Checks the file, writes it as a new version with lineage, and returns its manifest entry.
 
+    ``report`` is what delimited.line_report found, where the caller has it already.
+
     Header and encoding are checked first. Record widths are checked on the rows as they are
     written: the write observes broken records and the version is only published without any.
     """
     started = time.time()
-    names = D.checked_header(spark, dataset.path, multiline=dataset.multiline)
+    names = D.checked_header(spark, dataset.path, multiline=dataset.multiline, report=report)
     read = D.read_checked(spark, dataset.path, names, multiline=dataset.multiline)
     rows = D.add_lineage(read, at, run_id, dataset.source_file, sha256)
 
@@ -119,7 +121,7 @@ def ingest_dataset(spark: SparkSession, dataset: Dataset, run_id: str, at: str,
         if observed["broken"]:
             raise D.ContractError(
                 f"{dataset.path}: {observed['broken']} records without {len(names)} fields, first in "
-                f"{D.first_broken(D.read_checked(spark, dataset.path, names))}")
+                f"{D.first_broken(spark, dataset.path, names)}")
 
     seen: dict = {}
     version = S.overwrite_snapshot(
@@ -183,7 +185,8 @@ def run(spark: SparkSession, ledger: Ledger, datasets: Sequence[Dataset], contro
         ledger.finish_run(run_id, at, "NO_CHANGE", control, len(datasets))
         return "NO_CHANGE"
 
-    hashes = {d.dataset_id: FS.text_fingerprint(spark, d.path).first()[0] for d in datasets}
+    reports = {d.dataset_id: D.line_report(spark, d.path) for d in datasets}  # one pass for fingerprint, header and text checks
+    hashes = {name: FS.combined_fingerprint(report).first()[0] for name, report in reports.items()}
     incoming = spark.createDataFrame(list(hashes.items()), "dataset_id string, source_sha256 string")
     plan = {r["dataset_id"]: r for r in L.reuse_candidates(incoming, active, sizes.filter("n_rows > 0"), force).collect()}
     known = {r["dataset_id"]: r.asDict() for r in active.collect()}  # one row per registered dataset
@@ -195,7 +198,7 @@ def run(spark: SparkSession, ledger: Ledger, datasets: Sequence[Dataset], contro
                            "retention_status": "ACTIVE", "retention_deleted_at_utc": None, "error_message": None})
             continue
         try:
-            ledger.record(ingest_dataset(spark, dataset, run_id, at, hashes[dataset.dataset_id]))
+            ledger.record(ingest_dataset(spark, dataset, run_id, at, hashes[dataset.dataset_id], reports[dataset.dataset_id]))
         except Exception as error:
             ledger.record({"ingestion_run_id": run_id, "dataset_id": dataset.dataset_id, "status": "FAILED",
                            "error_message": str(error)})

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,7 +46,29 @@ def local_session(cores: int = 8, app_name: str = "estrato", memory: str = "8g",
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` where it is set, else one in the warehouse."""
+    """Folder every executor can reach: ``spark.checkpoint.dir`` where it is set, else one in the warehouse.
+
+    On a cluster a warehouse on the driver's own disk is refused: executors would not see its files.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    folder = configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
-    return folder.rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.sparkContext.master.startswith("local") and re.match(r"file:|/", warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse.rstrip('/')}/_shared"
+
+
+def new_folder(spark: SparkSession, what: str) -> str:
+    """A folder name not used before, in the application's scratch folder below the shared one."""
+    return f"{scratch_folder(spark)}/{what}-{uuid.uuid4().hex}"
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/estrato-{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Deletes all intermediate tables of this application. Call it when its results are written elsewhere."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

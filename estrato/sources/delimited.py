@@ -1,13 +1,14 @@
 """Strict reading of semicolon-separated text, with its contract checked on Spark.
 
-Files are checked as DataFrames: one row per finding, and every file of the input is looked at. A
-quoted line end keeps a file from being split, so one such file is one task; a source whose fields
-hold no line ends says so (``multiline=False``) and its files are split. Rows are spread out again
-when they are written.
+Files are checked as DataFrames: one row per finding, and every file of the input is looked at. Files
+are read in blocks, those with line ends inside quotes too (see splitting.py); a source whose fields
+hold no line ends says so (``multiline=False``) and saves the pass that finds where records begin.
 """
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 from collections.abc import Sequence
 from functools import reduce
@@ -16,6 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from estrato.session import new_folder
+from estrato.sources import splitting
+
 # Reserved lineage names, in order, and the text layout.
 LINEAGE = ("__ingested_at_utc", "__ingestion_run_id", "__source_file", "__source_sha256")
 DELIMITER = ";"
@@ -37,25 +41,27 @@ def _options(delimiter: str, multiline: bool = True, columns: int = 0) -> dict[s
 
 
 def line_report(spark: SparkSession, path: str, delimiter: str = DELIMITER) -> DataFrame:
-    """One row per file: its first line, bad lines and the widest one. The text source splits files.
+    """One row per file, from one pass: first line, bad lines, the widest one, and the content's fingerprint.
 
     Columns: file, first_line (byte-order mark removed), invalid_lines (bytes that are not UTF-8),
-    odd_quote_lines (an unbalanced quote: a field goes on in the next line), widest (fields).
+    odd_quote_lines (an unbalanced quote: a field goes on in the next line), widest (fields), name, fingerprint.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        # place of the line in its file: block, then order within the task that reads the block
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
-        "value",
-    )
+    text = splitting.lines(spark, path).withColumn("name", F.element_at(F.split(splitting.decoded_path("file"), "/"), -1))
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     fields = F.length("value") - F.length(F.replace("value", F.lit(delimiter), F.lit(""))) + 1
-    return lines.groupBy("file").agg(
-        F.regexp_replace(F.min_by("value", "place"), "^" + BOM, "").alias("first_line"),
-        F.count_if(~F.is_valid_utf8("value")).alias("invalid_lines"),
-        F.count_if(quotes % 2 == 1).alias("odd_quote_lines"),
-        F.max(fields).alias("widest"),
+    blocks = text.groupBy("file", "name", "size", "block").agg(
+        F.count("*").alias("n"), F.min("at").alias("least"), F.min_by("value", "at").alias("first_line"),
+        F.count_if(~F.is_valid_utf8("value")).alias("invalid_lines"), F.count_if(quotes % 2 == 1).alias("odd_quote_lines"), F.max(fields).alias("widest"),
+        *splitting.polynomial_sums(F.col("at"), F.col("value")),
     )
+    folder = new_folder(spark, "blocks")
+    blocks.write.parquet(folder)  # a row a block; fingerprint and report are both made of it
+    blocks = spark.read.schema(blocks.schema).parquet(folder)
+    report = blocks.groupBy("file").agg(
+        F.regexp_replace(F.regexp_replace(F.min_by("first_line", "block"), "^" + BOM, ""), "\r$", "").alias("first_line"),
+        F.sum("invalid_lines").alias("invalid_lines"), F.sum("odd_quote_lines").alias("odd_quote_lines"), F.max("widest").alias("widest"),
+    )
+    return report.join(splitting.file_fingerprints(blocks).select("file", "name", "fingerprint"), "file").withColumn("file", splitting.decoded_path("file"))
 
 
 def _names(line: Column, delimiter: str) -> Column:
@@ -83,15 +89,18 @@ def file_findings(report: DataFrame, delimiter: str = DELIMITER, multiline: bool
     return report.crossJoin(F.broadcast(head)).select("file", F.explode(F.array_compact(F.array(*found))).alias("finding"))
 
 
-def read_header(spark: SparkSession, path: str, delimiter: str = DELIMITER) -> list[str]:
+def read_header(spark: SparkSession, path: str, delimiter: str = DELIMITER, report: DataFrame | None = None) -> list[str]:
     """Column names of the first record of the first file, mark and outer spaces removed. One record travels."""
-    head = line_report(spark, path, delimiter).agg(F.min("file"), F.max("widest")).first()
+    report = line_report(spark, path, delimiter) if report is None else report
+    head = report.agg(F.min("file"), F.min_by("first_line", "file")).first()
     if head[0] is None:
         raise ContractError(f"{path} is empty")
-    first = spark.read.options(**_options(delimiter, columns=head[1]), header="false", inferSchema="false").csv(head[0]).limit(1).collect()
-    if not first:
-        raise ContractError(f"{path} is empty")
-    return [(v or "").strip().lstrip(BOM) for v in first[0]]
+    record = head[1]
+    if not splitting.line_rules(delimiter)[0].fullmatch(record.encode()):  # a name holds a line end
+        key = splitting.lines(spark, path).filter(splitting.decoded_path("file") == head[0]).select(F.xxhash64("file")).first()[0]
+        record = splitting.quoted_records(spark, path, delimiter).filter((F.col("file_key") == key) & (F.col("record") == 0)).first()["text"].lstrip(BOM)
+    names = next(csv.reader(io.StringIO(record, newline=""), delimiter=delimiter), [])
+    return [v.strip().lstrip(BOM) for v in names]
 
 
 def header_findings(names: Sequence[str], reserved: Sequence[str] = LINEAGE) -> list[str]:
@@ -111,12 +120,24 @@ def header_findings(names: Sequence[str], reserved: Sequence[str] = LINEAGE) ->
     return found
 
 
+def _parsed(spark: SparkSession, path: str, header: Sequence[str], delimiter: str, mode: str = "PERMISSIVE") -> DataFrame:
+    """(file_key, record, fields..) of every record but the headers, with line ends inside quotes; BROKEN as in read_checked."""
+    fields = [T.StructField(n, T.StringType(), True) for n in header]
+    schema = T.StructType([*fields, T.StructField(BROKEN, T.StringType(), True)] if mode == "PERMISSIVE" else fields)
+    options = {**_options(delimiter, False, len(header)), "mode": mode, "columnNameOfCorruptRecord": BROKEN}
+    records = splitting.quoted_records(spark, path, delimiter).filter("record > 0")
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
+    return records.select("file_key", "record", F.from_csv("text", ddl, options).alias("fields")).select("file_key", "record", "fields.*")
+
+
 def read_checked(spark: SparkSession, path: str, header: Sequence[str], delimiter: str = DELIMITER, multiline: bool = True) -> DataFrame:
     """All-text rows plus the raw text of records whose width differs from the header (else NULL).
 
     Counting or selecting few columns would let the parser skip the width check, so callers use
     the mark column together with the whole row.
     """
+    if multiline:
+        return _parsed(spark, path, header, delimiter).drop("file_key", "record")
     fields = [T.StructField(n, T.StringType(), True) for n in header]
     schema = T.StructType([*fields, T.StructField(BROKEN, T.StringType(), True)])
     return (
@@ -126,28 +147,19 @@ def read_checked(spark: SparkSession, path: str, header: Sequence[str], delimite
     )
 
 
-def broken_records(rows: DataFrame) -> DataFrame:
-    """(file, record, broken): the first record of a wrong width of each file and its number, from 1.
-
-    ``rows`` comes from read_checked with multi-line reading, where one task reads a file in order.
-    """
-    columns = [c for c in rows.columns if c != BROKEN]
+def broken_records(spark: SparkSession, path: str, header: Sequence[str], delimiter: str = DELIMITER) -> DataFrame:
+    """(file, record, broken): the first record of a wrong width of each file and its number, from 1."""
+    rows = _parsed(spark, path, header, delimiter)
     # every column is measured and the result used, so that the parser reads the whole record
-    whole = reduce(lambda x, y: x + y, [F.coalesce(F.length(c), F.lit(0)) for c in columns])
-    placed = rows.select(F.col("_metadata.file_path").alias("file"), BROKEN, whole.alias("__all"), F.monotonically_increasing_id().alias("__at"))
-    first = F.min(F.when(F.col(BROKEN).isNotNull(), F.col("__at")))
-    return placed.groupBy("file").agg(
-        (first - F.min("__at") + 1).alias("record"), F.min_by(BROKEN, F.when(F.col(BROKEN).isNotNull(), F.col("__at"))).alias("broken"), F.max("__all").alias("__longest"),
-    ).filter(F.col("broken").isNotNull() & (F.col("__longest") >= 0)).select("file", "record", "broken")
+    whole = reduce(lambda x, y: x + y, [F.coalesce(F.length(c), F.lit(0)) for c in header])
+    first = rows.withColumn("__all", whole).filter(F.col(BROKEN).isNotNull() & (F.col("__all") >= 0)).groupBy("file_key").agg(F.min("record").alias("record"), F.min_by(BROKEN, "record").alias("broken"))
+    files = splitting.lines(spark, path).select("file").distinct().select(splitting.decoded_path("file").alias("file"), F.xxhash64("file").alias("file_key"))
+    return first.join(files, "file_key").select("file", "record", "broken")
 
 
 def read_delimited_strict(spark: SparkSession, path: str, header: Sequence[str], delimiter: str = DELIMITER) -> DataFrame:
     """All-text rows; the first record of a wrong width fails the job."""
-    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in header])
-    return (
-        spark.read.options(**_options(delimiter, columns=len(header)), header="true", enforceSchema="true", mode="FAILFAST")
-        .schema(schema).csv(path)
-    )
+    return _parsed(spark, path, header, delimiter, "FAILFAST").drop("file_key", "record")
 
 
 def width_report(rows: DataFrame) -> DataFrame:
@@ -166,22 +178,23 @@ def width_report(rows: DataFrame) -> DataFrame:
     )
 
 
-def checked_header(spark: SparkSession, path: str, delimiter: str = DELIMITER, reserved: Sequence[str] = LINEAGE, multiline: bool = True) -> list[str]:
+def checked_header(spark: SparkSession, path: str, delimiter: str = DELIMITER, reserved: Sequence[str] = LINEAGE, multiline: bool = True, report: DataFrame | None = None) -> list[str]:
     """The header that all files of the input share; ContractError names every file that breaks the contract."""
-    names = read_header(spark, path, delimiter)
+    report = line_report(spark, path, delimiter) if report is None else report
+    names = read_header(spark, path, delimiter, report)
     found = header_findings(names, reserved)
     if found:
         raise ContractError(f"{path}: {'; '.join(found)}")
-    broken = file_findings(line_report(spark, path, delimiter), delimiter, multiline).orderBy("file", "finding")
+    broken = file_findings(report, delimiter, multiline).orderBy("file", "finding")
     if not broken.isEmpty():
         summary = broken.groupBy().agg(F.count_distinct("file").alias("files"), F.min(F.struct("file", "finding")).alias("first")).first()
         raise ContractError(f"{summary['files']} files break the contract; {summary['first']['file']}: {summary['first']['finding']}")
     return names
 
 
-def first_broken(rows: DataFrame) -> str:
+def first_broken(spark: SparkSession, path: str, header: Sequence[str], delimiter: str = DELIMITER) -> str:
     """The first record of a wrong width in words; for the message of an error."""
-    row = broken_records(rows).orderBy("file").first()
+    row = broken_records(spark, path, header, delimiter).orderBy("file").first()
     return "" if row is None else f"{row['file']}, record {row['record']}: {row['broken']!r}"
 
 
@@ -191,7 +204,7 @@ def check_file(spark: SparkSession, path: str, delimiter: str = DELIMITER, reser
     rows = read_checked(spark, path, names, delimiter)
     report = width_report(rows).first()
     if report["broken_rows"]:
-        raise ContractError(f"{path}: expected {len(names)} fields, broken record in {first_broken(rows)}")
+        raise ContractError(f"{path}: expected {len(names)} fields, broken record in {first_broken(spark, path, names, delimiter)}")
     return {"columns": names, "logical_rows": report["logical_rows"]}
 
 

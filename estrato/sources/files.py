@@ -1,17 +1,12 @@
-"""Raw files as tables: digests, archive members, inventory, and what may be stored or deleted."""
+"""Raw files as tables: fingerprints, digests, inventory, and what may be stored or deleted."""
 
 from __future__ import annotations
 
-import io
-import posixpath
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estrato.functions import sha256_in_path
+from estrato.sources import splitting
 
 
 def file_digests(spark: SparkSession, glob: str) -> DataFrame:
@@ -25,22 +20,21 @@ def file_digests(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def text_fingerprint(spark: SparkSession, path: str) -> DataFrame:
-    """One row (fingerprint): 64 hex digits for the content of all files and their names, of any size.
+    """One row (fingerprint): 64 hex digits for the names and contents of all files, of any size.
 
-    Files are read as lines, which splits them. A file counts with its name, its lines and two sums of
-    line hashes that don't depend on the order; so lines that change places don't show, while every
-    other change does. Neither files nor lines are gathered.
+    Within a file every byte and the order of all lines count; files may be listed in any order. Files
+    are read in blocks, and the value is the same however they are cut. No file at all has a value too.
     """
+    text = splitting.lines(spark, path).withColumn("name", F.element_at(F.split(splitting.decoded_path("file"), "/"), -1))
+    blocks = text.groupBy("file", "name", "size", "block").agg(F.count("*").alias("n"), F.min("at").alias("least"), *splitting.polynomial_sums(F.col("at"), F.col("value")))
+    return combined_fingerprint(splitting.file_fingerprints(blocks))
+
+
+def combined_fingerprint(files: DataFrame) -> DataFrame:
+    """One row (fingerprint) for a set of files (name, fingerprint), in whatever order they come."""
     exact = "decimal(38,0)"
-    files = spark.read.text(path).groupBy(F.col("_metadata.file_name").alias("name")).agg(
-        F.count("*").alias("n"),
-        F.sum(F.xxhash64("value").cast(exact)).alias("a"),
-        F.sum(F.xxhash64("value", F.lit(1)).cast(exact)).alias("b"),
-    )
-    own = F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in ("name", "n", "a", "b")]), 256)
-    halves = files.select("n", *[F.conv(F.substring(own, 1 + 15 * i, 15), 16, 10).cast(exact).alias(f"h{i}") for i in range(4)])
-    total = halves.agg(F.count("*").alias("files"), F.coalesce(F.sum("n"), F.lit(0)).alias("lines"), *[F.coalesce(F.sum(f"h{i}"), F.lit(0)).alias(f"h{i}") for i in range(4)])
-    return total.select(F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in total.columns]), 256).alias("fingerprint"))
+    halves = [F.coalesce(F.sum(F.conv(F.substring("fingerprint", 1 + 15 * i, 15), 16, 10).cast(exact)), F.lit(0)).cast("string") for i in range(4)]
+    return files.agg(F.sha2(F.concat_ws("|", F.count("*").cast("string"), *halves), 256).alias("fingerprint"))
 
 
 def digest_findings(digests: DataFrame, expected: DataFrame) -> DataFrame:
@@ -58,38 +52,6 @@ def digest_findings(digests: DataFrame, expected: DataFrame) -> DataFrame:
     ).drop("__known")
 
 
-_MEMBER_SCHEMA = "path string, status string, body binary"
-
-
-def _take_member(expected: str):
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for path, content in zip(batch["path"], batch["content"]):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                        body = archive.read(expected) if expected in archive.namelist() else None
-                except (zipfile.BadZipFile, OSError) as error:
-                    out.append((path, f"BROKEN_ARCHIVE {error}", None))
-                    continue
-                status = "MISSING_MEMBER" if body is None else "OK" if body else "EMPTY_MEMBER"
-                out.append((path, status, body or None))
-            yield pd.DataFrame(out, columns=["path", "status", "body"])
-
-    return read
-
-
-def archive_members(spark: SparkSession, glob: str, expected: str) -> DataFrame:
-    """(path, status, body): the one expected member of each zip archive. Other members are never opened."""
-    clean = posixpath.normpath(expected)
-    if clean != expected or clean.startswith(("/", "..")):
-        raise ValueError(f"member name leaves its folder: {expected!r}")
-    # the file source packs small archives up to spark.sql.files.maxPartitionBytes per task and gives a
-    # larger one its own task, which bounds what one batch holds
-    archives = spark.read.format("binaryFile").load(glob).select("path", "content")
-    return archives.mapInPandas(_take_member(expected), _MEMBER_SCHEMA)
-
-
 def raw_inventory(spark: SparkSession, folder: str) -> DataFrame:
     """(raw_key, dataset_id, sha256, size, modified_at) of ``<folder>/<dataset>/sha256=<hash>/<file>``.
 
