@@ -1,22 +1,24 @@
 """Table profiles: columns, candidate keys, functional dependencies, duplicates, dates, lineage.
 
-Counts, lengths and smallest and largest values of any number of columns come from one plain
-aggregate. Only what needs distinct values turns columns into (column, value) pairs, counted inside
-the tasks first, so a value shared by most rows stays cheap; long text takes part by its digest and
-never is a grouping key itself.
+Counts, lengths and sketches of distinct values of any number of columns come from one plain
+aggregate. Exact distinct counts follow from what it found: columns with few values together, each
+other one by a scan that reads it alone, counted inside the tasks first; long text takes part by its
+digest and never is a grouping key itself. Rows are not expanded.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from estrato.functions import concat_key, is_blank_only
 from estrato.functions.keys import CONCAT_NULL
-from estrato.operators.skew import key_counts, null_safe_match, repeated_keys
+from estrato.operators.skew import key_counts, repeated_keys
 
 
 def as_pairs(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), cast: str | None = "string") -> DataFrame:
@@ -33,29 +35,66 @@ def value_key(value: Column) -> Column:
     return F.when(F.length(value) > 64, F.concat(F.lit("#"), F.sha2(value, 256))).otherwise(value)
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, key, n): rows per value of every column; NULL is a value."""
-    pairs = as_pairs(df, columns).select("column_name", value_key(F.col("value")).alias("key"))
-    return pairs.groupBy("column_name", "key").agg(F.count("*").alias("n"))
+PLAIN_TYPES = (T.StringType, T.IntegralType, T.DecimalType, T.DateType, T.BooleanType)
+"""Types whose values are equal where their texts are; other types are counted as text."""
+FEW = 4000
+"""Columns with about this many distinct values at most are counted together, by sets in one aggregate."""
 
 
-def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per column: rows, NULLs, empty or blank, blank-only, distinct values, length range, percentages."""
-    columns = list(columns or df.columns)
-    text = [F.col(c).cast("string") for c in columns]
-    counted = {
-        "total_rows": lambda v: F.count("*"),
+def _counted_value(df: DataFrame, column: str, longest: int | None) -> Column:
+    """What stands for a column's values when they are counted: the values, or digests where there is long text."""
+    plain = isinstance(df.schema[column].dataType, PLAIN_TYPES)
+    value = F.col(column) if plain else F.col(column).cast("string")
+    return value_key(value.cast("string")) if (longest or 0) > 64 else value
+
+
+def _wide_statistics(df: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
+    """Counts, lengths and a mergeable sketch of the distinct values of every column: two plain aggregates."""
+    statistics = {
         "null_count": lambda v: F.count_if(v.isNull()),
         "empty_count": lambda v: F.count_if(v.isNotNull() & (F.trim(v) == "")),
         "blank_count": lambda v: F.count_if(F.coalesce(is_blank_only(v), F.lit(False))),
         "min_length": lambda v: F.min(F.length(v)),
         "max_length": lambda v: F.max(F.length(v)),
     }
-    wide = df.agg(*[f(v).alias(f"{n}_{i}") for i, v in enumerate(text) for n, f in counted.items()])
-    rows = [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{n}_{i}").alias(n) for n in counted]) for i, c in enumerate(columns)]
-    stats = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*").filter(F.col("total_rows") > 0)
-    distinct = value_counts(df, columns).groupBy("column_name").agg(F.count("key").alias("distinct_count"))
-    return stats.join(F.broadcast(distinct), "column_name").select(  # one row per profiled column on both sides
+    text = [F.col(c).cast("string") for c in columns]
+    # sketches run outside generated code; in one aggregate with them the counts would too
+    row = df.agg(F.count("*").alias("total_rows"), *[f(v).alias(f"{n}_{i}") for i, v in enumerate(text) for n, f in statistics.items()]).first()
+    about = df.agg(*[F.approx_count_distinct(c) for c in columns]).first()
+    return {c: {"total_rows": row["total_rows"], **{n: row[f"{n}_{i}"] for n in statistics}, "about": about[i]} for i, c in enumerate(columns)}
+
+
+def distinct_counts(df: DataFrame, about: dict[str, dict]) -> DataFrame:
+    """(column_name, distinct_count), exact. `about` tells for each column its sketch's count and greatest length.
+
+    Columns with few values share one aggregate, which holds their sets; each other column is
+    counted by a scan of its own that reads nothing else. No row is expanded.
+    """
+    few = [c for c, x in about.items() if x["about"] <= FEW]
+    parts = []
+    if few:
+        sets = df.agg(*[F.size(F.collect_set(_counted_value(df, c, about[c]["max_length"]))).cast("bigint").alias(f"s{i}") for i, c in enumerate(few)])
+        rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"s{i}").alias("distinct_count")) for i, c in enumerate(few)]
+        parts.append(sets.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))  # expands one row of sizes
+    for c in about:
+        if c not in few:
+            values = df.select(_counted_value(df, c, about[c]["max_length"]).alias("value")).distinct()
+            parts.append(values.agg(F.count("value").alias("distinct_count")).select(F.lit(c).alias("column_name"), "distinct_count"))
+    return reduce(DataFrame.union, parts)
+
+
+def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Per column: rows, NULLs, empty or blank, blank-only, distinct values, length range, percentages.
+
+    Two wide aggregates run at once, one of them sketches the distinct values; they decide how these are counted.
+    """
+    columns = list(columns or df.columns)
+    about = _wide_statistics(df, columns)
+    schema = "column_name string, total_rows bigint, null_count bigint, empty_count bigint, blank_count bigint, min_length int, max_length int"
+    names = [x.split()[0] for x in schema.split(", ")][1:]
+    known = [(c, *[about[c][n] for n in names]) for c in columns if about[c]["total_rows"]]
+    stats = df.sparkSession.createDataFrame(known, schema)
+    return stats.join(F.broadcast(distinct_counts(df, about)), "column_name").select(  # one row per profiled column on both sides
         "column_name", "total_rows", "null_count", "empty_count", "blank_count", "distinct_count", "min_length", "max_length",
         F.round(F.col("null_count") / F.col("total_rows") * 100.0, 4).alias("null_pct"),
         F.round(F.col("distinct_count") / F.col("total_rows") * 100.0, 4).alias("distinct_pct"),
@@ -63,14 +102,22 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 def top_values(df: DataFrame, columns: Sequence[str], max_distinct: int = 35, top: int = 10) -> DataFrame:
-    """Most frequent values (NULL included) of columns with few distinct values; ties by value."""
-    few = value_counts(df, columns).groupBy("column_name").agg(F.count("key").alias("__d")).filter(F.col("__d") <= max_distinct)
-    # values travel only for the columns that turned out to have few; the list has a row per profiled column
-    shown = as_pairs(df, columns).join(F.broadcast(few.select("column_name")), "column_name").groupBy("column_name", "value").agg(F.count("*").alias("n"))
-    shown = shown.select("column_name", F.coalesce(F.col("value"), F.lit(CONCAT_NULL)).alias("value"), "n")
-    # at most max_distinct + 1 rows per column are left at this point
-    rank = F.row_number().over(W.partitionBy("column_name").orderBy(F.desc("n"), F.asc("value")))
-    return shown.withColumn("rank", rank).filter(F.col("rank") <= top)
+    """Most frequent values (NULL included) of columns with few distinct values; ties by value.
+
+    One aggregate of sketches leaves out the columns that cannot qualify; each of the others is counted
+    by a scan of its own, one row per value and task.
+    """
+    row = df.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    # the sketch errs by some percent; twice the limit is far beyond
+    parts = [df.select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")).groupBy("column_name", "value").agg(F.count("*").alias("n"))
+             for i, c in enumerate(columns) if row[f"d{i}"] <= 2 * max_distinct]
+    empty = df.sparkSession.createDataFrame([], "column_name string, value string, n bigint")
+    shown = reduce(DataFrame.union, parts, empty)
+    of_column = W.partitionBy("column_name")  # at most some 2 * max_distinct rows per column
+    few = shown.withColumn("__d", F.count("value").over(of_column)).filter(F.col("__d") <= max_distinct)
+    few = few.select("column_name", F.coalesce(F.col("value"), F.lit(CONCAT_NULL)).alias("value"), "n")
+    rank = F.row_number().over(of_column.orderBy(F.desc("n"), F.asc("value")))
+    return few.withColumn("rank", rank).filter(F.col("rank") <= top)
 
 
 def key_collisions(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -128,50 +175,40 @@ def dependency(
 ) -> DataFrame:
     """key -> attribute, for many attributes at once: keys with several values, and the most values.
 
-    One aggregate by key holds the smallest and largest value and the NULLs of every attribute, which
-    tells whether it varies; rows are not expanded. Distinct values are counted only where they vary:
-    a row of such a key yields one pair per varying attribute.
+    One aggregate by key, of numbers only, tells for every attribute whether it varies under a key: text is
+    stood for by two 64-bit hashes, so no text is sorted or held. Only attributes that vary somewhere
+    go on, each by the distinct (key, value) pairs of a scan that reads nothing else. Rows are neither
+    expanded nor joined back. The first aggregate runs at once.
     """
     rows = df.select(*keys, *attributes)
     if not null_keys:
         for k in keys:
             rows = rows.filter(F.col(k).isNotNull())
 
+    def compact(a: str) -> list[Column]:
+        if isinstance(df.schema[a].dataType, (T.NumericType, T.DateType, T.BooleanType, T.TimestampType)):
+            return [F.col(a)]
+        return [F.when(F.col(a).isNotNull(), F.xxhash64(*seed, F.col(a).cast("string"))) for seed in ([], [F.lit(1)])]
+
     def varies(a: str) -> Column:
-        several = F.coalesce(F.min(a) != F.max(a), F.lit(False))
+        several = reduce(lambda x, y: x | y, [F.coalesce(F.min(v) != F.max(v), F.lit(False)) for v in compact(a)])
         return several | ((F.count(a) > 0) & (F.count(a) < F.count("*"))) if null_is_value else several
 
     per_key = rows.groupBy(*keys).agg(
-        F.array_compact(F.array(*[F.when(varies(a), F.lit(a)) for a in attributes])).alias("__varying"),
-        *[(F.count(a) > 0).cast("int").alias(f"__has_{i}") for i, a in enumerate(attributes)],
-    )
-    wide = per_key.agg(
-        F.count("*").alias("total_keys"),
-        *[F.count_if(F.array_contains("__varying", a)).alias(f"m{i}") for i, a in enumerate(attributes)],
-        *[F.max(f"__has_{i}").alias(f"h{i}") for i in range(len(attributes))],
-    )
+        *[varies(a).cast("int").alias(f"v{i}") for i, a in enumerate(attributes)], *[(F.count(a) > 0).cast("int").alias(f"h{i}") for i, a in enumerate(attributes)])
+    wide = per_key.agg(F.count("*").alias("total"), *[F.sum(f"v{i}").alias(f"v{i}") for i in range(len(attributes))], *[F.max(f"h{i}").alias(f"h{i}") for i in range(len(attributes))]).first()
+    total = wide["total"]
     # values an attribute shows per key when none varies: 1, or 0 where NULL is no value and all are NULL
-    totals = wide.select("total_keys", F.explode(F.array(*[
-        F.struct(F.lit(a).alias("column_name"), F.col(f"m{i}").alias("__multiple"),
-                 (F.when(F.col("total_keys") > 0, 1) if null_is_value else F.col(f"h{i}")).alias("__base"))
-        for i, a in enumerate(attributes)])).alias("r")).select("total_keys", "r.*")
-    marks = [f"__k{i}" for i in range(len(keys))]
-    several = per_key.filter(F.size("__varying") > 0).select(*[F.col(k).alias(m) for k, m in zip(keys, marks)], "__varying")
-    open_rows = rows.join(several, null_safe_match(rows, several, list(zip(keys, marks))))
-    pairs = F.array(*[F.struct(F.lit(a).alias("column_name"), value_key(F.col(a).cast("string")).alias("value")) for a in attributes])
+    known = [(a, total, total - (wide[f"v{i}"] or 0), wide[f"v{i}"] or 0, (1 if total else None) if null_is_value else wide[f"h{i}"]) for i, a in enumerate(attributes)]
+    totals = df.sparkSession.createDataFrame(known, "column_name string, total_keys bigint, single_keys bigint, multiple_keys bigint, __base bigint")
     counted = F.count("*") if null_is_value else F.count("value")
-    most = (
-        open_rows.select(*keys, F.explode(F.filter(pairs, lambda p: F.array_contains("__varying", p["column_name"]))).alias("__p"))
-        .select(*keys, "__p.*").distinct().groupBy(*keys, "column_name").agg(counted.alias("__values"))
-        .groupBy("column_name").agg(F.max("__values").alias("__max"))
-    )
+    parts = [
+        rows.select(*keys, value_key(F.col(a).cast("string")).alias("value")).distinct().groupBy(*keys).agg(counted.alias("n")).agg(F.max("n").alias("__max")).select(F.lit(a).alias("column_name"), "__max")
+        for a, *_, multiple, _ in known if multiple
+    ]
+    most = reduce(DataFrame.union, parts, df.sparkSession.createDataFrame([], "column_name string, __max bigint"))
     result = totals.join(F.broadcast(most), "column_name", "left").select(  # one row per attribute on both sides
-        "column_name",
-        "total_keys",
-        (F.col("total_keys") - F.col("__multiple")).alias("single_keys"),
-        F.col("__multiple").alias("multiple_keys"),
-        F.greatest(F.col("__base").cast("bigint"), F.col("__max")).alias("max_values"),
-    )
+        "column_name", "total_keys", "single_keys", "multiple_keys", F.greatest(F.col("__base"), F.col("__max")).alias("max_values"))
     pct = F.round(F.try_divide(F.col("multiple_keys"), F.col("total_keys")) * 100.0, digits)
     return result.withColumn("multiple_pct", F.coalesce(pct, F.lit(0.0)))
 
