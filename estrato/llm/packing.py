@@ -22,12 +22,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from estrato.llm.common import Words, new_folder, record_batch, sliced, stored, task_count
+from estrato.llm.common import Words, new_folder, record_batch, separator_table, sliced, stored, task_count
+
+LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+_LETTER_OR_DIGIT = separator_table(b"abcdefghijklmnopqrstuvwxyz0123456789")
+_PUNCTUATION = separator_table(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 
 WINDOW = 4096
 END = 2
@@ -38,6 +43,19 @@ KEPT_WORDS = 400_000
 JOINED_WORDS = 20_000
 
 
+class Parts(Words):
+    """Words, cut once more where an ASCII letter or digit is followed by ASCII punctuation.
+
+    In the patterns that `falls_into_words` admits, a match always ends there.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        super().__init__(texts)
+        cut = np.flatnonzero(_LETTER_OR_DIGIT[self.bytes[:-1]] & _PUNCTUATION[self.bytes[1:]]) + 1
+        self.start, self.end = np.sort(np.concatenate([self.start, cut])), np.sort(np.concatenate([self.end, cut]))
+        self.first = np.searchsorted(self.start, self.offset)
+
+
 class Tokens:
     """A tokenizer of the `tokenizers` library, applied to distinct words where the text falls into words.
 
@@ -53,6 +71,7 @@ class Tokens:
         self.library.no_truncation()
         self.library.no_padding()
         self.by_word = falls_into_words(json.loads(config))
+        self.added = [t["content"].encode() for t in json.loads(config).get("added_tokens", [])]
         self.kind = np.dtype("<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.hash, self.start, self.size, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.kind)
 
@@ -90,7 +109,9 @@ class Tokens:
         if not self.by_word:
             found = [np.array(x.ids + [end], self.kind) for x in self.library.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
             return np.concatenate(found), np.array([len(x) for x in found], np.int64)
-        words = Words(texts)
+        # case and cuts inside words matter where a text may hold an added token
+        plain = [x.translate(LOWER) for x in texts]
+        words = Words(texts) if any(t in x for x in plain for t in self.added) else Parts(plain)
         hashes, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
         place = self._learn(words, hashes, first)[which]
         sizes = self.size[place]
@@ -114,7 +135,8 @@ def falls_into_words(config: dict) -> bool:
     plain = all(x["type"] in ("NFC", "Lowercase") or x["type"] == "Replace" and x["pattern"] == {"Regex": r"\s+"} and x["content"] == " " for x in normal)
     added = all(not (t["lstrip"] or t["rstrip"] or any(c.isspace() for c in t["content"])) for t in config.get("added_tokens", []))
     dropped = bool(split) and split[0]["type"] == "Split" and split[0]["behavior"] == "Removed" and split[0]["invert"] and r"[^\s" in split[0]["pattern"].get("Regex", "") and r"\s?" not in split[0]["pattern"]["Regex"]
-    return plain and added and dropped and all(x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"] for x in split[1:])
+    lower = any(x["type"] == "Lowercase" for x in normal)
+    return plain and lower and added and dropped and all(x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"] for x in split[1:])
 
 
 @functools.lru_cache(maxsize=2)
@@ -229,14 +251,14 @@ def edges_of(tokens: int, window: int) -> tuple[int, np.ndarray]:
     return full, full * window + np.cumsum(powers, dtype=np.int64)
 
 
-def cut(start: np.ndarray, length: np.ndarray, place: np.ndarray, full: int, ends: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """(start, length, sequence, offset) of pieces: packets in stream order are joined where they touch and cut where sequences end."""
-    order = np.argsort(start)
-    start, length, place = start[order], length[order], place[order]
-    head = np.concatenate(([True], (start[1:] != start[:-1] + length[:-1]) | (place[1:] != place[:-1] + length[:-1])))
+def cut(doc: np.ndarray, start: np.ndarray, length: np.ndarray, place: np.ndarray, full: int, ends: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """(doc, start, length, sequence, offset) of pieces, by doc and start: packets are joined where they touch and cut where sequences end."""
+    order = np.lexsort((start, doc))
+    doc, start, length, place = doc[order], start[order], length[order], place[order]
+    head = np.concatenate(([True], (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + length[:-1]) | (place[1:] != place[:-1] + length[:-1])))
     at = np.flatnonzero(head)
     length = np.add.reduceat(length, at)
-    start, place = start[at], place[at]
+    doc, start, place = doc[at], start[at], place[at]
 
     def sequence(x: np.ndarray) -> np.ndarray:
         return np.where(x < full * window, x // window, full + np.searchsorted(ends, x, "right"))
@@ -248,7 +270,7 @@ def cut(start: np.ndarray, length: np.ndarray, place: np.ndarray, full: int, end
     begin = np.where(number <= full, number * window, begins[np.clip(number - full, 0, len(ends))])
     finish = np.where(number < full, (number + 1) * window, begins[np.clip(number - full + 1, 0, len(ends))])
     lo, hi = np.maximum(begin, place[of]), np.minimum(finish, (place + length)[of])
-    return start[of] + lo - place[of], hi - lo, number, lo - begin
+    return doc[of], start[of] + lo - place[of], hi - lo, number, lo - begin
 
 
 def packed(docs: DataFrame, path: str, window: int = WINDOW, end: int = END, shares: dict[str, float] | None = None, least: int = LEAST_PACKET, ids: bool = True) -> DataFrame:
@@ -272,22 +294,18 @@ def packed(docs: DataFrame, path: str, window: int = WINDOW, end: int = END, sha
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in schema]
-            held = 0
-            for k in range(batch.num_rows):
-                doc, source, n, data = (batch.column(i)[k].as_py() for i in range(4))
-                own = np.frombuffer(data, f"<u{len(data) // n}").astype("<u4")
-                start, length, number, offset = cut(*(x.to_numpy() for x in batch.column(4)[k].values.flatten()), full, ends, window)
-                raw = memoryview(own.tobytes())
-                bounds = [(a, a + b) for a, b in zip(start.tolist(), length.tolist())]
-                new = [[doc] * len(start), [source] * len(start), start.tolist(), length.tolist(), [zlib.crc32(raw[4 * a : 4 * b]) for a, b in bounds], [n] * len(start), number.tolist(), offset.tolist()]
-                for column, values in zip(out, new + [[own[a:b] for a, b in bounds]] * ids):
-                    column += values
-                held += n if ids else len(start)
-                if held > 1 << 18:
-                    yield record_batch(schema, *out)
-                    out, held = [[] for _ in schema], 0
-            yield record_batch(schema, *out)
+            for lo, hi, data in sliced(batch.column(3), 4 << 20):
+                n = batch.column(2).slice(lo, hi - lo).to_numpy()
+                packets = batch.column(4).slice(lo, hi - lo)
+                doc, start, length, number, offset = cut(np.repeat(np.arange(hi - lo), pc.list_value_length(packets).to_numpy()), *(x.to_numpy() for x in packets.flatten().flatten()), full, ends, window)
+                own = np.frombuffer(b"".join(data), f"<u{len(data[0]) // n[0]}").astype("<u4")
+                raw, stop = memoryview(own.tobytes()), np.cumsum(length)  # pieces cover the documents in order
+                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip((stop - length).tolist(), stop.tolist())]
+                at = pa.array(doc)
+                columns = [batch.column(0).slice(lo, hi - lo).take(at), batch.column(1).slice(lo, hi - lo).take(at), start, length, crc, n[doc], number, offset]
+                if ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], stop)), pa.int32()), pa.array(own.view("<i4"))))
+                yield record_batch(schema, *columns)
 
     of_doc = packets.groupBy("part", "row").agg(F.collect_list(F.struct("start", "length", "place")).alias("packets"))
     return rows.join(of_doc, ["part", "row"]).select("doc_id", "source", "n", "ids", "packets").mapInArrow(run, ddl)
