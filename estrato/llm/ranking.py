@@ -33,6 +33,9 @@ HASHES = 2
 ITEM_TERMS = 1 << 17
 """Terms of items that go round in one batch; more items take more passes over the index."""
 ROWS = 256
+"""Rows of a batch that a task turns into Python objects at a time."""
+CELLS = 1 << 18
+"""Documents times terms whose bounds a task computes at a time."""
 SCALE = 1_000_000_000
 MOST_IMPACT = 1 << 20
 
@@ -64,9 +67,17 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield record_batch(schema, batch.column(0).slice(lo, hi - lo), n, [terms[8 * a : 8 * b] for a, b in bounds], [counts[4 * a : 4 * b] for a, b in bounds])
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows: what a task makes of one is small and goes back to the system."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("term", pa.int64()), ("df", pa.int64())])
-    for batch in batches:
+    for batch in in_parts(batches):
         terms, df = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64), return_counts=True)
         yield record_batch(schema, terms.view(np.int64), df)
 
@@ -94,7 +105,7 @@ def _sketched(documents: int, length: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("terms", pa.binary()), ("counts", pa.binary()), ("places", pa.int32()), ("sketch", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches, ROWS):
             sketches = []
             for n, terms, counts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 terms, tf = np.frombuffer(terms, np.uint64), np.frombuffer(counts, "<u4").astype(np.int64)
@@ -201,14 +212,14 @@ def _searched(batch: Batch, documents: int, length: int, top: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Lists(len(batch.item), top)
-        for rows in batches:
+        for rows in in_parts(batches, ROWS):
             sizes = rows.column(4).to_numpy()
             for size in np.unique(sizes).tolist():
                 same = np.flatnonzero(sizes == size)
-                step = max(1, min(ROWS, (1 << 23) // max(size, len(batch.at))))
+                step = max(1, CELLS // len(batch.at))
                 for lo in range(0, len(same), step):
                     block = same[lo : lo + step]
-                    sketches = np.frombuffer(b"".join(rows.column(5)[i].as_py() for i in block.tolist()), np.uint8).reshape(len(block), size)
+                    sketches = np.frombuffer(b"".join(rows.column(5).take(pa.array(block)).to_pylist()), np.uint8).reshape(len(block), size)
                     rescored(block, batch.bounds(sketches), rows, best)
         for k, own in enumerate(best.of):
             if own:
