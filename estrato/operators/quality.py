@@ -13,10 +13,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from estrato.functions import exact_sum
 from estrato.functions.numbers import SUM_TYPE
-from estrato.operators.relational import orphan_keys
 from estrato.operators.skew import repeated_keys
 
 PASS, FAIL = "PASS", "FAIL"
@@ -83,41 +83,111 @@ class Contract:
     references: tuple[tuple[str, str, str], ...] = ()
 
 
-def check_contract(tables: Mapping[str, DataFrame], name: str, contract: Contract) -> DataFrame:
-    """One row per declared rule: (table_name, rule, target, violations)."""
-    df = tables[name]
-    parts: list[DataFrame] = []
-    column_rules = [("not_null", c, F.count_if(F.col(c).isNull())) for c in contract.not_null]
-    column_rules += [
-        ("accepted_values", c, F.count_if(~F.col(c).isin(list(v)))) for c, v in contract.accepted.items()
-    ]
-    if column_rules:  # all column rules share one scan
-        counts = df.agg(*[agg.alias(f"r{i}") for i, (_, _, agg) in enumerate(column_rules)])
-        rows = [
-            F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("target"), F.col(f"r{i}").alias("violations"))
-            for i, (rule, c, _) in enumerate(column_rules)
-        ]
-        parts.append(counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
-
-    def counted(rule: str, target: str, violating: DataFrame, count: Column) -> None:
-        parts.append(violating.agg(count.alias("violations")).select(
-            F.lit(rule).alias("rule"), F.lit(target).alias("target"), "violations"
-        ))
+Key = tuple[str, tuple[str, ...]]
+"""A table and the columns of one of its keys."""
+
+
+def key_domains(contracts: Mapping[str, Contract]) -> list[list[Key]]:
+    """The keys of all contracts, those that a reference relates in one list: they have the same kind of values."""
+    keys: dict[Key, None] = {}
+    related: list[tuple[Key, Key]] = []
+    for name, c in contracts.items():
+        keys.update({(name, (u,)): None for u in c.unique} | {(name, tuple(u)): None for u in c.composite_unique})
+        for column, other, other_column in c.references:
+            related.append(((name, (column,)), (other, (other_column,))))
+            keys.update(dict.fromkeys(related[-1]))
+    domain = {k: i for i, k in enumerate(keys)}
+    for x, y in related:
+        old, new = domain[x], domain[y]
+        domain = {k: new if i == old else i for k, i in domain.items()}
+    return [[k for k in keys if domain[k] == i] for i in dict.fromkeys(domain.values())]
 
+
+def _key_census(tables: Mapping[str, DataFrame], keys: Sequence[Key], references: Sequence[tuple[Key, Key, str]]) -> DataFrame:
+    """Counts of all keys of one domain, from one shuffle of (key, role): a row per rule.
+
+    Each table is read once, and only its keys. A key is one row per task and role in the shuffle, however
+    many rows have it. NULL is no key, but one of several columns may be NULL.
+    """
+    parts = []
+    for name in dict.fromkeys(n for n, _ in keys):
+        df, own = tables[name], [(i, columns) for i, (n, columns) in enumerate(keys) if n == name]
+        integral = all(isinstance(tables[n].schema[c].dataType, T.IntegralType) for n, cs in keys for c in cs)
+
+        def value(columns: Sequence[str]) -> Column:
+            typed = [F.col(c).cast("long" if integral else "string") for c in columns]
+            return typed[0] if len(typed) == 1 else F.struct(*[v.alias(f"k{j}") for j, v in enumerate(typed)])
+
+        if len(own) == 1:
+            rows = df.select(F.lit(own[0][0]).alias("role"), value(own[0][1]).alias("key"))
+        else:
+            rows = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("role"), value(cs).alias("key")) for i, cs in own])).alias("r")).select("r.*")
+        parts.append(rows.filter("key IS NOT NULL"))
+    per_key = reduce(DataFrame.union, parts).groupBy("key").agg(*[F.count_if(F.col("role") == i).alias(f"n{i}") for i in range(len(keys))])
     zero = F.lit(0).cast("bigint")
-    for column in contract.unique:
-        counted("unique", column, duplicate_keys(df, [column], null_keys=False), F.count("*"))
-    for keys in contract.composite_unique:
-        counted("unique", "+".join(keys), duplicate_keys(df, keys), F.count("*"))
-    for column, other, other_column in contract.references:
-        missing = orphan_keys(df, column, tables[other], other_column)
-        counted("references", f"{column}->{other}.{other_column}", missing, F.coalesce(F.sum("n_rows"), zero))
-    stacked = reduce(DataFrame.unionByName, parts)
-    return stacked.select(F.lit(name).alias("table_name"), "rule", "target", "violations")
+    numbers: list[tuple[str, str, str, Column]] = []
+    for i, (name, columns) in enumerate(keys):
+        n, target = F.col(f"n{i}"), "+".join(columns)
+        numbers += [(name, "unique", target, F.count_if(n > 1)), (name, "distinct", target, F.count_if(n > 0)),
+                    (name, "repeated_rows", target, F.coalesce(F.sum(F.when(n > 1, n)), zero))]
+    place = {k: i for i, k in enumerate(keys)}
+    for child, parent, target in references:
+        lost = F.sum(F.when(F.col(f"n{place[parent]}") == 0, F.col(f"n{place[child]}")))
+        numbers.append((child[0], "references", target, F.coalesce(lost, zero)))
+    return _long_rows(per_key, numbers)
+
+
+def _long_rows(df: DataFrame, numbers: Sequence[tuple[str, str, str, Column]]) -> DataFrame:
+    """(table_name, rule, target, value) of aggregates of one table, in one pass."""
+    wide = df.agg(*[c.cast("bigint").alias(f"a{i}") for i, (*_, c) in enumerate(numbers)])
+    rows = [F.struct(F.lit(t).alias("table_name"), F.lit(r).alias("rule"), F.lit(x).alias("target"), F.col(f"a{i}").alias("value")) for i, (t, r, x, _) in enumerate(numbers)]
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def census(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) -> DataFrame:
+    """(table_name, rule, target, value): all that contracts and key gates of a layer ask for, measured once.
+
+    Rules: rows, nulls of every key and required column, accepted_values, and per key unique (keys on several
+    rows), distinct, repeated_rows, references (rows whose key has no parent). Columns of a table are counted in
+    one pass, keys of a domain in one shuffle.
+    """
+    domains = key_domains(contracts)
+    parts = []
+    for name in dict.fromkeys([*contracts, *(n for d in domains for n, _ in d)]):
+        c = contracts.get(name, Contract())
+        needed = dict.fromkeys([*c.not_null, *(x for d in domains for n, cs in d if n == name for x in cs)])
+        numbers = [(name, "rows", "*", F.count("*")), *[(name, "nulls", x, F.count_if(F.col(x).isNull())) for x in needed],
+                   *[(name, "accepted_values", x, F.count_if(~F.col(x).isin(list(v)))) for x, v in c.accepted.items()]]
+        parts.append(_long_rows(tables[name], numbers))
+    for keys in domains:
+        related = [((n, (c,)), (o, (oc,)), f"{c}->{o}.{oc}") for n, contract in contracts.items() for c, o, oc in contract.references if (n, (c,)) in keys]
+        parts.append(_key_census(tables, keys, related))
+    return reduce(DataFrame.union, parts)
+
+
+def contract_rows(found: DataFrame, contracts: Mapping[str, Contract]) -> DataFrame:
+    """The declared rules among what a census counted: (table_name, rule, target, violations)."""
+    declared = [(n, *rule) for n, c in contracts.items() for rule in (
+        *(("not_null", x) for x in c.not_null), *(("accepted_values", x) for x in c.accepted), *(("unique", x) for x in c.unique),
+        *(("unique", "+".join(x)) for x in c.composite_unique), *(("references", f"{x}->{o}.{y}") for x, o, y in c.references))]
+    rules = found.sparkSession.createDataFrame(declared, "table_name string, rule string, target string")
+    named = found.withColumn("rule", F.when(F.col("rule") == "nulls", "not_null").otherwise(F.col("rule")))
+    return rules.join(named, ["table_name", "rule", "target"], "left").select("table_name", "rule", "target", F.col("value").alias("violations"))
+
+
+def check_contract(tables: Mapping[str, DataFrame], name: str, contract: Contract) -> DataFrame:
+    """One row per declared rule of one table: (table_name, rule, target, violations)."""
+    return check_contracts(tables, {name: contract})
 
 
 def check_contracts(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [check_contract(tables, n, c) for n, c in contracts.items()])
+    return contract_rows(census(tables, contracts), contracts)
+
+
+def counted(found: DataFrame, items: Mapping[str, tuple[str, str, str]]) -> DataFrame:
+    """(item, value) of a census by item -> (table_name, rule, target); a number that was not taken is NULL."""
+    wanted = found.sparkSession.createDataFrame([(i, *x) for i, x in items.items()], "item string, table_name string, rule string, target string")
+    return wanted.join(found, ["table_name", "rule", "target"], "left").select("item", F.col("value").cast(SUM_TYPE).alias("value"))
 
 
 # ---- measuring and comparing -----------------------------------------------------------------------
@@ -176,11 +246,6 @@ def must_be(gate: str, actual: DataFrame, expected: int | str = 0) -> DataFrame:
     return compare(gate, actual.select("item", F.lit(expected).cast(SUM_TYPE).alias("value")), actual)
 
 
-def informative(gate_rows: DataFrame) -> DataFrame:
-    """Keeps the numbers of a comparison but not its verdict."""
-    return gate_rows.withColumn("status", F.lit(PASS))
-
-
 def row_parity(gate: str, pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """Same number of rows on both sides, for several table pairs."""
     count = lambda n, df: measures(df, {n: F.count("*")})

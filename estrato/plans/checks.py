@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from estrato.operators import relational as J
 from estrato.operators.quality import Contract
 from estrato.operators.typing import Field
 from estrato.plans import records as R
+from estrato.session import new_folder
 
 Tables = Mapping[str, DataFrame]
 
@@ -157,18 +159,32 @@ def raw_row_counts(raw: Tables, silver: Tables) -> DataFrame:
     )
 
 
-def silver_key_uniqueness(silver: Tables) -> DataFrame:
-    gate = "key_uniqueness"
-    keys = {"proposta": "id_proposta", "programa_cadastral": "id_programa",
-            "programa_elegibilidade": "id_programa_elegibilidade", "convenio": "id_convenio_observacao"}
-    unique = Q.stack([Q.rows_equal_keys(gate, silver[t], {f"{t}.{k}": k}) for t, k in keys.items()])
-    collisions = Q.stack([
-        Q.measures(Q.duplicate_keys(silver["programa_proposta"], ["id_programa", "id_proposta"]),
-                   {"programa_proposta.pair": F.count("*")}),
-        Q.measures(Q.duplicate_keys(silver["programa_elegibilidade"], R.ELIGIBILITY_SUPERKEY),
-                   {"programa_elegibilidade.superkey": F.count("*")}),
-    ])
-    return unique.unionByName(Q.must_be(gate, collisions))
+def key_gate(gate: str, found: DataFrame, keys: Sequence[tuple[str, str]], pairs: Mapping[str, tuple[str, tuple[str, ...]]]) -> DataFrame:
+    """Per key: rows equal distinct values, and its repeated rows and NULLs apart; repeated pairs by name."""
+    expected = Q.counted(found, {f"{t}.{k}": (t, "distinct", k) for t, k in keys})
+    actual = Q.counted(found, {f"{t}.{k}": (t, "rows", "*") for t, k in keys})
+    none = Q.counted(found, {
+        **{f"{t}.{k} repeated rows": (t, "repeated_rows", k) for t, k in keys}, **{f"{t}.{k} NULLs": (t, "nulls", k) for t, k in keys},
+        **{item: (t, "unique", "+".join(columns)) for item, (t, columns) in pairs.items()}})
+    return Q.compare(gate, expected, actual).unionByName(Q.must_be(gate, none))
+
+
+def parts_of(contracts: Mapping[str, Contract], keys: bool = False, references: bool = False) -> dict[str, Contract]:
+    """Only the keys or only the references (but those to the calendar) of contracts, for a gate that runs alone."""
+    return {t: Contract(unique=c.unique if keys else (), composite_unique=c.composite_unique if keys else (),
+                        references=tuple(r for r in c.references if references and r[1] != "dim_data")) for t, c in contracts.items()}
+
+
+SILVER_KEYS = {"proposta": "id_proposta", "programa_cadastral": "id_programa",
+               "programa_elegibilidade": "id_programa_elegibilidade", "convenio": "id_convenio_observacao"}
+
+
+def silver_key_uniqueness(silver: Tables, found: DataFrame | None = None) -> DataFrame:
+    """``found`` is the layer's census, where it has been taken."""
+    found = Q.census(silver, parts_of(SILVER_CONTRACTS, keys=True)) if found is None else found
+    return key_gate("key_uniqueness", found, list(SILVER_KEYS.items()), {
+        "programa_proposta.pair": ("programa_proposta", ("id_programa", "id_proposta")),
+        "programa_elegibilidade.superkey": ("programa_elegibilidade", tuple(R.ELIGIBILITY_SUPERKEY))})
 
 
 def conflict_reconciliation(raw: Tables, silver: Tables) -> DataFrame:
@@ -191,28 +207,15 @@ def conflict_listing(silver: Tables) -> DataFrame:
     )
 
 
-def _orphan_rows(child: DataFrame, column: str, parent: DataFrame, item: str) -> DataFrame:
-    return Q.measures(
-        J.orphan_keys(child, column, parent, column), {item: F.coalesce(F.sum("n_rows"), F.lit(0))}
-    )
-
-
-def _null_rows(child: DataFrame, column: str, item: str) -> DataFrame:
-    return Q.measures(child, {item: F.count_if(F.col(column).isNull())})
-
-
-def silver_references(raw: Tables, silver: Tables, known: Sequence[int] = R.KNOWN_ORPHAN_PROPOSALS) -> DataFrame:
+def silver_references(raw: Tables, silver: Tables, known: Sequence[int] = R.KNOWN_ORPHAN_PROPOSALS, found: DataFrame | None = None) -> DataFrame:
     """A NULL key has no parent either, so it is counted with the orphans of its relation."""
     gate = "references"
-    relations = [
-        ("convenio", "id_proposta", "proposta"),
-        ("programa_elegibilidade", "id_programa", "programa_cadastral"),
-        ("programa_proposta", "id_programa", "programa_cadastral"),
-    ]
+    found = Q.census(silver, parts_of(SILVER_CONTRACTS, references=True)) if found is None else found
+    relations = [(c, k, p) for c, contract in SILVER_CONTRACTS.items() for k, p, _ in contract.references]
     orphans = Q.stack([
-        part for c, k, p in relations for part in (
-            _orphan_rows(silver[c], k, silver[p], f"{c}->{p}"), _null_rows(silver[c], k, f"{c}->{p}"))
-    ]).groupBy("item").agg(F.sum("value").cast(SUM_TYPE).alias("value"))
+        Q.counted(found, {f"{c}->{p}": (c, "references", f"{k}->{p}.{k}") for c, k, p in relations}),
+        Q.counted(found, {f"{c}->{p}": (c, "nulls", k) for c, k, p in relations}),
+    ]).groupBy("item").agg(F.when(F.count("*") == F.count("value"), F.sum("value")).cast(SUM_TYPE).alias("value"))
     unexpected = Q.measures(
         unexpected_orphans(silver["programa_proposta"], silver["proposta"], known),
         {"programa_proposta->proposta unexpected": F.count("*")},
@@ -283,26 +286,43 @@ def parse_losses_gate(raw: Tables, allowed: Mapping[str, float] | None = None) -
                        F.when(F.col("actual") <= F.col("expected"), Q.PASS).otherwise(Q.FAIL).alias("status"))
 
 
-def contracts_gate(tables: Tables, contracts: Mapping[str, Contract], label: str) -> DataFrame:
+def contracts_gate(tables: Tables, contracts: Mapping[str, Contract], label: str, found: DataFrame | None = None) -> DataFrame:
     """The declared contracts of a layer as gate rows: violations per rule, none allowed."""
-    found = Q.check_contracts(tables, contracts)
-    return Q.must_be(f"{label}_contracts", found.select(
+    found = Q.census(tables, contracts) if found is None else found
+    return Q.must_be(f"{label}_contracts", Q.contract_rows(found, contracts).select(
         F.concat(F.col("table_name"), F.lit(" "), F.col("rule"), F.lit(" "), F.col("target")).alias("item"),
         F.col("violations").cast(SUM_TYPE).alias("value")))
 
 
+def taken_once(tables: Tables, contracts: Mapping[str, Contract]) -> Callable[[], DataFrame]:
+    """A layer's census as a small stored table, made when the first gate asks for it; gates run side by side."""
+    lock, held = threading.Lock(), []
+
+    def found() -> DataFrame:
+        with lock:
+            if not held:
+                made = Q.census(tables, contracts)
+                folder = new_folder(made.sparkSession, "census")
+                made.coalesce(1).write.parquet(folder)
+                held.append(made.sparkSession.read.schema(made.schema).parquet(folder))
+            return held[0]
+
+    return found
+
+
 def raw_to_silver_gates(
     raw: Tables, silver: Tables, known=R.KNOWN_ORPHAN_PROPOSALS, allowed_losses: Mapping[str, float] | None = None
 ) -> dict[str, Callable[[], DataFrame]]:
+    found = taken_once(silver, SILVER_CONTRACTS)
     return {
         "row_counts": lambda: raw_row_counts(raw, silver),
-        "key_uniqueness": lambda: silver_key_uniqueness(silver),
+        "key_uniqueness": lambda: silver_key_uniqueness(silver, found()),
         "agreement_conflicts": lambda: conflict_reconciliation(raw, silver),
-        "references": lambda: silver_references(raw, silver, known),
+        "references": lambda: silver_references(raw, silver, known, found()),
         "money": lambda: raw_money(raw, silver),
         "parse_losses": lambda: parse_losses_gate(raw, allowed_losses),
         "lineage": lambda: lineage_completeness(silver),
-        "silver_contracts": lambda: contracts_gate(silver, SILVER_CONTRACTS, "silver"),
+        "silver_contracts": lambda: contracts_gate(silver, SILVER_CONTRACTS, "silver", found()),
     }
 
 
@@ -336,34 +356,23 @@ GOLD_KEYS = {
 }
 
 
-def gold_primary_keys(gold: Tables) -> DataFrame:
-    """Rows against distinct non-NULL keys: a duplicate or a NULL key makes the difference non-zero."""
-    gate = "primary_keys"
-    keys = {t: [k] for t, k in GOLD_KEYS.items()}
-    keys["fct_convenio"] = ["numero_convenio", "id_proposta"]
-    unique = Q.stack([Q.rows_equal_keys(gate, gold[t], {f"{t}.{k}": k for k in ks}) for t, ks in keys.items()])
-    pair = Q.measures(
-        Q.duplicate_keys(gold["bridge_programa_proposta"], ["id_programa", "id_proposta"]),
-        {"bridge_programa_proposta.pair": F.count("*")},
-    )
-    return unique.unionByName(Q.must_be(gate, pair))
+def gold_primary_keys(gold: Tables, found: DataFrame | None = None) -> DataFrame:
+    """Per key four numbers: rows, distinct values, rows of repeated values, NULLs. ``found`` is the layer's census."""
+    found = Q.census(gold, parts_of(GOLD_CONTRACTS, keys=True)) if found is None else found
+    return key_gate("primary_keys", found, [*GOLD_KEYS.items(), ("fct_convenio", "id_proposta")],
+                    {"bridge_programa_proposta.pair": ("bridge_programa_proposta", ("id_programa", "id_proposta"))})
 
 
-def gold_references(gold: Tables, known: Sequence[int] = R.KNOWN_ORPHAN_PROPOSALS) -> DataFrame:
+def gold_references(gold: Tables, known: Sequence[int] = R.KNOWN_ORPHAN_PROPOSALS, found: DataFrame | None = None) -> DataFrame:
     gate = "gold_references"
-    items = [
-        (t, c, o, oc) for t, contract in GOLD_CONTRACTS.items() for c, o, oc in contract.references if o != "dim_data"
-    ]
-    parts = [
-        Q.measures(J.orphan_keys(gold[t], c, gold[o], oc),
-                   {f"{t}.{c}->{o}": F.coalesce(F.sum("n_rows"), F.lit(0))})
-        for t, c, o, oc in items
-    ]
-    parts.append(Q.measures(
+    found = Q.census(gold, parts_of(GOLD_CONTRACTS, references=True)) if found is None else found
+    orphans = Q.counted(found, {
+        f"{t}.{c}->{o}": (t, "references", f"{c}->{o}.{oc}") for t, contract in GOLD_CONTRACTS.items() for c, o, oc in contract.references if o != "dim_data"})
+    unexpected = Q.measures(
         unexpected_orphans(gold["bridge_programa_proposta"], gold["fct_proposta"], known),
         {"bridge_programa_proposta->fct_proposta unexpected": F.count("*")},
-    ))
-    return Q.must_be(gate, Q.stack(parts))
+    )
+    return Q.must_be(gate, orphans.unionByName(unexpected))
 
 
 def calendar_keys(gold: Tables) -> DataFrame:
@@ -475,10 +484,11 @@ def location_gate(spark: SparkSession, schema: str, expected: str) -> DataFrame:
 
 
 def silver_to_gold_gates(silver: Tables, gold: Tables, known=R.KNOWN_ORPHAN_PROPOSALS) -> dict[str, Callable[[], DataFrame]]:
+    found = taken_once(gold, GOLD_CONTRACTS)
     return {
         "gold_row_counts": lambda: gold_row_counts(silver, gold),
-        "primary_keys": lambda: gold_primary_keys(gold),
-        "gold_references": lambda: gold_references(gold, known),
+        "primary_keys": lambda: gold_primary_keys(gold, found()),
+        "gold_references": lambda: gold_references(gold, known, found()),
         "date_keys": lambda: date_keys_gate(gold),
         "date_mapping": lambda: date_mapping_gate(silver, gold),
         "body_conformance": lambda: body_conformance_gate(silver),
@@ -487,7 +497,7 @@ def silver_to_gold_gates(silver: Tables, gold: Tables, known=R.KNOWN_ORPHAN_PROP
         "agreement_money": lambda: agreement_money_gate(silver, gold),
         "balance_observations": lambda: balance_gate(silver, gold),
         "bridge_columns": lambda: bridge_columns_gate(gold),
-        "gold_contracts": lambda: contracts_gate(gold, GOLD_CONTRACTS, "gold"),
+        "gold_contracts": lambda: contracts_gate(gold, GOLD_CONTRACTS, "gold", found()),
     }
 
 

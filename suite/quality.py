@@ -34,6 +34,14 @@ def gate_sql(gate: str, items: list[tuple[str, str, str]]) -> str:
     )
 
 
+def key_items(keys: list[tuple[str, str]], prefix: str = "") -> list[tuple[str, str, str]]:
+    """Rows against distinct values, and rows of repeated values and NULLs apart."""
+    repeated = "SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM {t} WHERE {k} IS NOT NULL GROUP BY {k} HAVING count(*) > 1)"
+    return [item for t, k in keys for item in (
+        (f"{t}.{k}", distinct(prefix + t, k), rows(prefix + t)), (f"{t}.{k} repeated rows", "0", repeated.format(t=prefix + t, k=k)),
+        (f"{t}.{k} NULLs", "0", f"SELECT count(*) FROM {prefix}{t} WHERE {k} IS NULL"))]
+
+
 def rows(t: str) -> str:
     return f"SELECT count(*) FROM {t}"
 
@@ -174,7 +182,7 @@ def register(reg: Registry) -> None:
     ]))
     keys = [("proposta", "id_proposta"), ("programa_cadastral", "id_programa"), ("programa_elegibilidade", "id_programa_elegibilidade"), ("convenio", "id_convenio_observacao")]
     reg.add("gate_key_uniqueness", lambda s, d: C.silver_key_uniqueness(silver(s, d)), gate_sql("key_uniqueness", [
-        *[(f"{t}.{k}", distinct(f"silver_{t}", k), rows(f"silver_{t}")) for t, k in keys],
+        *key_items(keys, "silver_"),
         ("programa_proposta.pair", "0", dups("silver_programa_proposta", "id_programa, id_proposta")),
         ("programa_elegibilidade.superkey", "0", dups("silver_programa_elegibilidade", ", ".join(R.ELIGIBILITY_SUPERKEY))),
     ]))
@@ -252,7 +260,7 @@ def register(reg: Registry) -> None:
     ]))
     gold_keys = [*C.GOLD_KEYS.items(), ("fct_convenio", "id_proposta")]
     reg.add("gate_primary_keys", lambda s, d: C.gold_primary_keys(gold(s, d)), gate_sql("primary_keys", [
-        *[(f"{t}.{k}", distinct(t, k), rows(t)) for t, k in gold_keys],
+        *key_items(gold_keys),
         ("bridge_programa_proposta.pair", "0", dups("bridge_programa_proposta", "id_programa, id_proposta")),
     ]))
     reg.add("gate_gold_references", lambda s, d: C.gold_references(gold(s, d), KNOWN), gate_sql("gold_references", [
@@ -331,7 +339,7 @@ def register(reg: Registry) -> None:
         lambda s, d: Q.gate_verdicts(C.silver_key_uniqueness(silver(s, d)).unionByName(C.proposal_money_gate(silver(s, d), gold(s, d)["fct_proposta"]))),
         f"""SELECT gate, count(*) AS n_items, count(*) FILTER (WHERE status <> 'PASS') AS n_failed,
         CASE WHEN count(*) FILTER (WHERE status <> 'PASS') > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM (
-        {gate_sql("key_uniqueness", [*[(f"{t}.{k}", distinct(f"silver_{t}", k), rows(f"silver_{t}")) for t, k in keys],
+        {gate_sql("key_uniqueness", [*key_items(keys, "silver_"),
         ("programa_proposta.pair", "0", dups("silver_programa_proposta", "id_programa, id_proposta")),
         ("programa_elegibilidade.superkey", "0", dups("silver_programa_elegibilidade", ", ".join(R.ELIGIBILITY_SUPERKEY)))])}
         UNION ALL {gate_sql('proposal_money', [(c, money('silver_proposta', c), money('fct_proposta', c)) for c in R.PROPOSTA_MONEY])}) GROUP BY gate""",
