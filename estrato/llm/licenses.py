@@ -1,11 +1,13 @@
 """Licence notices in texts by patience alignment.
 
-Where two neighbouring words of a template occur in a text, the region around is aligned with the
-template: words that are unique in both are anchors, the longest increasing subsequence of anchors is
-kept, and the gaps between them are aligned in the same way; equal words at a gap's ends match
-directly. A match is aligned again around the place its words point to, so a region that began too
-early cuts nothing off. The share of template words matched is the coverage. A region may hold the template once;
-the search goes on behind each match, so several copies are all found.
+Where two neighbouring words of a template occur in a text, they vote for the place where the template
+would begin. Around places with enough votes the text is aligned with the template: words that are
+unique in both are anchors, the longest increasing subsequence of anchors is kept, and the gaps between
+them are aligned in the same way; equal words at a gap's ends match directly. Alignments of narrow and
+wide regions around one place compete by words matched less words skipped, and each is cut to the part
+worth most, so it ends where it would jump to another copy. The share of template words matched is the
+coverage. The best match of a text is settled first and takes its words; others get what is left, so
+copies and shortened copies that touch are told apart.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from estrato.llm.license_texts import COMMON, TEMPLATES, VARIANTS
 COVERAGE = 0.8
 SHORT = 20
 """Templates of fewer words must match in every word but the COMMON ones."""
+REPEATS = 4
+"""Pairs of words that a template has more often don't vote."""
 DENSITY = 0.5
 """Least share of matched words in the stretch of text that a match takes up."""
 SEPARATORS = separator_table([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
@@ -77,21 +81,36 @@ def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def whole(text: list[int], own: list[int], found: list[tuple[int, int]], least: int) -> list[tuple[int, int]]:
-    """The best of a match that a region may have cut and alignments around the place it points to.
+def worth(found: list[tuple[int, int]]) -> int:
+    """Two for each matched word, less one for each word skipped between them."""
+    return 3 * len(found) - (found[-1][0] - found[0][0] + 1) if found else 0
 
-    The median offset of the matched words tells where the template begins in the text; the region of
-    its exact length there is aligned again, and one wider by half a length on both sides, from `least` on.
-    """
-    offsets = sorted(i - j for i, j in found)
-    begin = offsets[len(offsets) // 2]
-    tried = [found]
-    for slack in (0, len(own) // 2 + 1):
-        lo = max(least, begin - slack)
-        tried.append([(lo + i, j) for i, j in aligned(text[lo : max(lo, begin + len(own) + slack)], own)])
-        if len(tried[-1]) == len(own):
+
+def tightened(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The part of a match that is worth most: words beyond a gap stay if they are over half as many as it skips."""
+    best, first, held = (0, 0, 0), 0, 0
+    for k, (i, _) in enumerate(found):
+        if k:
+            held -= i - found[k - 1][0] - 1
+        if held <= 0:
+            first, held = k, 0
+        held += 2
+        if held > best[0]:
+            best = held, first, k + 1
+    return found[best[1] : best[2]]
+
+
+def match_at(text: list[int], own: list[int], begin: int, least: int, most: int) -> list[tuple[int, int]]:
+    """The best alignment of a template that would begin at `begin`, within text[least:most]."""
+    best: list[tuple[int, int]] = []
+    for slack in (0, 4, len(own) // 8, len(own) // 2 + 1):
+        lo, hi = max(least, begin - slack), min(most, begin + len(own) + slack)
+        if lo < hi:
+            found = tightened([(lo + i, j) for i, j in aligned(text[lo:hi], own)])
+            best = found if worth(found) > worth(best) else best
+        if worth(best) == 2 * len(own):
             break
-    return max(filter(None, tried), key=lambda x: (len(x), x[0][0] - x[-1][0]))
+    return best
 
 
 def _unique(words: list[int], start: int, end: int) -> dict[int, int]:
@@ -109,11 +128,16 @@ class Scanner:
         hashes = words.hashes()
         self.names = list(templates)
         self.words = [hashes[words.first[k] : words.first[k + 1]].tolist() for k in range(len(self.names))]
-        self.owners: dict[int, list[int]] = {}
+        votes = []  # (pair, template, place in it) of pairs that a template has a few times at most
         for t, own in enumerate(self.words):
-            for pair in set(window_hashes(np.array(own, np.uint64), min(2, len(own))).tolist()) if own else ():
-                self.owners.setdefault(pair, []).append(t)
-        self.pairs = np.array(sorted(self.owners), np.uint64)
+            pairs = window_hashes(np.array(own, np.uint64), min(2, len(own))) if own else np.zeros(0, np.uint64)
+            _, which, n = np.unique(pairs, return_inverse=True, return_counts=True)
+            votes += [(pair, t, j) for j, (pair, k) in enumerate(zip(pairs.tolist(), which.tolist())) if n[k] <= REPEATS]
+        votes.sort()
+        self.pairs, self.first = np.unique(np.array([v[0] for v in votes], np.uint64), return_index=True)
+        self.first = np.append(self.first, len(votes))
+        self.template, self.place = np.array([v[1] for v in votes], np.int64), np.array([v[2] for v in votes], np.int64)
+        self.votes = np.bincount(self.template, minlength=len(self.names))
 
         few = Words([w.encode() for w in (COMMON, VARIANTS, "version v", " ".join(map(str, range(100))))], SEPARATORS)
         known = few.hashes().tolist()
@@ -135,30 +159,60 @@ class Scanner:
                 return True
         return False
 
-    def scan(self, text: list[int], places: list[int], pairs: list[int], coverage: float, density: float = DENSITY) -> list[tuple[str, float, int, int]]:
-        """(template, coverage, first word, end word) of the best matches; places are where known pairs begin."""
-        by_template: dict[int, list[int]] = {}
-        for place, pair in zip(places, pairs):
-            for t in self.owners[pair]:
-                by_template.setdefault(t, []).append(place)
-        found = []
-        for t, starts in by_template.items():
-            own, at, skip = self.words[t], -1, -1
-            need = coverage * len(own)
-            for k, start in enumerate(starts):
-                reach = start + len(own) + len(own) // 2 + 1
-                # k.. lie within reach: a match of `need` words has about as many known pairs
-                if start < at or start < skip or bisect_left(starts, reach, k) - k + 1 < need / 2:
+    def begins(self, t: int, offsets: np.ndarray) -> list[int]:
+        """Places worth aligning template t at: by votes (a rising array of places, repeats included)."""
+        need, width = max(1, (2 * int(self.votes[t])) // 5), len(self.words[t]) * 4 // 5 + 1
+        if len(offsets) < need:
+            return []
+        place, n = np.unique(offsets, return_counts=True)
+        total = np.concatenate(([0], np.cumsum(n)))
+        end = np.searchsorted(place, place + width)
+        enough = np.flatnonzero(total[end] - total[:-1] >= need)
+        found, last = set(), None
+        for k in enough.tolist():
+            found.update(place[k : end[k]][n[k : end[k]] >= max(3, len(self.words[t]) // 10)].tolist())
+            if last is None or last < place[k]:
+                last = int(place[k + int(np.argmax(n[k : end[k]]))])
+                found.add(last)
+        return sorted(found)
+
+    def matches(self, text: list[int], t: int, begins: list[int], coverage: float, density: float) -> list[tuple[str, float, int, int, int]]:
+        """(template, coverage, first word, end word, score) of template t at some of the places it may begin at; no word is used twice."""
+        own = self.words[t]
+
+        def good(found: list[tuple[int, int]]) -> bool:
+            return len(found) >= coverage * len(own) and len(found) >= density * (found[-1][0] - found[0][0] + 1)
+
+        found = [(b, match) for b in begins for match in [match_at(text, own, b, 0, len(text))] if match and good(match)]
+        found.sort(key=lambda x: (-worth(x[1]), -len(x[1]), x[1][0][0], x[0]))
+        taken: list[tuple[int, int]] = []
+        out = []
+        for begin, match in found:
+            middle = match[len(match) // 2][0]
+            if any(a <= middle < b for a, b in taken):
+                continue
+            least, most = max([0, *(b for _, b in taken if b <= middle)]), min([len(text), *(a for a, _ in taken if a > middle)])
+            if match[0][0] < least or match[-1][0] >= most:
+                match = match_at(text, own, begin, least, most)
+                if not match or not good(match):
                     continue
-                pairs_found = aligned(text[start:reach], own)
-                skip = start + (need - len(pairs_found)) / 2  # a region that begins d words later has at most d words more to match
-                if len(pairs_found) >= need and len(pairs_found) >= density * (pairs_found[-1][0] - pairs_found[0][0] + 1):
-                    best = whole(text, own, [(start + i, j) for i, j in pairs_found], max(at, 0))
-                    if self.contradicted(text, t, best):
-                        at = best[len(best) // 2][0] if len(own) >= SHORT else at
-                        continue
-                    at = best[-1][0] + 1
-                    found.append((self.names[t], len(best) / len(own), best[0][0], at, 3 * len(best) - len(own) - (at - best[0][0])))
+            if not self.contradicted(text, t, match):
+                first, end = match[0][0], match[-1][0] + 1
+                taken.append((first, end))
+                out.append((self.names[t], len(match) / len(own), first, end, worth(match) - len(own)))
+        return out
+
+    def scan(self, text: list[int], places: np.ndarray, known: np.ndarray, coverage: float, density: float = DENSITY) -> list[tuple[str, float, int, int]]:
+        """(template, coverage, first word, end word) of the best matches; places are where known pairs begin, `known` their numbers."""
+        size = self.first[known + 1] - self.first[known]
+        vote = np.repeat(self.first[known] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        template, begin = self.template[vote], np.repeat(places, size) - self.place[vote]
+        order = np.lexsort((begin, template))
+        template, begin = template[order], begin[order]
+        bounds = np.searchsorted(template, np.arange(len(self.names) + 1))
+        found = []
+        for t in np.flatnonzero(np.diff(bounds) * 5 >= 2 * self.votes).tolist():
+            found += self.matches(text, t, self.begins(t, begin[bounds[t] : bounds[t + 1]]), coverage, density)
         return sorted(winners(found), key=lambda x: (x[2], -x[3], x[0]))
 
 
@@ -175,8 +229,10 @@ def with_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cove
     """`docs` (any columns, text among them) with licenses, coverages and spans of all matches, by place.
 
     spans holds first and end word of each match; words are a-z, digits and non-ASCII characters after
-    lower-casing A-Z. NULL, empty texts and texts without a match have empty arrays. Templates are a
-    small dictionary that goes to every task. Added columns replace columns of the same names.
+    lower-casing A-Z. NULL, empty texts and texts without a match have empty arrays, as has an empty set of
+    templates. Repeated rows and equal texts have equal results, a very long text is scanned whole, and an
+    empty table stays empty. Of equally good matches over one span the template of the smaller name stands.
+    Templates are a small dictionary that goes to every task. Added columns replace columns of the same names.
     """
     docs = docs.drop(*FIELDS)
     scanner = docs.sparkSession.sparkContext.broadcast(Scanner(TEMPLATES if templates is None else templates))
@@ -197,7 +253,7 @@ def with_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cove
                 for k in range(hi - lo):
                     mine = hit[bound[k] : bound[k + 1]]
                     first, last = words.first[k], words.first[k + 1]
-                    found.append(known.scan(hashes[first:last].tolist(), (mine - first).tolist(), pairs[mine].tolist(), coverage) if len(mine) else [])
+                    found.append(known.scan(hashes[first:last].tolist(), mine - first, at[mine], coverage) if len(mine) else [])
             more = [pa.array([[m[0] for m in x] for x in found], pa.list_(pa.string())), pa.array([[m[1] for m in x] for x in found], pa.list_(pa.float64())),
                     pa.array([[p for m in x for p in m[2:]] for x in found], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, *FIELDS])

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from estrato.llm import licenses
 from estrato.llm.license_texts import TEMPLATES
 
@@ -108,3 +110,67 @@ def test_longest_increasing_subsequence():
         places = licenses.increasing(values)
         assert len(places) == max(best, default=0)
         assert all(values[x] < values[y] for x, y in zip(places, places[1:]))
+
+
+LONG = ("MIT", "ISC", "BSD-2-Clause", "GPL-3.0 notice", "Zlib", "Apache-2.0 notice")
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_whole_copy_behind_a_shortened_one(make_docs, name):
+    words = TEMPLATES[name].split()
+    size = len(licenses.Scanner({name: TEMPLATES[name]}).words[0])
+    rows, begin = [], {}
+    for percent in range(10, 100, 5):
+        cut = words[: len(words) * percent // 100]
+        before = ["zz"] * 5 + cut
+        begin[percent] = len(licenses.Scanner({"x": " ".join(before)}).words[0])
+        rows.append((percent, " ".join(before + words + ["qq"] * 5)))
+    for doc, r in scan(make_docs(rows)).items():
+        matches = list(zip(r.licenses, r.coverages, r.spans[::2], r.spans[1::2]))
+        assert (name, 1.0, begin[doc], begin[doc] + size) in matches, (doc, begin[doc], matches)
+        others = [m for m in matches if m[0] == name and m[1] < 1]
+        assert all(m[3] <= begin[doc] for m in others) and len(others) == (doc >= 85 or bool(others))
+
+
+def every_place(scanner, text, coverage):
+    """All templates aligned at all places; the rest of the rules is the scanner's."""
+    found = []
+    for t, own in enumerate(scanner.words):
+        found += scanner.matches(text, t, list(range(-len(own), len(text) + 1)), coverage, licenses.DENSITY)
+    return sorted(licenses.winners(found), key=lambda x: (x[2], -x[3], x[0]))
+
+
+def test_against_alignment_at_every_place(make_docs):
+    rng = random.Random(12)
+    templates = {"a": " ".join(f"a{k}" for k in range(30)), "b": "the terms of the license apply to all of the copies of the work and the owner", "c": "licensed under foo line", "b2": TEMPLATES["MIT line"], "d": TEMPLATES["ISC"]}
+    scanner, rows = licenses.Scanner(templates), []
+    for k in range(60):
+        words = []
+        for _ in range(rng.randint(1, 4)):
+            body = rng.choice(list(templates.values())).split()
+            body = body[rng.choice([0, 0, 3]) : len(body) - rng.choice([0, 0, 2, 5])]
+            for _ in range(rng.choice([0, 0, 1, 3])):
+                at = rng.randrange(len(body) + 1)
+                body[at : at + rng.choice([0, 1])] = rng.choices(["the", "new", "of", "zz"], k=rng.choice([0, 1, 2]))
+            words += rng.choices(["the", "of", "lorem", "copies"], k=rng.choice([0, 2, 12])) + body
+        rows.append((k, " ".join(words)))
+    got = {r.doc_id: r for r in licenses.with_licenses(make_docs(rows), templates).collect()}
+    n = exact = 0
+    for doc, text in rows:
+        words = licenses.Scanner({"x": text}).words[0]
+        want = every_place(scanner, words, licenses.COVERAGE)
+        r = got[doc]
+        have = list(zip(r.licenses, r.coverages, r.spans[::2], r.spans[1::2]))
+        # what is unique depends on where a region begins, so another place may match a word or two more at an end
+        assert [m[0] for m in have] == [m[0] for m in want], (doc, text)
+        for m, w in zip(have, want):
+            assert abs(m[1] - w[1]) * len(scanner.words[scanner.names.index(m[0])]) <= 2.01 and abs(m[2] - w[2]) <= 3 and abs(m[3] - w[3]) <= 3, (m, w)
+        n += len(want)
+        exact += have == want
+    assert n > 60 and exact > 50
+
+
+def test_very_long_text_without_spaces(make_docs):
+    rows = [(1, "x" * 3_000_000), (2, "x" * 1_000_000 + "\n" + TEMPLATES["ISC"]), (3, " ".join([TEMPLATES["MIT line"]] * 2000))]
+    found = scan(make_docs(rows))
+    assert found[1].licenses == [] and found[2].licenses == ["ISC"] and found[3].licenses == ["MIT line"] * 2000
