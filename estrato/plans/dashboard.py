@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estrato.operators.metrics import (
+    Cube,
     Metric,
+    cube,
     distinct_count,
     present_count,
     ratio,
@@ -92,12 +94,17 @@ class Chart:
         self, table: DataFrame, filters: Mapping[str, Sequence] | None = None, keys_proven: bool = True
     ) -> DataFrame:
         chosen = metric(self.metric, keys_proven)
+        return summarize(table, [chosen], **self._question(), filters=filters)
+
+    def answer(self, sums: Cube, filters: Mapping[str, Sequence] | None = None) -> DataFrame:
+        """The same from stored sums; the table is not read."""
+        return sums.answer([METRICS[self.metric]], **self._question(), filters=filters)
+
+    def _question(self) -> dict:
         if self.dim is None:
-            return summarize(table, [chosen], filters=filters)
-        order: list[Column] = [F.asc(self.dim)]
-        if self.top_by_metric:
-            order = [F.desc(chosen.name), *order]
-        return summarize(table, [chosen], [self.dim], filters, [self.dim], order, self.limit)
+            return {}
+        order: list[Column] = [F.desc(self.metric)] if self.top_by_metric else []
+        return {"dims": [self.dim], "not_null": [self.dim], "order": [*order, F.asc(self.dim)], "limit": self.limit}
 
 
 CHARTS: dict[str, Chart] = {
@@ -125,6 +132,15 @@ BENCHMARK: dict[str, Chart] = {
 }
 
 
+def chart_cube(table: DataFrame, charts: Mapping[str, Chart] | None = None, filters: Sequence[str] = ()) -> Cube:
+    """The sums that the charts need, alone and with each of the filters, from one scan of the serving table."""
+    charts = CHARTS if charts is None else charts
+    dims = dict.fromkeys((c.dim,) if c.dim else () for c in charts.values())
+    groupings = dict.fromkeys([*(tuple(d) for d in dims), *(tuple(dict.fromkeys((*d, f))) for d in dims for f in filters)])
+    chosen = [METRICS[m] for m in dict.fromkeys(c.metric for c in charts.values())]
+    return cube(table, list(groupings), chosen)
+
+
 def chart_columns(chart: Chart, keys_proven: bool = True, filters: Mapping[str, Sequence] | None = None) -> list[str]:
     """Columns a chart reads: what the star view has to provide and nothing else."""
     columns = set(metric(chart.metric, keys_proven).columns) | set(filters or {})

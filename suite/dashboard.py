@@ -142,14 +142,31 @@ def register(reg: Registry) -> None:
         "orgao_concedente": ["ORGAO 30001", "ORGAO 30005"], "modalidade": ["CONVENIO", "TERMO DE FOMENTO"],
         "situacao_proposta": ["Rejeitada"], "situacao_convenio": ["Em execução"],
     }
+    def filtered(s, d, chart):
+        """One scan makes the sums by axis and each selector; every selector is answered from them."""
+        sums = B.chart_cube(mart(s, d, sorted({*B.chart_columns(chart), *chosen})), {"one": chart}, list(chosen))
+        return reduce(DataFrame.unionByName, [chart.answer(sums, {f: v}).select(F.lit(f).alias("filter_name"), "*") for f, v in chosen.items()])
+
+    def filter_sql(f: str) -> str:
+        return f"{f} IN (" + ", ".join(repr(x) for x in chosen[f]) + ")"
+
     for name, chart in B.CHARTS.items():
-        reg.add(
-            f"all_filters_on_{name}",
-            lambda s, d, c=chart: reduce(DataFrame.unionByName, [
-                c.run(mart(s, d, B.chart_columns(c, filters={f: v})), {f: v}).select(F.lit(f).alias("filter_name"), "*") for f, v in chosen.items()]),
-            " UNION ALL ".join(
-                f"SELECT '{f}' AS filter_name, * FROM ({chart_sql(chart, f'{f} IN (' + ', '.join(repr(x) for x in v) + ')')})" for f, v in chosen.items()),
-        )
+        reg.add(f"all_filters_on_{name}", lambda s, d, c=chart: filtered(s, d, c),
+                " UNION ALL ".join(f"SELECT '{f}' AS filter_name, * FROM ({chart_sql(chart, filter_sql(f))})" for f in chosen))
+    shown = sorted({*B.DETAIL_COLUMNS, *B.FILTER_COLUMNS})
+    reg.add("all_filters_on_detail_table",
+            lambda s, d: reduce(DataFrame.unionByName, [B.detail_table(mart(s, d, shown), {f: v}).select(F.lit(f).alias("filter_name"), "*") for f, v in chosen.items()]),
+            " UNION ALL ".join(f"SELECT '{f}' AS filter_name, * FROM (SELECT {detail} FROM mart WHERE {filter_sql(f)} ORDER BY {', '.join(c + ' ASC NULLS LAST' for c in B.DETAIL_COLUMNS)} LIMIT 1000)" for f in chosen))
+
+    def all_charts(s, d):
+        """Every chart out of one set of sums: (chart, axis, value)."""
+        sums = B.chart_cube(mart(s, d))
+        return reduce(DataFrame.unionByName, [
+            c.answer(sums).select(F.lit(n).alias("chart"), (F.col(c.dim).cast("string") if c.dim else F.lit(None).cast("string")).alias("axis"), F.col(c.metric).cast("double").alias("value"))
+            for n, c in B.CHARTS.items()])
+
+    reg.add("charts_from_one_aggregate", all_charts, " UNION ALL ".join(
+        f"SELECT '{n}' AS chart, {f'CAST({c.dim} AS VARCHAR)' if c.dim else 'CAST(NULL AS VARCHAR)'} AS axis, CAST({c.metric} AS DOUBLE) AS value FROM ({chart_sql(c)})" for n, c in B.CHARTS.items()))
     values = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n_rows FROM mart "
         f"WHERE {c} IS NOT NULL GROUP BY ALL" for c in B.FILTER_COLUMNS

@@ -126,3 +126,21 @@ def test_bridge_refuses_sums(spark):
 def test_calendar(spark):
     r = Q.calendar_structure(calendar(spark)).first()
     assert (r["total_rows"], r["missing_rows"], r["outside_rows"], r["civil_days"], r["distinct_days"]) == (22282, 1, 1, 22280, 22280)
+
+
+def test_cube_answers_from_the_smallest_set_and_refuses_the_rest(spark):
+    from estrato.operators import metrics as M
+
+    rows = [(k % 3 if k % 7 else None, f"b{k % 5}", f"c{k % 11}", k if k % 4 else None, k * 1.5) for k in range(500)]
+    table = spark.createDataFrame(rows, "a int, b string, c string, n long, v double")
+    chosen = [M.row_count("rows_"), M.present_count("present", "n"), M.total("sum_", "v"), M.ratio("pct", M.present_count("x", "n"), M.row_count("y"))]
+    sums = M.cube(table, [["a"], ["a", "b"], ["c"], []], chosen)
+    assert min(sums.sizes.values()) == 1 and sums.sizes[frozenset(["a", "b"])] == 20
+    for dims, filters, not_null in ((["a"], {}, []), (["a"], {"b": ["b1", "b2"]}, ["a"]), ([], {"c": ["c3"]}, []), ([], {"c": ["none"]}, []), (["b"], {}, []), ([], {}, [])):
+        direct = M.summarize(table, chosen, dims, filters, not_null)
+        assert sorted(map(tuple, sums.answer(chosen, dims, filters, not_null).collect()), key=str) == sorted(map(tuple, direct.collect()), key=str)
+    for metrics, dims in (([M.distinct_count("d", "n")], ["a"]), (chosen, ["b", "c"]), ([M.total("t", "n")], ["a"])):
+        with pytest.raises(M.NotAdditive):
+            sums.answer(metrics, dims)
+    with pytest.raises(M.NotAdditive):
+        M.cube(table, [["a"]], [M.distinct_count("d", "n")])
