@@ -7,7 +7,7 @@ impact, and the weighted sum bounds the score. Documents are then scored exactly
 the order of falling bounds, until no bound reaches the last score that an item's list holds. Each task
 keeps one short list per item; the lists are ranked together at the end. Scores are whole numbers.
 
-The index has a second table, term to number of documents, so that an item's weights are a join.
+A batch's terms are counted in the index's term lists first, which gives the items' weights.
 """
 
 from __future__ import annotations
@@ -60,11 +60,11 @@ def term_counts(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
 def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("terms", pa.binary()), ("counts", pa.binary())])
     for batch in batches:
-        for lo, hi, texts in sliced(batch.column(1)):
+        for lo, hi, texts in sliced(batch.column(1), 1 << 18):
             first, terms, counts, n = term_counts(texts)
-            terms, counts = memoryview(terms.tobytes()), memoryview(counts.astype("<u4").tobytes())
             bounds = list(zip(first[:-1].tolist(), first[1:].tolist()))
-            yield record_batch(schema, batch.column(0).slice(lo, hi - lo), n, [terms[8 * a : 8 * b] for a, b in bounds], [counts[4 * a : 4 * b] for a, b in bounds])
+            terms = memoryview(terms.tobytes())
+            yield record_batch(schema, batch.column(0).slice(lo, hi - lo), n, [terms[8 * a : 8 * b] for a, b in bounds], [packed(counts[a:b]) for a, b in bounds])
 
 
 def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
@@ -75,11 +75,30 @@ def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa
         pa.default_memory_pool().release_unused()
 
 
-def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("term", pa.int64()), ("df", pa.int64())])
-    for batch in in_parts(batches):
-        terms, df = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64), return_counts=True)
-        yield record_batch(schema, terms.view(np.int64), df)
+def packed(counts: np.ndarray) -> bytes:
+    """Counts in a byte each where they fit, else in four."""
+    return counts.astype("u1" if counts.max(initial=0) < 256 else "<u4").tobytes()
+
+
+def unpacked(terms: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(terms, counts) of an index row."""
+    return np.frombuffer(terms, np.uint64), np.frombuffer(counts, "u1" if 8 * len(counts) == len(terms) else "<u4").astype(np.int64)
+
+
+def _frequencies(wanted: np.ndarray):
+    """(k, df): in how many of the task's documents the k-th of the wanted terms (rising) stands."""
+    schema = pa.schema([("k", pa.int64()), ("df", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(wanted), np.int64)
+        for batch in in_parts(batches):
+            terms = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
+            at = np.minimum(np.searchsorted(wanted, terms), len(wanted) - 1)
+            total += np.bincount(at[wanted[at] == terms], minlength=len(wanted))
+        seen = np.flatnonzero(total)
+        yield record_batch(schema, seen, total[seen])
+
+    return run
 
 
 def places_of(terms: np.ndarray, size: int) -> list[np.ndarray]:
@@ -108,7 +127,7 @@ def _sketched(documents: int, length: int):
         for batch in in_parts(batches, ROWS):
             sketches = []
             for n, terms, counts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                terms, tf = np.frombuffer(terms, np.uint64), np.frombuffer(counts, "<u4").astype(np.int64)
+                terms, tf = unpacked(terms, counts)
                 sketch = np.zeros(sketch_size(len(terms)), np.uint8)
                 value = folded(impact(tf, np.int64(n), documents, length))
                 order = np.argsort(value, kind="stable")  # of values for one place the last written stays: the largest
@@ -123,7 +142,7 @@ def _sketched(documents: int, length: int):
 
 
 class Index:
-    """A searchable copy of a document table in the shared folder: term lists, sketches, document frequencies.
+    """A searchable copy of a document table in the shared folder: term lists and sketches.
 
     `documents` counts the documents with at least one term, `length` all their terms with repeats.
     """
@@ -134,28 +153,37 @@ class Index:
         texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("text IS NOT NULL")
         lists = stored(texts.mapInArrow(_indexed, "doc_id long, n long, terms binary, counts binary").filter("n > 0"), "term-lists")
         self.documents, self.length = lists.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).head()
-        self.frequencies = stored(lists.select("terms").mapInArrow(_document_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")), "document-frequencies")
         sketched = lists.mapInArrow(_sketched(self.documents, self.length), "doc_id long, n long, terms binary, counts binary, places int, sketch binary")
         self.rows = stored(sketched, "sketches")
         forget(lists)
 
-    def weighted(self, items: DataFrame) -> DataFrame:
-        """Stored (item, item_id, terms, weights) of `items` (item_id, text) with a term that a document has; item numbers the rows."""
-        texts = items.select(F.monotonically_increasing_id().alias("item"), "item_id", F.col("text").cast("string").alias("text"))
-        texts = stored(texts, "items")
-        split = texts.select("item", "text").mapInArrow(_item_terms, "item long, term long")
-        weight = F.floor(F.lit(1000.0) * F.log((2 * F.lit(self.documents) + 2) / (2 * F.col("df") + 1)))
-        found = split.join(self.frequencies, "term").select("item", "term", weight.cast("long").alias("weight"))
-        listed = found.groupBy("item").agg(F.collect_list(F.struct("term", "weight")).alias("of"))
-        return stored(texts.select("item", "item_id").join(listed, "item").select("item", "item_id", F.col("of.term").alias("terms"), F.col("of.weight").alias("weights")), "weighted-items")
+    def batch(self, items: Sequence[tuple[int, Sequence[int]]]) -> Batch | None:
+        """Items (number, terms) with their weights; without the terms that no document has, and None if that leaves nothing."""
+        wanted = np.unique(np.array([t for _, terms in items for t in terms], np.int64).view(np.uint64))
+        df = np.zeros(len(wanted), np.int64)
+        if len(wanted):
+            counted = self.rows.select("terms").mapInArrow(_frequencies(wanted), "k long, df long").groupBy("k").agg(F.sum("df")).collect()  # a row per term of the batch
+            for k, n in counted:
+                df[k] = n
+        weight = {t: math.floor(1000 * math.log((2 * self.documents + 2) / (2 * n + 1))) for t, n in zip(wanted.view(np.int64).tolist(), df.tolist()) if n}
+        known = [(item, [t for t in terms if t in weight]) for item, terms in items]
+        known = [(item, terms, [weight[t] for t in terms]) for item, terms in known if terms]
+        return Batch(known) if known else None
+
+
+def numbered(items: DataFrame) -> DataFrame:
+    """Stored (item, item_id, terms) of `items` (item_id, text); item numbers the rows, terms are distinct."""
+    texts = items.select(F.monotonically_increasing_id().alias("item"), "item_id", F.col("text").cast("string").alias("text"))
+    kind = items.schema["item_id"].dataType.simpleString()
+    return stored(texts.mapInArrow(_item_terms, f"item long, item_id {kind}, terms array<long>"), "items")
 
 
 def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("item", pa.int64()), ("term", pa.int64())])
     for batch in batches:
-        for lo, hi, texts in sliced(batch.column(1)):
+        for lo, hi, texts in sliced(batch.column(2)):
             first, terms, _, _ = term_counts(texts)
-            yield record_batch(schema, np.repeat(batch.column(0).slice(lo, hi - lo).to_numpy(), np.diff(first)), terms.view(np.int64))
+            listed = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(terms.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), listed], ["item", "item_id", "terms"])
 
 
 class Batch:
@@ -227,7 +255,7 @@ def _searched(batch: Batch, documents: int, length: int, top: int):
                 yield record_batch(schema, [int(batch.item[k])] * len(own), [None if none else doc for _, none, doc in own], [-score for score, _, _ in own])
 
     def scored(rows: pa.RecordBatch, i: int) -> np.ndarray:
-        terms, tf = np.frombuffer(rows.column(2)[i].as_py(), np.uint64), np.frombuffer(rows.column(3)[i].as_py(), "<u4").astype(np.int64)
+        terms, tf = unpacked(rows.column(2)[i].as_py(), rows.column(3)[i].as_py())
         return batch.impacts(terms, impact(tf, np.int64(rows.column(1)[i].as_py()), documents, length))
 
     def rescored(block, bounds, rows, best):
@@ -246,15 +274,15 @@ def _searched(batch: Batch, documents: int, length: int, top: int):
     return run
 
 
-def batches_of(weighted: DataFrame, most: int) -> Iterator[list[tuple[int, list[int], list[int]]]]:
+def batches_of(items: DataFrame, most: int) -> Iterator[list[tuple[int, list[int]]]]:
     """The items in batches of about `most` terms, one batch on the driver at a time."""
     held, size = [], 0
-    for r in weighted.select("item", "terms", "weights").toLocalIterator():
-        if held and size + len(r.terms) > most:
+    for item, terms in items.select("item", "terms").toLocalIterator():
+        if held and size + len(terms) > most:
             yield held
             held, size = [], 0
-        held.append((r.item, r.terms, r.weights))
-        size += len(r.terms)
+        held.append((item, terms))
+        size += len(terms)
     if held:
         yield held
 
@@ -264,14 +292,17 @@ def best_documents(index: Index, items: DataFrame, top: int = TOP, batch_terms:
 
     Equal scores rank by rising doc_id, NULL ids last. NULL texts and items without a known term find
     nothing; repeated items are items of their own. `items` is the stated query set: it goes round in
-    batches of `batch_terms` terms, each one pass over the index.
+    batches of `batch_terms` terms, each two passes over the index, of which one reads the term lists only.
     """
     spark = items.sparkSession
-    weighted = index.weighted(items)
+    items = numbered(items)
     found = spark.createDataFrame([], "item long, doc_id long, score long")
-    for held in batches_of(weighted, batch_terms):
-        run = _searched(Batch(held), index.documents, index.length, top)
+    for held in batches_of(items, batch_terms):
+        batch = index.batch(held)
+        if batch is None:
+            continue
+        run = _searched(batch, index.documents, index.length, top)
         found = found.union(stored(index.rows.mapInArrow(run, "item long, doc_id long, score long"), "found"))
     rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))
     ranked = found.withColumn("rank", rank).filter(F.col("rank") <= top)
-    return ranked.join(weighted.select("item", "item_id"), "item").select("item_id", "rank", "doc_id", "score")
+    return ranked.join(items.select("item", "item_id"), "item").select("item_id", "rank", "doc_id", "score")

@@ -55,12 +55,14 @@ def test_bounds_hold_and_stop_the_search(spark):
     rng = random.Random(1)
     texts = [" ".join(f"t{int(rng.paretovariate(0.6))}" for _ in range(rng.choice([20, 150]))) for _ in range(400)]
     index = ranking.Index(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
-    weighted = index.weighted(spark.createDataFrame([(k, texts[k][:60]) for k in range(20)], "item_id long, text string"))
-    batch = ranking.Batch([tuple(r) for r in weighted.select("item", "terms", "weights").collect()])
+    items = ranking.numbered(spark.createDataFrame([(k, texts[k][:60]) for k in range(20)], "item_id long, text string"))
+    (held,) = ranking.batches_of(items, 1 << 17)
+    batch = index.batch(held)
     tight = 0
     for r in index.rows.collect():
         sketch = np.frombuffer(r.sketch, np.uint8)[None, :]
-        own = batch.impacts(np.frombuffer(r.terms, np.uint64), ranking.impact(np.frombuffer(r.counts, "<u4").astype(np.int64), np.int64(r.n), index.documents, index.length))
+        terms, counts = ranking.unpacked(r.terms, r.counts)
+        own = batch.impacts(terms, ranking.impact(counts, np.int64(r.n), index.documents, index.length))
         bounds, scores = batch.bounds(sketch)[0], [batch.score(k, own) for k in range(len(batch.item))]
         assert all(b >= s for b, s in zip(bounds.tolist(), scores))
         tight += sum(b < 1.5 * s + 10**8 for b, s in zip(bounds.tolist(), scores))
