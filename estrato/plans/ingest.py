@@ -7,7 +7,6 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +14,7 @@ from estrato.operators import ledger as L
 from estrato.sources import delimited as D
 from estrato.sources import files as FS
 from estrato.sources import snapshots as S
+from estrato.sources.rowlog import RowLog
 
 
 @dataclass(frozen=True)
@@ -31,30 +31,31 @@ class Dataset:
 
 
 class Ledger:
-    """The two ledger tables. They hold one row per run and per (run, dataset), so they stay small."""
+    """The two ledger tables: one row per run and per (run, dataset), appended to and read by their newest rows."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.runs_path = f"{folder}/ingestion_runs"
         self.manifest_path = f"{folder}/ingestion_manifest"
-        S.ensure_table(spark, self.runs_path, L.RUNS_SCHEMA)
-        S.ensure_table(spark, self.manifest_path, L.MANIFEST_SCHEMA)
+        self._runs = RowLog(spark, self.runs_path, L.RUNS_SCHEMA, ["ingestion_run_id"])
+        self._manifest = RowLog(spark, self.manifest_path, L.MANIFEST_SCHEMA, ["ingestion_run_id", "dataset_id"])
 
     def runs(self) -> DataFrame:
-        return S.read_snapshot(self.spark, self.runs_path)
+        return self._runs.read()
 
     def manifest(self) -> DataFrame:
-        return S.read_snapshot(self.spark, self.manifest_path)
+        return self._manifest.read()
 
     def active(self) -> DataFrame:
         return L.active_snapshots(self.runs(), self.manifest())
 
-    def _write(self, df: DataFrame, path: str) -> None:
-        S.overwrite_snapshot(self.spark, df, path, rebalance=True)
+    def compact(self) -> None:
+        self._runs.compact()
+        self._manifest.compact()
 
     def _put_run(self, row: Mapping) -> None:
         new = self.spark.createDataFrame([tuple(row.get(n) for n in L.RUNS_SCHEMA.names)], L.RUNS_SCHEMA)
-        self._write(L.upsert(self.runs(), new, ["ingestion_run_id"]), self.runs_path)
+        self._runs.append(new)
 
     def start_run(self, run_id: str, at: str, force: bool, control: Mapping | None, total: int) -> None:
         control = control or {}
@@ -92,16 +93,15 @@ class Ledger:
                 full["columns_json"] = json.dumps(list(full["columns"]))
             rows.append(tuple(full.get(n) for n in L.MANIFEST_SCHEMA.names))
         new = self.spark.createDataFrame(rows, L.MANIFEST_SCHEMA)
-        self._write(L.upsert(self.manifest(), new, ["ingestion_run_id", "dataset_id"]), self.manifest_path)
+        self._manifest.append(new)
 
     def set_retention_status(self, run_id: str, status: str) -> None:
-        changed = L.update_where(self.runs(), F.col("ingestion_run_id") == run_id, {"retention_status": F.lit(status)})
-        self._write(changed, self.runs_path)
+        self._runs.append(self.runs().filter(F.col("ingestion_run_id") == run_id).withColumn("retention_status", F.lit(status)))
 
     def mark_deleted(self, keys: DataFrame, at: str) -> None:
-        changed = L.update_matching(self.manifest(), keys, "raw_s3_key", {
-            "retention_status": F.lit("DELETED"), "retention_deleted_at_utc": F.lit(at)})
-        self._write(changed, self.manifest_path)
+        """Appends the manifest rows of the given raw_s3_key values as deleted; the keys are joined, never gathered."""
+        rows = self.manifest().join(keys.select("raw_s3_key").distinct(), "raw_s3_key", "left_semi")
+        self._manifest.append(rows.withColumns({"retention_status": F.lit("DELETED"), "retention_deleted_at_utc": F.lit(at)}))
 
 
 def ingest_dataset(spark: SparkSession, dataset: Dataset, run_id: str, at: str, sha256: str, report: DataFrame | None = None) -> dict:
@@ -232,15 +232,10 @@ def apply_retention(spark: SparkSession, ledger: Ledger, raw_folder: str, run_id
     if dry_run:
         status = L.retention_status(candidates.count(), 0, True)
     else:
-        candidates = S.materialize(spark, candidates, f"{ledger.runs_path}_retention_{run_id}")  # the plan as it was before
-        for row in candidates.toLocalIterator():  # one name at a time, however many there are
-            try:
-                S.delete_exact(spark, row["raw_key"], raw_folder)
-            except (ValueError, Py4JError):  # what cannot be deleted is found below and does not stop the others
-                continue
-        # what is gone is what the folder no longer lists
-        left = FS.raw_inventory(spark, raw_folder).select("raw_key")
-        ledger.mark_deleted(candidates.join(left, "raw_key", "left_anti").select(F.col("raw_key").alias("raw_s3_key")), at)
-        status = L.retention_status(candidates.count(), candidates.join(left, "raw_key", "left_semi").count(), False)
+        outcomes = S.materialize(spark, FS.delete_files(candidates, raw_folder), f"{ledger.runs_path}_retention_{run_id}")
+        gone = F.col("outcome").isin(*FS.GONE)
+        ledger.mark_deleted(outcomes.filter(gone).select(F.col("raw_key").alias("raw_s3_key")), at)
+        n = outcomes.agg(F.count("*"), F.count_if(~gone)).first()
+        status = L.retention_status(n[0], n[1], False)
     ledger.set_retention_status(run_id, status)
     return status

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +71,47 @@ def raw_inventory(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+GONE = ("DELETED", "ABSENT")
+"""Outcomes after which a file is no longer there."""
+
+
+def _plain(uri: str) -> str:
+    return "/" + uri.split(":", 1)[-1].lstrip("/") if uri.startswith("file:") or "://" not in uri else uri
+
+
+def _delete(keys: Iterator[pa.RecordBatch], inside: str) -> Iterator[pa.RecordBatch]:
+    """Deletes single files below a folder; a file that is gone already is no failure, so a task may repeat."""
+    folder = _plain(inside).rstrip("/") + "/"
+    for batch in keys:
+        outcomes = []
+        for key in batch.column(0).to_pylist():
+            path = _plain(key or "")
+            if not path.startswith(folder) or ".." in path.split("/"):
+                outcomes.append("REFUSED")
+                continue
+            try:
+                files, place = (fs.LocalFileSystem(), path) if "://" not in path else fs.FileSystem.from_uri(path)
+                kind = files.get_file_info(place).type
+                if kind == fs.FileType.File:
+                    files.delete_file(place)
+                outcomes.append({fs.FileType.File: "DELETED", fs.FileType.NotFound: "ABSENT"}.get(kind, "REFUSED"))
+            except FileNotFoundError:
+                outcomes.append("ABSENT")
+            except (OSError, ValueError) as error:
+                outcomes.append(f"FAILED: {error}"[:500])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(outcomes, pa.string())], ["raw_key", "outcome"])
+
+
+def delete_files(keys: DataFrame, inside: str, tasks: int | None = None) -> DataFrame:
+    """(raw_key, outcome) of `keys` (raw_key): each file is deleted in a task, if it lies inside the folder.
+
+    Outcomes: DELETED, ABSENT (it was gone), REFUSED (outside the folder, or no single file), or FAILED with the
+    reason. Lazy: write the result, or the files are asked for again with every use.
+    """
+    dealt = keys.select("raw_key").distinct().repartition(tasks or keys.sparkSession.sparkContext.defaultParallelism)
+    return dealt.mapInArrow(lambda batches: _delete(batches, inside), "raw_key string, outcome string")
+
+
 def raw_key(folder: str, dataset_id: str, sha256: str, file_name: str) -> str:
     return f"{folder.rstrip('/')}/{dataset_id}/sha256={sha256}/{file_name}"
 

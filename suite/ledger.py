@@ -8,13 +8,17 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estrato.operators import ledger as L
 from estrato.operators.relational import without
-from estrato.session import shared_folder
+from estrato.session import scratch_folder, shared_folder
 from estrato.sources import delimited as D
+from estrato.sources import files as FS
+from estrato.sources import snapshots as S
+from estrato.sources.rowlog import RowLog, newest_rows
 from suite.raw_tables import table
 from suite.registry import Registry
 
@@ -96,6 +100,8 @@ def register(reg: Registry) -> None:
     reg.add("ledger_change_decisions", change_decisions, CHANGES)
     reg.add("ledger_local_state", local_state, LOCAL_STATE)
     reg.add("ledger_retention_outcomes", retention_outcomes, OUTCOMES)
+    reg.add("ledger_newest_rows", newest_with_ties, NEWEST)
+    reg.add("ledger_log_after_entries", log_after_entries, LOG)
     reg.add("strict_read_of_orders", strict_read, "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority, '  a;\"b\" ' || o_orderstatus AS note, CAST(NULL AS VARCHAR) AS broken FROM orders")
     reg.add("file_contract_findings", file_contract, """SELECT * FROM (VALUES ('b', ': missing [], extra [], other order or number'), ('c', ': missing [o_orderpriority], extra [o_clerk]')) v(folder, finding)
         WHERE (SELECT count(*) FROM orders) > 0""")
@@ -142,20 +148,73 @@ LOCAL_STATE = f"""WITH active AS (SELECT * FROM ({GOOD}) QUALIFY row_number() OV
 
 
 def retention_outcomes(s, d):
-    """Per dataset: candidates of the plan, and what a dry run, a clean run and a run with failures report."""
-    plan = L.retention_plan(runs(s, d), manifest(s, d), inventory(s, d))
-    n = F.count_if(F.col("action") == "CANDIDATE")
-    outcomes = F.array(*[F.struct(F.lit(name).alias("mode"), F.lit(L.retention_status(1, failed, dry)).alias("some"), F.lit(L.retention_status(0, 0, dry)).alias("none"))
-                         for name, failed, dry in (("dry", 0, True), ("clean", 0, False), ("failing", 1, False))])
-    counted = plan.groupBy("dataset_id").agg(n.alias("candidates")).withColumn("o", F.explode(outcomes))
-    return counted.select("dataset_id", "candidates", "o.mode", F.when(F.col("candidates") > 0, F.col("o.some")).otherwise(F.col("o.none")).alias("status"))
-
-
-OUTCOMES = f"""WITH plan AS (SELECT i.dataset_id, EXISTS (SELECT 1 FROM ({RECENT}) h WHERE h.dataset_id = i.dataset_id AND i.raw_key LIKE '%sha256=' || h.source_sha256 || '/%') AS kept
- FROM (SELECT DISTINCT event_type AS dataset_id, 'raw/' || event_type || '/sha256=ab' || CAST(event_id % 50 AS VARCHAR) || '/f.zip' AS raw_key FROM events) i),
- counted AS (SELECT dataset_id, count(*) FILTER (WHERE NOT kept) AS candidates FROM plan GROUP BY ALL)
- SELECT dataset_id, candidates, mode, CASE WHEN mode = 'dry' THEN 'DRY_RUN' WHEN candidates = 0 THEN 'NOOP' WHEN mode = 'failing' THEN 'PARTIAL_FAILURE' ELSE 'EXECUTED' END AS status
- FROM counted, (VALUES ('dry'), ('clean'), ('failing')) m(mode)"""
+    """Raw files written from the given table, the plan's candidates deleted in tasks, and what became of them.
+
+    Of every dataset's candidates the files with an odd number were gone before, and one key lies outside the folder.
+    """
+    plan = S.materialize(s, L.retention_plan(runs(s, d), manifest(s, d), inventory(s, d)), f"{scratch_folder(s)}/plan-{uuid.uuid4().hex}")
+    folder = f"{shared_folder(s)}/raw-{uuid.uuid4().hex}"
+    here = F.concat(F.lit(f"{folder}/"), F.regexp_replace("raw_key", "[^A-Za-z0-9]", "_"))
+    number = F.regexp_extract("raw_key", "sha256=ab([0-9]+)/", 1).cast("int")
+    placed = plan.select("dataset_id", "action", here.alias("raw_key"), number.alias("number"))
+    _touch(placed.filter("action = 'PROTECTED' OR number % 2 = 0").select("raw_key"))
+    wanted = placed.filter("action = 'CANDIDATE'")
+    outside = s.createDataFrame([(f"{folder}-other/f",)], "raw_key string")
+    outcomes = S.materialize(s, FS.delete_files(wanted.select("raw_key").union(outside), folder), f"{scratch_folder(s)}/outcomes-{uuid.uuid4().hex}")
+    counted = outcomes.join(wanted, "raw_key", "left").groupBy("dataset_id").agg(
+        F.count("*").alias("candidates"), *[F.count_if(F.col("outcome") == o).alias(o.lower()) for o in ("DELETED", "ABSENT", "REFUSED")])
+    again = FS.delete_files(wanted.select("raw_key"), folder).join(wanted, "raw_key").groupBy("dataset_id").agg(F.count_if(F.col("outcome") == "ABSENT").alias("absent_when_repeated"))
+    return counted.join(again, "dataset_id", "left").select("*", F.when(F.col("refused") > 0, "PARTIAL_FAILURE").otherwise("EXECUTED").alias("status"))
+
+
+def _touch(keys):
+    """Writes a small file of each name, in tasks."""
+    def write(batches):
+        for batch in batches:
+            for key in batch.column(0).to_pylist():
+                files, path = fs.FileSystem.from_uri(key if "://" in key else "file://" + key.removeprefix("file:"))
+                files.create_dir(path.rpartition("/")[0], recursive=True)
+                with files.open_output_stream(path) as out:
+                    out.write(b"raw")
+            yield batch
+
+    keys.repartition(8).mapInArrow(write, "raw_key string").count()
+
+
+OUTCOMES = f"""WITH plan AS (SELECT i.dataset_id, i.number, EXISTS (SELECT 1 FROM ({RECENT}) h WHERE h.dataset_id = i.dataset_id AND i.raw_key LIKE '%sha256=' || h.source_sha256 || '/%') AS kept
+ FROM (SELECT DISTINCT event_type AS dataset_id, event_id % 50 AS number, 'raw/' || event_type || '/sha256=ab' || CAST(event_id % 50 AS VARCHAR) || '/f.zip' AS raw_key FROM events) i)
+ SELECT dataset_id, count(*) AS candidates, count(*) FILTER (WHERE number % 2 = 0) AS deleted, count(*) FILTER (WHERE number % 2 = 1) AS absent, CAST(0 AS BIGINT) AS refused,
+ count(*) AS absent_when_repeated, 'EXECUTED' AS status FROM plan WHERE NOT kept GROUP BY dataset_id
+ UNION ALL SELECT NULL, 1, 0, 0, 1, NULL, 'PARTIAL_FAILURE' FROM (SELECT count(*) AS n FROM events) WHERE n > 0"""
+
+
+def newest_with_ties(s, d):
+    """Entries per user and event type, read by their newest: many share a moment, some a writer too."""
+    e = F.col("event_id")
+    log = table(s, d, "events").select("user_id", "event_type", "event_id", (e % 10).alias("__moment"), (e % 3).cast("string").alias("__writer"))
+    return newest_rows(log, ["user_id", "event_type"])
+
+
+NEWEST = """SELECT user_id, event_type, event_id FROM events
+ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 10 DESC, event_id % 3 DESC, event_id DESC) = 1"""
+
+
+def log_after_entries(s, d):
+    """A log after entries made from the given table, before and after compaction: what is read and how many files hold it."""
+    place = f"{scratch_folder(s)}/log-{uuid.uuid4().hex}"
+    rows = runs(s, d)
+    log = RowLog(s, place, rows.schema, ["ingestion_run_id"])
+    log.append(rows)
+    log.append(rows.filter("status = 'FAILED'").withColumn("status", F.lit("SUCCESS")))
+    log.append(rows.filter("ingestion_run_id % 8 = 0").withColumn("status", F.lit("AGAIN")))
+    before, files = S.materialize(s, log.read(), f"{place}-before"), len(log._files())
+    log.compact()
+    both = log.read().join(before.withColumnRenamed("status", "status_before"), ["ingestion_run_id", "end_time_utc", "start_time_utc"], "full_outer")
+    return both.groupBy("status", "status_before").agg(F.count("*").alias("n")).withColumn("entries", F.lit(files)).withColumn("entries_left", F.lit(len(log._files())))
+
+
+LOG = f"""SELECT status, status AS status_before, count(*) AS n, CAST(3 AS INTEGER) AS entries, CAST(0 AS INTEGER) AS entries_left FROM (
+ SELECT CASE WHEN CAST(ingestion_run_id AS BIGINT) % 8 = 0 THEN 'AGAIN' WHEN status = 'FAILED' THEN 'SUCCESS' ELSE status END AS status FROM ({RUNS})) GROUP BY status"""
 
 
 def _text_files(df, folder, name):

@@ -289,3 +289,39 @@ def test_a_failed_run_does_not_become_the_active_version(spark, tmp_path):
         I.run(spark, ledger, datasets, control, "r2", "t2", force=True, control_after=newer)
     assert S.read_snapshot(spark, datasets[0].table).count() == 2
     assert I.active_table(spark, ledger, datasets[0]).count() == 1
+
+
+def test_ledger_entries_are_small_files_and_compaction_keeps_the_answer(spark, tmp_path):
+    from estrato.sources import rowlog
+
+    ledger = I.Ledger(spark, f"{tmp_path}/ledger")
+    for k in range(6):
+        ledger.start_run(f"r{k % 4}", f"t{k}", False, {"marker": f"m{k}"}, 1)
+        ledger.record({"ingestion_run_id": f"r{k % 4}", "dataset_id": "d", "raw_s3_key": f"key{k}", "source_sha256": str(k)})
+    assert len(ledger._runs._files()) == 6 and S.read_snapshot(spark, ledger.runs_path).count() == 0
+    ledger.finish_run("r3", "end", "SUCCESS")
+    ledger.mark_deleted(spark.createDataFrame([("key4",), ("none",)], "raw_s3_key string"), "now")
+    want = {f"r{k % 4}": f"t{k}" for k in range(6)}, {"r0": "DELETED", "r1": "ACTIVE", "r2": "ACTIVE", "r3": "ACTIVE"}
+
+    def state():
+        return {r.ingestion_run_id: r.start_time_utc for r in ledger.runs().collect()}, {r.ingestion_run_id: r.retention_status for r in ledger.manifest().collect()}
+
+    assert state() == want
+    ledger.compact()
+    assert state() == want and ledger._runs._files() == [] and S.read_snapshot(spark, ledger.runs_path).count() == 4
+    # entries that compaction read but did not get to delete change nothing
+    stale = spark.createDataFrame([("r0", "older", "RUNNING", True)], "ingestion_run_id string, start_time_utc string, status string, force boolean")
+    stale.selectExpr("*", *[f"cast(null as {f.dataType.simpleString()}) as {f.name}" for f in L.RUNS_SCHEMA if f.name not in stale.columns], "5L as __moment", "'w' as __writer").write.mode("append").parquet(ledger._runs.entries)
+    assert state() == want
+    ledger.start_run("r0", "newest", False, None, 1)
+    assert state()[0]["r0"] == "newest" and rowlog.COMPACT_AT > 10
+
+
+def test_files_are_deleted_in_tasks_and_again(spark, tmp_path):
+    keys = [put(tmp_path, f"raw/d{k}/f {k}.zip", "x") for k in range(20)]
+    outside = put(tmp_path, "other/f", "x")
+    rows = spark.createDataFrame([(f"file:{k}",) for k in keys] + [(f"file:{outside}",), (f"{tmp_path}/raw/../other/f",), (f"{tmp_path}/raw/d1",), (None,)], "raw_key string")
+    found = S.materialize(spark, FS.delete_files(rows, f"{tmp_path}/raw", 4), f"{tmp_path}/out")
+    assert {r["outcome"]: r["count"] for r in found.groupBy("outcome").count().collect()} == {"DELETED": 20, "REFUSED": 4}
+    again = {r["outcome"]: r["count"] for r in FS.delete_files(rows, f"file:{tmp_path}/raw/").groupBy("outcome").count().collect()}
+    assert again == {"ABSENT": 20, "REFUSED": 4} and open(outside).read() == "x"
