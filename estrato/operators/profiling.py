@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estrato.functions import concat_key, is_blank_only
+from estrato.functions import concat_key, is_blank_only, percent
 from estrato.functions.keys import CONCAT_NULL
 from estrato.operators.skew import key_counts, repeated_keys
 
@@ -96,8 +96,8 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     stats = df.sparkSession.createDataFrame(known, schema)
     return stats.join(F.broadcast(distinct_counts(df, about)), "column_name").select(  # one row per profiled column on both sides
         "column_name", "total_rows", "null_count", "empty_count", "blank_count", "distinct_count", "min_length", "max_length",
-        F.round(F.col("null_count") / F.col("total_rows") * 100.0, 4).alias("null_pct"),
-        F.round(F.col("distinct_count") / F.col("total_rows") * 100.0, 4).alias("distinct_pct"),
+        percent(F.col("null_count"), F.col("total_rows")).alias("null_pct"),
+        percent(F.col("distinct_count"), F.col("total_rows")).alias("distinct_pct"),
     )
 
 

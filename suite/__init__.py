@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import importlib
 
-MODULES = ("layers", "dashboard", "quality", "profiles", "ledger")
+MODULES = ("layers", "dashboard", "quality", "profiles", "ledger", "files")
 
 
 @functools.cache

@@ -9,6 +9,7 @@ from estrato.functions import clean_text, concat_key, date_sk, hash_key, money_f
 from estrato.operators import profiling as P
 from estrato.operators import relational as J
 from estrato.operators.skew import salted_join, with_group_count
+from estrato.plans import checks as C
 from estrato.plans import profile as PROFILE
 from estrato.plans import records as R
 from suite import oracle_tables as T
@@ -96,6 +97,12 @@ def histogram_sql(entities: str, value: str) -> str:
 UNIQUE_AGREEMENTS = "(SELECT DISTINCT numero_convenio, id_proposta, valor_global_convenio FROM silver_convenio)"
 
 
+def varied(df):
+    """Lineage of several runs and files: the last character of the balance names the run; 0 has no file hash, no balance no run."""
+    last = F.right(F.col("VL_SALDO_CONTA"), F.lit(1))
+    return df.withColumn("__ingestion_run_id", F.nullif(last, F.lit(""))).withColumn("__source_sha256", F.when(last != "0", F.sha2(last, 256)))
+
+
 def register(reg: Registry) -> None:
     # ---- functions over whole columns
     reg.add("fn_text", lambda s, d: raw(s, d)["proposta"].select(
@@ -194,8 +201,8 @@ def register(reg: Registry) -> None:
         GROUP BY NR_CONVENIO HAVING count(v) = 1 OR min(v) <> max(v)""" for c in ["VL_SALDO_CONTA", "SIT_CONVENIO", "ID_PROPOSTA", "VL_SALDO_REMAN_TESOURO"]
     )
     reg.add("two_row_agreement_differences", lambda s, d: P.pair_differences(raw(s, d)["convenio"], "NR_CONVENIO", ["VL_SALDO_CONTA", "SIT_CONVENIO", "ID_PROPOSTA", "VL_SALDO_REMAN_TESOURO"]), pair_sql)
-    reg.add("two_row_agreement_summary", lambda s, d: P.pair_summary(raw(s, d)["convenio"], "NR_CONVENIO", pair_columns, R.LINEAGE, "VL_SALDO_CONTA"),
-            """SELECT NR_CONVENIO, CAST(count(DISTINCT VL_SALDO_CONTA) - 1 AS BIGINT) AS n_columns, count(DISTINCT VL_SALDO_CONTA) = 2 AS only_expected, TRUE AS same_lineage
+    reg.add("two_row_agreement_summary", lambda s, d: P.pair_summary(varied(raw(s, d)["convenio"]), "NR_CONVENIO", pair_columns, R.LINEAGE, "VL_SALDO_CONTA"),
+            """SELECT NR_CONVENIO, CAST(count(DISTINCT VL_SALDO_CONTA) - 1 AS BIGINT) AS n_columns, count(DISTINCT VL_SALDO_CONTA) = 2 AS only_expected, count(DISTINCT coalesce(right(VL_SALDO_CONTA, 1), '')) = 1 AS same_lineage
             FROM raw_convenio GROUP BY NR_CONVENIO HAVING count(*) = 2""")
 
     # ---- dates, lineage
@@ -208,6 +215,15 @@ def register(reg: Registry) -> None:
             " UNION ALL ".join(f"""SELECT '{t}' AS table_name, count(*) AS total_rows, count(DISTINCT __ingestion_run_id) AS distinct_runs, min(__ingestion_run_id) AS min_run, max(__ingestion_run_id) AS max_run,
             count(DISTINCT __source_sha256) AS distinct_sha256, min(__source_sha256) AS min_sha256, max(__source_sha256) AS max_sha256, min(__ingested_at_utc) AS min_ingested,
             max(__ingested_at_utc) AS max_ingested FROM silver_{t}""" for t in ("proposta", "programa_elegibilidade", "programa_cadastral", "programa_proposta", "convenio")))
+    # lineage of several runs and files, with gaps: the last digit of a text stands for the run
+    reg.add("lineage_profile_of_several_runs", lambda s, d: P.lineage_profile(varied(raw(s, d)["convenio"]), "__ingestion_run_id", "__source_sha256", "__ingested_at_utc"),
+            """SELECT count(*) AS total_rows, count(DISTINCT r) AS distinct_runs, min(r) AS min_run, max(r) AS max_run, count(DISTINCT h) AS distinct_sha256, min(h) AS min_sha256, max(h) AS max_sha256,
+            min(__ingested_at_utc) AS min_ingested, max(__ingested_at_utc) AS max_ingested
+            FROM (SELECT *, nullif(right(VL_SALDO_CONTA, 1), '') AS r, CASE WHEN right(VL_SALDO_CONTA, 1) <> '0' THEN sha256(right(VL_SALDO_CONTA, 1)) END AS h FROM raw_convenio)""")
+    reg.add("gate_lineage_with_gaps", lambda s, d: C.lineage_completeness({"convenio": varied(raw(s, d)["convenio"])}),
+            """SELECT 'lineage' AS gate, 'convenio.' || c AS item, CAST(0 AS DECIMAL(38,2)) AS expected, CAST(n AS DECIMAL(38,2)) AS actual, CAST(n AS DECIMAL(38,2)) AS diff,
+            CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (SELECT unnest(['__ingested_at_utc', '__ingestion_run_id', '__source_file', '__source_sha256']) AS c,
+            unnest([0, (SELECT count(*) FROM raw_convenio WHERE coalesce(right(VL_SALDO_CONTA, 1), '') = ''), 0, (SELECT count(*) FROM raw_convenio WHERE coalesce(right(VL_SALDO_CONTA, 1), '0') IN ('0', ''))]) AS n)""")
     reg.add("null_counts", lambda s, d: P.null_counts(silver(s, d)["proposta"], ["modalidade", "data_proposta", "ano_proposta", "codigo_agencia"]), " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) AS total_rows, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM silver_proposta" for c in ("modalidade", "data_proposta", "ano_proposta", "codigo_agencia")))
 

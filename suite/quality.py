@@ -174,6 +174,20 @@ def register(reg: Registry) -> None:
     )
     reg.add("body_label_conflicts", lambda s, d: C.body_conflicts(silver(s, d)).select("code", "pair", "n_conflicts"), pair_sql)
 
+    # the same with names that do conflict: bodies of even codes have another name in the proposals
+    other = "CASE WHEN CAST(right(codigo_orgao, 1) AS INTEGER) % 2 = 0 THEN descricao_orgao || ' X' ELSE descricao_orgao END"
+    other_roles = {**ROLES_SQL, "concedente_proposta": f"SELECT codigo_orgao AS c, {other} AS l FROM silver_proposta"}
+
+    def renamed(s, d):
+        even = F.right(F.col("codigo_orgao"), F.lit(1)).cast("int") % 2 == 0
+        own = silver(s, d)["proposta"].withColumn("descricao_orgao", F.when(even, F.concat("descricao_orgao", F.lit(" X"))).otherwise(F.col("descricao_orgao")))
+        return {"proposta": own, "programa_cadastral": silver(s, d)["programa_cadastral"]}
+
+    renamed_sql = " UNION ALL ".join(
+        f"SELECT a.c AS code, '{x}_vs_{y}' AS pair, count(*) AS n_conflicts FROM (SELECT DISTINCT * FROM ({other_roles[x]})) a "
+        f"JOIN (SELECT DISTINCT * FROM ({other_roles[y]})) b ON a.c = b.c AND a.l <> b.l GROUP BY ALL" for x, y in C.BODY_PAIRS)
+    reg.add("body_label_conflicts_of_renamed_bodies", lambda s, d: C.body_conflicts(renamed(s, d)).select("code", "pair", "n_conflicts"), renamed_sql)
+
     # raw -> silver gates
     same = [("proposta", "proposta"), ("programa_proposta", "programa_proposta"), ("programa", "programa_elegibilidade"), ("convenio", "convenio")]
     reg.add("gate_row_counts", lambda s, d: C.raw_row_counts(raw(s, d), silver(s, d)), gate_sql("row_counts", [
