@@ -163,12 +163,15 @@ def blocks_of(items: DataFrame, most: int) -> Iterator[list[tuple[int | None, by
     yield held
 
 
-def passages(docs: DataFrame, block: list[tuple[int | None, bytes]], size: int = 10) -> DataFrame:
-    """docs' columns (text among them) and __hits (word numbers), __items, __n_words: findings of one block of items."""
+def passages(docs: DataFrame, block: list[tuple[int | None, bytes]], size: int = 10, counted: DataFrame | None = None) -> DataFrame:
+    """docs' columns (text among them) and __hits (word numbers), __items, __n_words: findings of one block of items.
+
+    Words are counted over `counted` (text) if given: which word of a window is rarest decides where it is filed, not what is found.
+    """
     spark = docs.sparkSession
     windows = windows_of(block, size)
     vocabulary = np.unique(np.concatenate(windows.tokens)) if windows.tokens else np.zeros(0, np.uint64)
-    counts = token_counts(docs, vocabulary) if len(vocabulary) else np.zeros(0, np.int64)
+    counts = token_counts(docs if counted is None else counted, vocabulary) if len(vocabulary) else np.zeros(0, np.int64)
     index = spark.sparkContext.broadcast(index_of(windows, vocabulary, counts))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,8 +224,12 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, block_bytes
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, size: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """`docs` (text and any other columns) without the rows in which a benchmark window occurs; block after block, no shuffle."""
-    names = docs.columns
+    """`docs` (text and any other columns) without the rows in which a benchmark window occurs; block after block, no shuffle.
+
+    Every block counts its words over all of `docs`, so the passes grow with the number of blocks. NULL and empty
+    texts stay, as do repeated rows that are clean; an empty benchmark removes nothing, and very long texts are searched whole.
+    """
+    names, given = docs.columns, docs
     for block in blocks_of(items, block_bytes):
-        docs = passages(docs, block, size).filter(F.size("__hits") == 0).select(*names)
+        docs = passages(docs, block, size, given).filter(F.size("__hits") == 0).select(*names)
     return docs

@@ -1,3 +1,9 @@
+import math
+import random
+
+import numpy as np
+import zstandard
+
 from estrato.llm import quality, queries
 from estrato.llm.common import crc_fold
 
@@ -35,3 +41,41 @@ def test_whole_text_counts():
     sizes = quality.Sizes(b"", b"")
     assert len(quality.pieces_of(b"x" * 5000)) == 5 and b"".join(quality.pieces_of(b"ab" * 3000)) == b"ab" * 3000
     assert sizes.measures(b"") == (0.0, 0.0)
+
+
+def slow(model, text):
+    """Sizes piece by piece with a compressor made anew for each, and the curve by its formula."""
+    data = (text or "").encode()
+    total = model.curve.offset
+    if data:
+        sizes = []
+        for dictionary in (model.good, model.bad):
+            size = 0
+            for i in range(0, len(data), quality.PIECE):
+                tool = zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary), write_content_size=False, write_checksum=False, write_dict_id=False)
+                size += len(tool.compress(data[i : i + quality.PIECE]))
+            sizes.append(size)
+        both = sum(sizes)
+        total += model.curve.weights[0] * (sizes[1] - sizes[0]) / both + model.curve.weights[1] * math.log(both / 2 / len(data))
+    return 1 / (1 + math.exp(-total))
+
+
+def test_against_brute_force(spark, make_docs, spiky_rows):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.fit(docs, labels, crc_fold("doc_id", 5) != 0, sample=200)
+    rng = random.Random(5)
+    rows = [(d, t[:3000] if t else t) for d, t in spiky_rows] + [(1000 + k, r.text[: rng.choice([10, 1024, 5000])]) for k, r in enumerate(docs.select("text").limit(60).collect())]
+    for r in quality.with_quality(make_docs(rows), model).collect():
+        assert abs(r.score - slow(model, r.text)) < 1e-9, r.doc_id
+
+
+def test_curve_against_plain_gradient_descent():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 2)) * [0.02, 0.5] + [0.1, -1]
+    y = (rng.random(400) < 1 / (1 + np.exp(-(60 * (x[:, 0] - 0.1) + 0.5 * (x[:, 1] + 1))))).astype(float)
+    curve = quality.logistic(x, y)
+    z = np.column_stack([(x - x.mean(0)) / x.std(0), np.ones(400)])
+    w = np.zeros(3)
+    for _ in range(20_000):
+        w -= 0.01 * (z.T @ (1 / (1 + np.exp(-z @ w)) - y) + 1e-2 * w) / 40
+    assert all(abs(curve(tuple(a)) - 1 / (1 + np.exp(-b @ w))) < 1e-3 for a, b in zip(x, z))
