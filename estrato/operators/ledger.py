@@ -15,58 +15,51 @@ from estrato.operators.skew import null_safe_match
 SUCCESS = "SUCCESS"
 
 
-def _schema(text: str) -> T.StructType:
-    kinds = {"string": T.StringType(), "boolean": T.BooleanType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType()}
-    fields = []
-    for line in text.strip().splitlines():
-        name, kind, *required = line.split()
-        fields.append(T.StructField(name, kinds[kind], not required))
-    return T.StructType(fields)
-
-
-# Columns of the two ledger tables; "!" marks required ones.
-RUNS_SCHEMA = _schema("""
-ingestion_run_id string !
-start_time_utc string !
-end_time_utc string
-status string !
-force boolean !
-source_data_carga_raw_initial string
-source_data_carga_raw_final string
-source_data_carga_initial string
-source_data_carga_final string
-control_zip_sha256 string
-total_datasets int
-successful_datasets int
-error_message string
-retention_status string
-""")
-MANIFEST_SCHEMA = _schema("""
-ingestion_run_id string !
-dataset_id string !
-source_url string
-source_zip_file string
-source_member_file string
-source_sha256 string
-file_size_bytes bigint
-retrieved_at_utc string
-ingested_at_utc string
-encoding string
-delimiter string
-columns_json string
-logical_input_rows bigint
-delta_output_rows bigint
-raw_s3_key string
-delta_table_path string
-delta_version bigint
-duration_seconds double
-status string !
-reuse_reason string
-original_run_id string
-retention_status string
-retention_deleted_at_utc string
-error_message string
-""")
+STRING, BOOLEAN, INT, LONG, DOUBLE = T.StringType(), T.BooleanType(), T.IntegerType(), T.LongType(), T.DoubleType()
+
+# Columns of the two ledger tables.
+RUNS_SCHEMA = T.StructType([
+    T.StructField("ingestion_run_id", STRING, False),
+    T.StructField("start_time_utc", STRING, False),
+    T.StructField("end_time_utc", STRING, True),
+    T.StructField("status", STRING, False),
+    T.StructField("force", BOOLEAN, False),
+    T.StructField("source_data_carga_raw_initial", STRING, True),
+    T.StructField("source_data_carga_raw_final", STRING, True),
+    T.StructField("source_data_carga_initial", STRING, True),
+    T.StructField("source_data_carga_final", STRING, True),
+    T.StructField("control_zip_sha256", STRING, True),
+    T.StructField("total_datasets", INT, True),
+    T.StructField("successful_datasets", INT, True),
+    T.StructField("error_message", STRING, True),
+    T.StructField("retention_status", STRING, True),
+])
+MANIFEST_SCHEMA = T.StructType([
+    T.StructField("ingestion_run_id", STRING, False),
+    T.StructField("dataset_id", STRING, False),
+    T.StructField("source_url", STRING, True),
+    T.StructField("source_zip_file", STRING, True),
+    T.StructField("source_member_file", STRING, True),
+    T.StructField("source_sha256", STRING, True),
+    T.StructField("file_size_bytes", LONG, True),
+    T.StructField("retrieved_at_utc", STRING, True),
+    T.StructField("ingested_at_utc", STRING, True),
+    T.StructField("encoding", STRING, True),
+    T.StructField("delimiter", STRING, True),
+    T.StructField("columns_json", STRING, True),
+    T.StructField("logical_input_rows", LONG, True),
+    T.StructField("delta_output_rows", LONG, True),
+    T.StructField("raw_s3_key", STRING, True),
+    T.StructField("delta_table_path", STRING, True),
+    T.StructField("delta_version", LONG, True),
+    T.StructField("duration_seconds", DOUBLE, True),
+    T.StructField("status", STRING, False),
+    T.StructField("reuse_reason", STRING, True),
+    T.StructField("original_run_id", STRING, True),
+    T.StructField("retention_status", STRING, True),
+    T.StructField("retention_deleted_at_utc", STRING, True),
+    T.StructField("error_message", STRING, True),
+])
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
