@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,7 +68,8 @@ class Role:
     bounded: bool = False  # size proven independent of the data (the calendar)
     carries: tuple[str, ...] = ()  # columns kept only for roles that are reached through this one
     proven: bool = False  # the key was found unique by a gate; else uniqueness is checked while joining
-    spread_by: str | None = None  # left column that spreads very hot keys over sub-keys (salted_join)
+    spread_by: str | None = None  # fact column that spreads very hot keys over sub-keys (salted_join)
+    hot: Mapping | None = None  # the hot keys and their numbers of sub-keys, where a write has observed them
 
 
 def _one_per_key(side: DataFrame, key: str, name: str) -> DataFrame:
@@ -115,6 +116,8 @@ def star_view(
         if n in needed_outputs or n in keys
     ]
     carried = {c for r in by_name.values() for c in (*r.carries, *r.outputs)}
+    keys |= {by_name[n].spread_by for n in needed_roles if by_name[n].spread_by}
+    selected += [F.col(fact_columns[k]).alias(k) for k in sorted(keys) if isinstance(fact_columns.get(k), str) and k not in needed_outputs and k not in {by_name[n].left_key for n in needed_roles}]
     plain_keys = [k for k in sorted(keys) if k not in fact_columns and k not in carried]
     result = fact.select(*selected, *plain_keys)
     for name, role in roles:
@@ -133,7 +136,7 @@ def star_view(
             side = _one_per_key(side, marker, name)
         if role.spread_by:
             side = side.withColumnRenamed(marker, role.left_key)
-            result = salted_join(result, side, role.left_key, role.spread_by)
+            result = salted_join(result, side, role.left_key, role.spread_by, hot=role.hot)
             continue
         if role.bounded:
             side = F.broadcast(side)

@@ -6,10 +6,11 @@ map-side partial aggregation, so a hot key costs one row per task in the shuffle
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], name: str = "n_rows") -> DataFrame:
@@ -64,23 +65,46 @@ def salted_join(
     how: str = "left",
     salts: int = 32,
     top: int = 64,
+    hot: Mapping | None = None,
 ) -> DataFrame:
     """Equi-join on ``key`` where the left side may hold very hot keys; the result is the plain join.
 
     The heaviest left keys (at most ``top``, so broadcasting them is bounded) are spread over
     ``salts`` sub-keys chosen by a hash of ``spread_by``; only the right rows of those keys are
-    repeated. All other keys keep one sub-key. Supports inner, left, left_semi and left_anti.
+    repeated. All other keys keep one sub-key. ``hot`` gives the keys and their numbers of sub-keys where
+    they are known, as ``hot_keys`` finds them; nothing is counted then. NULL keys match nothing and
+    are spread too. Supports inner, left, left_semi and left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support {how!r}")
-    hot = F.broadcast(heaviest_keys(left, key, top).select(F.col(key).alias("__hot")))
-    hot_left = left.join(hot, left[key] == F.col("__hot"), "left").withColumn(
-        "__salt",
-        F.when(F.col("__hot").isNotNull(), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0)),
-    ).drop("__hot")
-    all_salts = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    one_salt = F.array(F.lit(0).cast("bigint"))
-    spread_right = right.join(hot, right[key] == F.col("__hot"), "left").withColumn(
-        "__salt", F.explode(F.when(F.col("__hot").isNotNull(), all_salts).otherwise(one_salt))
-    ).drop("__hot")
+    if hot is None:
+        listed = heaviest_keys(left, key, top).select(F.col(key).alias("__hot"), F.lit(salts).cast("bigint").alias("__n"))
+    else:
+        schema = T.StructType([T.StructField("__hot", left.schema[key].dataType), T.StructField("__n", T.LongType())])
+        listed = left.sparkSession.createDataFrame(list(hot.items()), schema)
+    listed = F.broadcast(listed)
+    spread = F.xxhash64(spread_by)
+    hot_left = left.join(listed, left[key] == F.col("__hot"), "left").withColumn(
+        "__salt", F.when(F.col(key).isNull(), F.pmod(spread, F.lit(salts))).when(F.col("__hot").isNotNull(), F.pmod(spread, F.col("__n"))).otherwise(F.lit(0)),
+    ).drop("__hot", "__n")
+    sub_keys = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("__n"), F.lit(1)) - 1)
+    spread_right = right.join(listed, right[key] == F.col("__hot"), "left").withColumn("__salt", F.explode(sub_keys)).drop("__hot", "__n")
     return hot_left.join(spread_right, [key, "__salt"], how).drop("__salt")
+
+
+TRACKED = 64
+"""Keys a heavy-hitter summary reports at most."""
+
+
+def heavy_hitters(column: str) -> Column:
+    """The most frequent non-NULL values with about their counts: a summary of fixed size that tasks merge.
+
+    An aggregate like any other, so it can be observed while a table is written.
+    """
+    return F.expr(f"approx_top_k(`{column}`, {TRACKED}, {100 * TRACKED})")
+
+
+def hot_keys(summary: Sequence, rows: int, tasks: int) -> dict:
+    """Key -> number of sub-keys, for keys with over twice an even task's share of the rows."""
+    even = max(1.0, rows / max(1, tasks))
+    return {x["item"]: -(-x["count"] // int(even)) for x in summary or () if x["count"] > 2 * even}

@@ -193,11 +193,14 @@ VIEW_COLUMNS = (
 )
 
 
-def proposta_convenio_view(gold: Tables, columns: Sequence[str] | None = None, proven: bool = False) -> DataFrame:
+def proposta_convenio_view(
+    gold: Tables, columns: Sequence[str] | None = None, proven: bool = False, hot: Mapping[str, Mapping] | None = None
+) -> DataFrame:
     """Proposals with their dimensions and their 0..1 agreement; only the joins ``columns`` need are made.
 
     ``proven`` says that the gold gates passed on these tables: their keys are unique. Otherwise that is
-    checked as the joins run.
+    checked as the joins run. ``hot`` holds, by column of the fact, the keys that its write found to be hot and
+    their numbers of sub-keys; joins on such a column are salted.
     """
     same = lambda *names: {n: n for n in names}
     fact_columns = {
@@ -228,4 +231,6 @@ def proposta_convenio_view(gold: Tables, columns: Sequence[str] | None = None, p
     ]
     derived = {"tem_convenio": ("agreement", F.col("numero_convenio").isNotNull())}
     roles = [(name, replace(role, proven=proven)) for name, role in roles]
+    known = {left: (hot or {}).get(fact_columns.get(left, left)) for _, role in roles for left in [role.left_key]}
+    roles = [(name, replace(role, spread_by="id_proposta", hot=known[role.left_key]) if known[role.left_key] and not role.bounded else role) for name, role in roles]
     return star_view(gold["fct_proposta"], fact_columns, roles, VIEW_COLUMNS, columns, derived)

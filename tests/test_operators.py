@@ -144,3 +144,34 @@ def test_cube_answers_from_the_smallest_set_and_refuses_the_rest(spark):
             sums.answer(metrics, dims)
     with pytest.raises(M.NotAdditive):
         M.cube(table, [["a"]], [M.distinct_count("d", "n")])
+
+
+def test_a_hot_body_found_while_writing_is_dealt_over_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from estrato.operators import modeling as MOD
+    from estrato.operators import skew as K
+    from estrato.sources import snapshots as S
+
+    body = F.when(F.col("id") % 3 == 0, "B0").when(F.col("id") % 10 == 7, F.lit(None)).otherwise(F.concat(F.lit("B"), (F.col("id") % 97).cast("string")))
+    seen = {}
+    S.overwrite_snapshot(spark, spark.range(60_000).select("id", body.alias("body")), f"{tmp_path}/fact", metrics={"body": K.heavy_hitters("body")}, check=seen.update)
+    found = K.hot_keys(seen["body"], seen["rows"], 16)
+    assert list(found) == ["B0"] and 5 <= found["B0"] <= 7
+    fact = S.read_snapshot(spark, f"{tmp_path}/fact")
+    names = spark.range(97).select(F.concat(F.lit("B"), F.col("id").cast("string")).alias("code"), F.col("id").alias("name"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        loads = []
+        for hot in (None, found):
+            role = MOD.Role(lambda: names, "body", "code", {"name": "name"}, proven=True, spread_by="id" if hot else None, hot=hot)
+            view = MOD.star_view(fact, {"id": "id", "body": "body"}, [("body", role)], ["id", "body", "name"])
+            loads.append(max(r["count"] for r in view.groupBy(F.spark_partition_id()).count().collect()))
+            assert view.count() == 60_000 and view.filter("name IS NULL AND body IS NOT NULL OR name IS NOT NULL AND concat('B', name) <> body").isEmpty()
+        assert loads[0] > 20_000 and loads[1] < 2.5 * 60_000 / 16, loads
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
