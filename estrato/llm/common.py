@@ -36,8 +36,23 @@ _importable.__module__ = "__main__"  # travels by value: it runs where the packa
 _SEEN: set[str] = set()
 
 
+ROWS_PER_BATCH = 2000
+"""Rows of an Arrow batch. Spark's default of 10,000 takes no account of how long texts are."""
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batch size where it is Spark's default: a batch of texts is held on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(ROWS_PER_BATCH))
+
+
 def ensure_importable(spark: SparkSession) -> None:
-    """Sends this package to the executors if their Python doesn't find it; asked once per application."""
+    """Sends this package to the executors if their Python doesn't find it; asked once per application.
+
+    Every operator's entry calls it, so it also sees to batches of a size fit for texts.
+    """
+    small_batches(spark)
     if spark.sparkContext.applicationId in _SEEN:
         return
     if not all(r[0] for r in spark.range(1).mapInArrow(_importable, "ok boolean").collect()):
