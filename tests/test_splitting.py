@@ -50,26 +50,26 @@ def whole_file(spark, path):
     return spark.read.options(**D._options(";"), header="true", enforceSchema="true", mode="PERMISSIVE", columnNameOfCorruptRecord=D.BROKEN).schema(schema).csv(path)
 
 
-@pytest.mark.parametrize("end, mark, size", [("\n", "", 90), ("\r\n", "﻿", 150), ("\n", "﻿", 400), ("\r\n", "", 10_000)])
+@pytest.mark.parametrize("end, mark, size", [("\n", "", 120), ("\r\n", "﻿", 150), ("\n", "﻿", 300), ("\r\n", "", 10_000)])
 def test_same_rows_as_the_reader_of_whole_files(spark, tmp_path, end, mark, size):
     rng = random.Random(size)
-    for k in range(3):
-        put(tmp_path, f"f{k}.csv", content(rng, 60, end, mark))
-    put(tmp_path, "g.csv", f'{mark}ID;A;B{end}1;"' + f"long {end}" * 40 + f'";2{end}3;"";4')  # a field over many blocks
+    for k in range(2):
+        put(tmp_path, f"f{k}.csv", content(rng, 40, end, mark))
+    put(tmp_path, "g.csv", f'{mark}ID;A;B{end}1;"' + f"long {end}" * 60 + f'";2{end}3;"";4')  # a field over many blocks
     put(tmp_path, "h.csv", f'ID;A;B{end}1;"never closed{end}x;y{end}z')
     with cut_at(spark, size):
-        assert size > 1000 or X.block_states(spark, str(tmp_path), ";").count() > 10
+        assert size > 1000 or X.block_states(spark, str(tmp_path), ";").count() > 7
         got = rows_of(D.read_checked(spark, str(tmp_path), NAMES).select(*NAMES))
     assert got == rows_of(whole_file(spark, str(tmp_path)).select(*NAMES, D.BROKEN).drop(D.BROKEN))
 
 
 def test_records_are_numbered_in_the_file(spark, tmp_path):
-    path = put(tmp_path, "a.csv", "ID;A;B\n" + "".join(f'{k};"x\ny{k}";z\n\n' for k in range(200)) + "wrong;2\n5;6;7\n")
-    with cut_at(spark, 100):
+    path = put(tmp_path, "a.csv", "ID;A;B\n" + "".join(f'{k};"x\ny{k}";z\n\n' for k in range(60)) + "wrong;2\n5;6;7\n")
+    with cut_at(spark, 90):
         got = X.quoted_records(spark, path, ";").collect()
-        assert sorted(r.record for r in got) == list(range(203))
+        assert sorted(r.record for r in got) == list(range(63))
         assert {r.record: r.text for r in got}[7] == '6;"x\ny6";z'
-        assert [(r.record, r.broken) for r in D.broken_records(spark, path, NAMES).collect()] == [(201, "wrong;2")]
+        assert [(r.record, r.broken) for r in D.broken_records(spark, path, NAMES).collect()] == [(61, "wrong;2")]
 
 
 def test_large_file_with_quoted_line_ends_is_read_in_many_tasks(spark, tmp_path):
@@ -126,7 +126,7 @@ def test_swapped_values_are_loaded_and_not_reused(spark, tmp_path):
     assert ledger.manifest().filter("dataset_id = 'd' AND ingestion_run_id = 'r2'").first()["reuse_reason"] is None
 
 
-@pytest.mark.parametrize("folder", ["com espaço", "50% off", "a+b c", "x%20y", "ação#1"])
+@pytest.mark.parametrize("folder", ["com espaço", "50% a+b", "x%20ç#1"])
 def test_any_folder_name(spark, tmp_path, folder):
     put(tmp_path, f"{folder}/a b.csv", 'ID;A;B\n1;"x\ny";z\n')
     put(tmp_path, f"{folder}/ç.csv", "ID;A;B\n2;x;z\n")
