@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from estrato.functions import exact_sum
 from estrato.functions.numbers import SUM_TYPE
 from estrato.operators.skew import repeated_keys
+from estrato.session import kept
 
 PASS, FAIL = "PASS", "FAIL"
 
@@ -148,20 +149,23 @@ def census(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) -
     """(table_name, rule, target, value): all that contracts and key gates of a layer ask for, measured once.
 
     Rules: rows, nulls of every key and required column, accepted_values, and per key unique (keys on several
-    rows), distinct, repeated_rows, references (rows whose key has no parent). Columns of a table are counted in
-    one pass, keys of a domain in one shuffle.
+    rows), distinct, repeated_rows, references (rows whose key has no parent). A table is worked out once: its
+    columns that are counted are stored, then read in one pass, and its keys once more in a shuffle per domain.
     """
     domains = key_domains(contracts)
-    parts = []
+    parts, held = [], {}
     for name in dict.fromkeys([*contracts, *(n for d in domains for n, _ in d)]):
         c = contracts.get(name, Contract())
-        needed = dict.fromkeys([*c.not_null, *(x for d in domains for n, cs in d if n == name for x in cs)])
+        keys = [x for d in domains for n, cs in d if n == name for x in cs]
+        needed = dict.fromkeys([*c.not_null, *keys])
+        read = dict.fromkeys([*needed, *c.accepted])
+        held[name] = kept(tables[name].select(*read), "census") if keys else tables[name]
         numbers = [(name, "rows", "*", F.count("*")), *[(name, "nulls", x, F.count_if(F.col(x).isNull())) for x in needed],
                    *[(name, "accepted_values", x, F.count_if(~F.col(x).isin(list(v)))) for x, v in c.accepted.items()]]
-        parts.append(_long_rows(tables[name], numbers))
+        parts.append(_long_rows(held[name], numbers))
     for keys in domains:
         related = [((n, (c,)), (o, (oc,)), f"{c}->{o}.{oc}") for n, contract in contracts.items() for c, o, oc in contract.references if (n, (c,)) in keys]
-        parts.append(_key_census(tables, keys, related))
+        parts.append(_key_census(held, keys, related))
     return reduce(DataFrame.union, parts)
 
 

@@ -16,7 +16,7 @@ from estrato.operators import relational as J
 from estrato.operators.quality import Contract
 from estrato.operators.typing import Field
 from estrato.plans import records as R
-from estrato.session import new_folder
+from estrato.session import kept
 
 Tables = Mapping[str, DataFrame]
 
@@ -233,7 +233,7 @@ def silver_references(raw: Tables, silver: Tables, known: Sequence[int] = R.KNOW
 
 def orphan_set_equality(silver: Tables, known: Sequence[int], spark: SparkSession) -> DataFrame:
     """Orphan proposals against a known list, both ways: (id_proposta, side). Empty when equal."""
-    found = J.orphan_keys(silver["programa_proposta"], "id_proposta", silver["proposta"], "id_proposta")
+    found = kept(J.orphan_keys(silver["programa_proposta"], "id_proposta", silver["proposta"], "id_proposta"), "orphans")
     listed = spark.createDataFrame([(k,) for k in known], "id_proposta bigint")
     extra = found.join(listed, "id_proposta", "left_anti").select("id_proposta", F.lit("unexpected").alias("side"))
     gone = listed.join(found, "id_proposta", "left_anti").select("id_proposta", F.lit("missing").alias("side"))
@@ -301,10 +301,7 @@ def taken_once(tables: Tables, contracts: Mapping[str, Contract]) -> Callable[[]
     def found() -> DataFrame:
         with lock:
             if not held:
-                made = Q.census(tables, contracts)
-                folder = new_folder(made.sparkSession, "census")
-                made.coalesce(1).write.parquet(folder)
-                held.append(made.sparkSession.read.schema(made.schema).parquet(folder))
+                held.append(kept(Q.census(tables, contracts).coalesce(1), "census"))
             return held[0]
 
     return found

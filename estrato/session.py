@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Sizing (executors, memory, shuffle partitions) belongs to the cluster; only settings that
 # change results or that let Spark adapt at run time are set here.
@@ -21,6 +21,9 @@ ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+LEAST_PARTITIONS = 200
+"""Shuffle partitions before adaptive execution puts small ones together."""
+
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     for key, value in {**RESULT_SETTINGS, **ADAPTIVE_SETTINGS}.items():
@@ -64,6 +67,24 @@ def new_folder(spark: SparkSession, what: str) -> str:
     return f"{scratch_folder(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+def small_partitions(spark: SparkSession) -> None:
+    """Adaptive execution puts shuffle blocks together up to 8 MB a task, so a task's memory doesn't grow with its input.
+
+    What the session sets itself stays.
+    """
+    partitions = max(LEAST_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for name, value in (("advisoryPartitionSizeInBytes", "8m"), ("coalescePartitions.initialPartitionNum", str(partitions))):
+        if spark.conf.get(f"spark.sql.adaptive.{name}", None) is None:
+            spark.conf.set(f"spark.sql.adaptive.{name}", value)
+
+
+def kept(df: DataFrame, what: str) -> DataFrame:
+    """The table written to the scratch folder and read back: what several steps read is worked out once."""
+    path = new_folder(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/estrato-{spark.sparkContext.applicationId}"
 

@@ -175,3 +175,31 @@ def test_a_hot_body_found_while_writing_is_dealt_over_tasks(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_census_works_a_table_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(k):
+        seen.add(1)
+        return k
+
+    rows = spark.range(50).select("id", F.udf(mark, "long")(F.col("id") % 10).alias("k"))
+    contracts = {"t": Q.Contract(not_null=("id", "k"), unique=("id", "k"), references=(("k", "t", "id"),))}
+    got = {(r["rule"], r["target"]): r["violations"] for r in Q.check_contracts({"t": rows}, contracts).collect()}
+    assert got == {("not_null", "id"): 0, ("not_null", "k"): 0, ("unique", "id"): 0, ("unique", "k"): 10, ("references", "k->t.id"): 0}
+    assert seen.value == 50
+
+
+def test_given_tables_are_read_in_small_partitions_unless_the_session_says_otherwise(spark):
+    from suite.raw_tables import table
+
+    key, number = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    for k in (key, number):
+        spark.conf.unset(k)
+    table(spark, "/root/testdata/sf0.001", "nation")
+    assert spark.conf.get(key) == "8m" and int(spark.conf.get(number)) >= 200
+    spark.conf.set(key, "32m")
+    table(spark, "/root/testdata/sf0.001", "nation")
+    assert spark.conf.get(key) == "32m"
+    spark.conf.unset(key)
