@@ -37,12 +37,16 @@ def stage_programa_proposta(raw: DataFrame) -> DataFrame:
 
 
 def stage_convenio(raw: DataFrame) -> DataFrame:
-    """Observations are counted on the raw agreement number, before it is cleaned."""
-    counted = with_group_count(raw, ["NR_CONVENIO"], "source_conflict_count")
+    """Observations are counted on the raw agreement number, before it is cleaned.
+
+    Rows are typed and hashed before they meet their counts, so that the join moves the columns in use and no raw text.
+    """
     key = hash_key(*[f.source for f in R.CONVENIO]).alias("id_convenio_observacao")
+    typed = project_typed(raw, R.CONVENIO, first=[key], last=[F.col("NR_CONVENIO").alias("__number"), *R.LINEAGE])
+    counted = with_group_count(typed, ["__number"], "source_conflict_count")
     conflict = (F.col("source_conflict_count") > 1).alias("has_source_conflict")
-    return project_typed(
-        counted, R.CONVENIO, first=[key], last=["source_conflict_count", conflict, *R.LINEAGE]
+    return counted.select(
+        "id_convenio_observacao", *[f.name for f in R.CONVENIO], "source_conflict_count", conflict, *R.LINEAGE
     )
 
 
