@@ -19,6 +19,7 @@ from estrato.operators.metrics import (
     summarize,
     total,
 )
+from estrato.session import kept
 
 PROPOSALS = row_count("propostas")
 AGREEMENTS = present_count("convenios_formalizados", "numero_convenio")
@@ -160,6 +161,15 @@ def detail_table(
     return rows.select(*DETAIL_COLUMNS).orderBy(*[F.asc_nulls_last(c) for c in DETAIL_COLUMNS]).limit(limit)
 
 
+def detail_tables(
+    table: DataFrame, filters: Mapping[str, Mapping[str, Sequence]], limit: int = 1000
+) -> dict[str, DataFrame]:
+    """The detail listing under several choices of filters, by name: the columns in use are worked out and stored once."""
+    used = dict.fromkeys([*DETAIL_COLUMNS, *(c for chosen in filters.values() for c in chosen)])
+    rows = kept(table.select(*used), "detail")
+    return {name: detail_table(rows, chosen, limit) for name, chosen in filters.items()}
+
+
 def top_rows(table: DataFrame, by: str, key: str, limit: int = 15) -> DataFrame:
     """Rows with the largest measure; ties broken by the key."""
     return table.orderBy(F.desc_nulls_last(by), F.asc(key)).limit(limit)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estrato.operators.metrics import count_equivalence, filter_values, present_count, row_count, summarize
+from estrato.operators import relational as J
 from estrato.plans import dashboard as B
 from estrato.session import shared_folder
 from estrato.sources.snapshots import materialize
@@ -155,7 +156,7 @@ def register(reg: Registry) -> None:
                 " UNION ALL ".join(f"SELECT '{f}' AS filter_name, * FROM ({chart_sql(chart, filter_sql(f))})" for f in chosen))
     shown = sorted({*B.DETAIL_COLUMNS, *B.FILTER_COLUMNS})
     reg.add("all_filters_on_detail_table",
-            lambda s, d: reduce(DataFrame.unionByName, [B.detail_table(mart(s, d, shown), {f: v}).select(F.lit(f).alias("filter_name"), "*") for f, v in chosen.items()]),
+            lambda s, d: J.named_rows(B.detail_tables(mart(s, d, shown), {f: {f: v} for f, v in chosen.items()}), "filter_name"),
             " UNION ALL ".join(f"SELECT '{f}' AS filter_name, * FROM (SELECT {detail} FROM mart WHERE {filter_sql(f)} ORDER BY {', '.join(c + ' ASC NULLS LAST' for c in B.DETAIL_COLUMNS)} LIMIT 1000)" for f in chosen))
 
     def all_charts(s, d):

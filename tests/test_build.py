@@ -125,3 +125,38 @@ def test_a_repeated_dimension_key_raises_unless_its_role_is_not_needed(built):
     plain = L.proposta_convenio_view(built["gold"], ["id_proposta", "nome_proponente"])
     assert plain.exceptAll(L.proposta_convenio_view(doubled, ["id_proposta", "nome_proponente"])).isEmpty()
     assert plain.exceptAll(L.proposta_convenio_view(built["gold"], ["id_proposta", "nome_proponente"], proven=True)).isEmpty()
+
+
+def test_observations_meet_their_counts_after_they_are_typed(spark, clean_raw, capsys):
+    L.stage_convenio(clean_raw["convenio"]).select("id_convenio_observacao", "source_conflict_count").explain(True)
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert plan.index("sha2(") > plan.index("Join LeftOuter")  # below the join, so it moves the hash alone
+
+
+def test_detail_tables_answer_alike_from_one_stored_table(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(v):
+        seen.add(1)
+        return v
+
+    columns = dict.fromkeys([*B.DETAIL_COLUMNS, *B.FILTER_COLUMNS])
+    plain = spark.range(30).select(*[(F.col("id") % 7).cast("string").alias(c) for c in columns])
+    marked = plain.withColumn("municipio", F.udf(mark, "string")("municipio"))
+    filters = {"uf": {"uf": ["1"]}, "modality": {"modalidade": ["2", "3"]}, "none": {}}
+    got = {n: [tuple(r) for r in x.collect()] for n, x in B.detail_tables(marked, filters).items()}
+    assert got == {n: [tuple(r) for r in B.detail_table(plain, f).collect()] for n, f in filters.items()}
+    assert seen.value == 30
+
+
+def test_orphans_are_found_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(v):
+        seen.add(1)
+        return v
+
+    links = spark.range(20).select(F.udf(mark, "long")("id").alias("id_proposta"))
+    silver = {"programa_proposta": links, "proposta": spark.range(18).select(F.col("id").alias("id_proposta"))}
+    got = {tuple(r) for r in C.orphan_set_equality(silver, [18, 30], spark).collect()}
+    assert got == {(19, "unexpected"), (30, "missing")} and seen.value <= 40
