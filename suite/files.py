@@ -23,8 +23,13 @@ def _folder(s, what: str) -> str:
     return f"{scratch_folder(s)}/{what}-{uuid.uuid4().hex}"
 
 
-def _with_header(df, columns, header: str, parts: int = 3):
-    """Lines of a text file per partition, the header first in each."""
+ROWS_PER_FILE = 500_000
+DOCUMENTS_PER_FILE = 10_000
+
+
+def _with_header(df, columns, header: str, parts: int = 3, rows_per_file: int = ROWS_PER_FILE):
+    """Lines of a text file per partition, the header first in each; at least `parts` files, more for more rows."""
+    parts = max(parts, -(-df.count() // rows_per_file))
     lines = df.select(F.concat_ws(";", *columns).alias("value")).repartition(parts)
 
     def run(batches):
@@ -43,7 +48,7 @@ def documents_read_back(s, d):
     """Whole texts with their line ends, quoted in semicolon text, read in blocks."""
     folder = _folder(s, "texts with line ends")
     docs = table(s, d, "documents")
-    _with_header(docs, [F.col("doc_id").cast("string"), _quoted("text"), "lang", "source"], "doc_id;text;lang;source").write.text(folder)
+    _with_header(docs, [F.col("doc_id").cast("string"), _quoted("text"), "lang", "source"], "doc_id;text;lang;source", rows_per_file=DOCUMENTS_PER_FILE).write.text(folder)
     names = D.checked_header(s, folder)
     return D.read_checked(s, folder, names).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", F.col(D.BROKEN).isNull().alias("whole"))
 
@@ -52,7 +57,7 @@ def record_numbers(s, d):
     """Records per file and the lines they cover, by number: none is lost or counted twice where blocks are cut."""
     folder = _folder(s, "numbered")
     docs = table(s, d, "documents")
-    _with_header(docs, [F.col("doc_id").cast("string"), _quoted("text")], "doc_id;text").write.text(folder)
+    _with_header(docs, [F.col("doc_id").cast("string"), _quoted("text")], "doc_id;text", rows_per_file=DOCUMENTS_PER_FILE).write.text(folder)
     records = splitting.quoted_records(s, folder, ";").filter("record > 0")
     return records.agg(F.count("*").alias("n_records"), F.count_distinct("file_key", "record").alias("n_numbers"),
                        F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).alias("n_line_ends"))

@@ -4,6 +4,7 @@ import random
 from contextlib import contextmanager
 
 import pytest
+from pyspark.sql import functions as F
 
 from estrato.plans import ingest as I
 from estrato.sources import delimited as D
@@ -156,3 +157,11 @@ def test_scratch_goes_when_asked(tmp_path):
         shared_folder(Session)
     Session.conf = Conf({"spark.sql.warehouse.dir": "file:/local/warehouse", "spark.checkpoint.dir": "hdfs://a/b/"})
     assert scratch_folder(Session) == "hdfs://a/b/estrato-app-1"
+
+
+def test_more_rows_are_written_as_more_files(spark):
+    from suite import files
+
+    rows = spark.range(100).select(F.col("id").cast("string").alias("k"))
+    assert files._with_header(rows, ["k"], "K").rdd.getNumPartitions() == 3
+    assert files._with_header(rows, ["k"], "K", rows_per_file=10).rdd.getNumPartitions() == 10
