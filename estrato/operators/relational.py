@@ -222,7 +222,9 @@ def mapping_audit(
 
     All columns are checked in one join. Source rows are first counted per (key, derived values) and
     target rows brought to one per key, so a key that repeats on both sides is no product. A source
-    row without target differs in every column; so does one whose target rows disagree.
+    row without target differs in every column; so does one whose target rows disagree. The join is on
+    a struct, which is never NULL: a filter on the target's key alone would keep Spark from working out
+    once what source and target are both made of. NULL keys are told apart afterwards.
     """
     expected = source.select(key, *[c.alias(f"__{n}") for n, c in mapped.items()])
     expected = expected.groupBy(*expected.columns).agg(F.count("*").alias("__n"))
@@ -230,11 +232,11 @@ def mapping_audit(
         *[f(n).alias(f"__{m}_{n}") for n in mapped for m, f in (("min", F.min), ("max", F.max))],
         *[F.count_if(F.col(n).isNull()).alias(f"__null_{n}") for n in mapped], F.count("*").alias("__rows"),
     )
-    joined = expected.join(stored, expected[key] == stored["__key"], "left")
+    joined = expected.join(stored, F.struct(expected[key].alias("k")) == F.struct(stored["__key"].alias("k")), "left")
 
     def differs(n: str) -> Column:
         value, nulls = F.col(f"__{n}"), F.col(f"__null_{n}")
-        same = F.when(value.isNull(), nulls == F.col("__rows")).otherwise(
+        same = F.when(expected[key].isNull(), False).when(value.isNull(), nulls == F.col("__rows")).otherwise(
             (nulls == 0) & (value == F.col(f"__min_{n}")) & (value == F.col(f"__max_{n}")))
         return ~F.coalesce(same, F.lit(False))
 

@@ -37,14 +37,13 @@ def with_group_count(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame
     Same result as ``count(*) over (partition by keys)``, which would sort whole rows of one key
     in one task. Here only keys travel: one pruned scan counts them, and only keys seen more than
     once come back, in a join that adaptive execution broadcasts when they are few and splits
-    when one is hot.
+    when one is hot. The key is one struct, in which NULL equals NULL, so that Spark sees that it is
+    unique and leaves out counting and join where the number is not asked for.
     """
-    marks = [f"__key_{i}" for i in range(len(keys))]
-    repeated = repeated_keys(df, keys, name).select(
-        *[F.col(k).alias(m) for k, m in zip(keys, marks)], F.col(name)
-    )
-    joined = df.join(repeated, null_safe_match(df, repeated, list(zip(keys, marks))), "left")
-    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(1).cast("bigint"))).drop(*marks)
+    key = F.struct(*[F.col(k) for k in keys])
+    repeated = repeated_keys(df.select(key.alias("__key")), ["__key"], name)
+    joined = df.join(repeated, key == F.col("__key"), "left")
+    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(1).cast("bigint"))).drop("__key")
 
 
 def heaviest_keys(df: DataFrame, key: str, top: int = 64) -> DataFrame:

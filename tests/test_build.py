@@ -133,6 +133,22 @@ def test_observations_meet_their_counts_after_they_are_typed(spark, clean_raw, c
     assert plan.index("sha2(") > plan.index("Join LeftOuter")  # below the join, so it moves the hash alone
 
 
+def test_raw_texts_are_made_once_per_order_and_rules_dealt_once_by_part(spark):
+    raw = raw_tables(spark, SF)
+    plan = raw["convenio"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("lpad(cast(o_orderkey") > plan.index("Join Inner")  # below the join, so not once per line
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        plan = raw_tables(spark, SF)["programa"]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning(l_partkey") == 1 and plan.count("Exchange") == 2
+
+
 def test_detail_tables_answer_alike_from_one_stored_table(spark):
     seen = spark.sparkContext.accumulator(0)
 

@@ -34,6 +34,29 @@ def test_group_count_equals_window(spark, skewed):
     assert all(r["n"] == counts[r["k"]] for r in got)
 
 
+def test_group_count_is_left_out_where_it_is_not_asked_for(spark, skewed):
+    counted = with_group_count(frame(spark, skewed), ["k", "v"], "n")
+    assert "Join" in counted._jdf.queryExecution().optimizedPlan().toString()
+    plan = counted.groupBy("id").agg(F.count("*"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_mapping_audit_works_out_once_what_both_sides_are_made_of(spark, skewed):
+    rows = frame(spark, skewed).select("k", "v", "w").distinct()
+    stored = rows.select("k", F.upper("v").alias("x"))
+    audit = lambda: J.mapping_audit(rows, stored, "k", {"x": F.upper("v")})
+    differing = {k for k in range(60) if len({r[2] for r in skewed if r[1] == k}) > 1} | {None}
+    expected = len({r[1:] for r in skewed if r[1] in differing})
+    assert [(r["checked_rows"], r["n_different"]) for r in audit().collect()] == [(len({r[1:] for r in skewed}), expected)]
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = audit()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert "ReusedExchange" in plan
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(spark, skewed, how):
     left = frame(spark, skewed)
