@@ -57,7 +57,7 @@ def build_gold(spark: SparkSession, silver: Tables, folder: str, parallel: int =
 
 
 def build_mart(spark: SparkSession, gold: Tables, folder: str, proven: bool = False, hot: Mapping[str, Mapping] | None = None) -> DataFrame:
-    """The serving table, its rows ordered by year and state so that their filters skip files."""
+    """The serving table, its rows kept together by year and state, ordered in each file, so that their filters skip files."""
     return materialize(spark, L.proposta_convenio_view(gold, proven=proven, hot=hot), f"{folder}/gold/mart_proposta_convenio", cluster=("ano_proposta", "uf"))
 
 

@@ -216,9 +216,12 @@ def proposta_convenio_view(
         "numero_convenio", "situacao_convenio", "is_instrumento_ativo", "valor_global_convenio",
         "valor_repasse_convenio", "valor_empenhado_convenio", "valor_desembolsado_convenio",
     )
+    # large tables first: what small ones add does not travel through their shuffles
     roles = [
         ("proponent", Role(lambda: gold["dim_proponente"], "identificacao_proponente", "identificacao_proponente",
                            same("nome_proponente"))),
+        ("agreement", Role(lambda: gold["fct_convenio"], "id_proposta", "id_proposta", agreement,
+                           carries=("data_assinatura_sk",))),
         ("town", Role(lambda: gold["dim_municipio"], "codigo_municipio_ibge", "codigo_municipio_ibge",
                       {"municipio": "nome_municipio", "uf": "sigla_uf"})),
         ("superior_body", Role(lambda: gold["dim_orgao"], "codigo_orgao_superior", "codigo_orgao",
@@ -228,8 +231,6 @@ def proposta_convenio_view(
         ("proposal_day", Role(lambda: gold["dim_data"], "data_proposta_sk", "data_sk",
                               {"data_proposta": "data", "ano_proposta": "ano", "mes_proposta": "mes"},
                               bounded=True)),
-        ("agreement", Role(lambda: gold["fct_convenio"], "id_proposta", "id_proposta", agreement,
-                           carries=("data_assinatura_sk",))),
         ("signing_day", Role(lambda: gold["dim_data"], "data_assinatura_sk", "data_sk",
                              {"data_assinatura": "data", "ano_assinatura": "ano"}, bounded=True)),
     ]

@@ -70,10 +70,12 @@ def new_folder(spark: SparkSession, what: str) -> str:
 def small_partitions(spark: SparkSession) -> None:
     """Adaptive execution puts shuffle blocks together up to 8 MB a task, so a task's memory doesn't grow with its input.
 
+    A join of which one side has no larger partition than that hashes it instead of sorting both; others sort and spill.
     What the session sets itself stays.
     """
     partitions = max(LEAST_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    for name, value in (("advisoryPartitionSizeInBytes", "8m"), ("coalescePartitions.initialPartitionNum", str(partitions))):
+    chosen = {"advisoryPartitionSizeInBytes": "8m", "coalescePartitions.initialPartitionNum": str(partitions), "maxShuffledHashJoinLocalMapThreshold": "8m"}
+    for name, value in chosen.items():
         if spark.conf.get(f"spark.sql.adaptive.{name}", None) is None:
             spark.conf.set(f"spark.sql.adaptive.{name}", value)
 

@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+CLUSTER_PARTS = 2000
+"""Parts a clustered write deals values into, so that few values share one; adaptive execution puts small parts together."""
+
+
 class SnapshotError(RuntimeError):
     """A table cannot be read, or a write does not match what was expected."""
 
@@ -105,16 +109,16 @@ def overwrite_snapshot(
     ``metrics`` are aggregates observed while writing, so checks cost no further scan of the
     input. The rows read back from the written files must match what was observed or expected.
     ``drop`` are columns that only the metrics need. ``rebalance`` deals the rows into files of
-    even size, ``cluster`` also keeps rows of near values of these columns together, so that
-    filters on them skip files.
+    even size, ``cluster`` also keeps rows of equal values of these columns together, ordered in
+    each file, so that filters on them skip files.
     """
     version = _next_version(spark, table)
     seen = Observation()
     aggregates = [F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (metrics or {}).items()]]
-    # rows are dealt before they are counted: finding the ranges reads a sample of its input
+    # dealt by value, not by ranges: finding those works its input out a second time, and a range can't part one value
     out = df
     if cluster:
-        out = out.repartitionByRange(*[F.col(c) for c in cluster]).sortWithinPartitions(*cluster)
+        out = out.hint("rebalance", CLUSTER_PARTS, *cluster).sortWithinPartitions(*cluster)
     elif rebalance:
         out = out.hint("rebalance")
     out = out.observe(seen, *aggregates).drop(*drop)

@@ -186,7 +186,7 @@ def register(reg: Registry) -> None:
             lambda s, d, c=chart: c.run(mart(s, d, B.chart_columns(c))),
             chart_sql(chart),
         )
-        reg.add(  # the serving table, written ordered by year and state, as the build writes it
+        reg.add(  # the serving table, written by year and state, as the build writes it
             f"benchmark_{name}_mart_written",
             lambda s, d, c=chart: c.run(materialize(s, mart(s, d), f"{shared_folder(s)}/mart-{uuid.uuid4().hex}", cluster=("ano_proposta", "uf"))),
             chart_sql(chart),

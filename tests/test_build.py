@@ -133,6 +133,12 @@ def test_observations_meet_their_counts_after_they_are_typed(spark, clean_raw, c
     assert plan.index("sha2(") > plan.index("Join LeftOuter")  # below the join, so it moves the hash alone
 
 
+def test_names_of_small_dimensions_join_after_the_large_tables(built):
+    plan = L.proposta_convenio_view(built["gold"])._jdf.queryExecution().analyzed().toString()
+    outermost = [plan.index(f"__{name}_key") for name in ("signing_day", "proposal_day", "granting_body", "superior_body", "town", "agreement", "proponent")]
+    assert outermost == sorted(outermost)  # the first line of a plan is its last join
+
+
 def test_raw_texts_are_made_once_per_order_and_rules_dealt_once_by_part(spark):
     raw = raw_tables(spark, SF)
     plan = raw["convenio"]._jdf.queryExecution().optimizedPlan().toString()

@@ -226,3 +226,24 @@ def test_given_tables_are_read_in_small_partitions_unless_the_session_says_other
     table(spark, "/root/testdata/sf0.001", "nation")
     assert spark.conf.get(key) == "32m"
     spark.conf.unset(key)
+
+
+def test_joins_of_given_tables_hash_a_side_of_small_partitions_and_sort_large_ones(spark):
+    from estrato.session import ADAPTIVE_SETTINGS, small_partitions
+
+    own = spark.newSession()
+    for k, v in {**ADAPTIVE_SETTINGS, "spark.sql.autoBroadcastJoinThreshold": "-1"}.items():
+        own.conf.set(k, v)
+    own.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    small_partitions(own)
+
+    def plan(rows):
+        left = own.range(rows).select("id", F.sha2(F.col("id").cast("string"), 512).alias("a"))
+        right = own.range(rows).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("b"))
+        joined = left.repartition(1, "id").join(right.repartition(1, "k"), F.col("id") == F.col("k"), "left").select(F.max("a"), F.max("b"))
+        joined.collect()
+        return joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+    small, large = plan(1000), plan(150000)
+    assert "ShuffledHashJoin" in small and "SortMergeJoin" not in small
+    assert "SortMergeJoin" in large and "ShuffledHashJoin" not in large

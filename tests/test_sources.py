@@ -325,3 +325,35 @@ def test_files_are_deleted_in_tasks_and_again(spark, tmp_path):
     assert {r["outcome"]: r["count"] for r in found.groupBy("outcome").count().collect()} == {"DELETED": 20, "REFUSED": 4}
     again = {r["outcome"]: r["count"] for r in FS.delete_files(rows, f"file:{tmp_path}/raw/").groupBy("outcome").count().collect()}
     assert again == {"ABSENT": 20, "REFUSED": 4} and open(outside).read() == "x"
+
+
+def test_a_clustered_write_works_its_input_out_once_and_parts_a_value_that_fills_several_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(v):
+        seen.add(1)
+        return v
+
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        # four years, one of them half of all rows, one NULL; texts that don't compress
+        year = F.when(F.col("id") % 2 == 0, 2001).when(F.col("id") % 4 == 1, 2002).when(F.col("id") % 8 == 3, 2003)
+        rows = spark.range(0, 20000, 1, 8).select(F.udf(mark, "long")("id").alias("id"), year.alias("year"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+        written = S.materialize(spark, rows, str(tmp_path / "t"), cluster=("year",))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert seen.value == 20000
+    expected = spark.range(20000).select("id", year.alias("year"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    assert written.exceptAll(expected).isEmpty() and expected.exceptAll(written).isEmpty()
+    files = written.groupBy(F.input_file_name().alias("file")).agg(F.count_distinct(F.coalesce("year", F.lit(0))).alias("years"), F.max("year").alias("year")).collect()
+    assert sum(r["year"] == 2001 for r in files) > 1  # half of all rows is no task's or file's lot
+    assert max(r["years"] for r in files) < 4
+    for r in files:
+        years = [x[0] for x in spark.read.parquet(r["file"]).select("year").collect()]
+        assert years == sorted(years, key=lambda y: (y is not None, y))
