@@ -165,9 +165,10 @@ def linked_fingerprints(distinct: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id) per row of `docs` (doc_id, text; other columns ignored).
+    """(doc_id, text_hash, fp, root, component_id) per row of `docs` (doc_id, text; other columns ignored).
 
-    component_id is the smallest doc_id reachable over links of at most two differing bits. Rows with
+    component_id is the smallest doc_id reachable over links of at most two differing bits, root the smallest
+    fingerprint (one per component, also where ids are NULL or stand for several texts). Rows with
     equal text, repeated rows and all texts without words share a fingerprint. A NULL doc_id keeps its
     row; the component of rows that all have NULL ids is NULL. An empty table gives an empty result.
     """
@@ -176,5 +177,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     group = components(linked_fingerprints(distinct)).withColumnRenamed("node", "fp")
     rooted = distinct.join(group, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")

@@ -2,7 +2,7 @@ import random
 
 import corpus_pipeline as P
 
-from estrato.llm import copies
+from estrato.llm import copies, simhash
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -117,3 +117,82 @@ def test_simhash_groups_are_verified_and_suffice_without_bands(make_docs, monkey
     assert fp[1] == fp[2] == fp[3] != fp[4]
     monkeypatch.setattr(copies, "_band_pairs", lambda shared: shared.sparkSession.createDataFrame([], "a long, b long"))
     assert found(docs) == [[1, 2, 3], [4], [5, 6]]
+
+
+def jaccard(x, y):
+    return len(grams(x) & grams(y)) / len(grams(x) | grams(y))
+
+
+def bits(x, y):
+    return (simhash.fingerprint_of(x.encode()) ^ simhash.fingerprint_of(y.encode())).bit_count()
+
+
+def fingerprint_copy(rng, words, most, among):
+    """A text within two bits of `words` whose 5-word similarity is below 0.8, by changing words of the places `among`."""
+    text = " ".join(words)
+    while True:
+        copy = list(words)
+        for at in rng.sample(among, most):
+            copy[at] = f"new{rng.randrange(10**6)}"
+        if bits(text, " ".join(copy)) <= 2:
+            assert jaccard(text, " ".join(copy)) < 0.8
+            return " ".join(copy)
+
+
+def brute_of_both_rules(rows):
+    label = brute(rows)
+    for i in range(len(rows)):
+        for j in range(i):
+            if bits(rows[i][1] or "", rows[j][1] or "") <= 2 and label[i] != label[j]:
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    return label
+
+
+def found_by_both(docs):
+    got = copies.near_copies(docs, fingerprints=True).collect()
+    return parts([r.doc_id for r in got], [r.root for r in got])
+
+
+def test_simhash_links_hold_below_the_similarity(spark):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    rows = [(7, " ".join(base)), (3, fingerprint_copy(rng, base, 9, range(5, 295))), (9, changed(rng, base, 60))]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in P.one_per_group(spark, docs, "").collect()) == [3, 9]
+
+
+def test_both_rules_against_brute_force(make_docs):
+    rng = random.Random(8)
+    rows = list(enumerate(corpus(rng, 20)))
+    for doc in (800, 900):  # a copy by fingerprint that has a copy by similarity, which has one by fingerprint
+        base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        first = fingerprint_copy(rng, base, 9, range(5, 295))
+        second = changed(rng, first.split(), 3)
+        rows += [(doc, " ".join(base)), (doc + 1, first), (doc + 2, second), (doc + 3, fingerprint_copy(rng, second.split(), 9, range(5, 295)))]
+    rows += [(9000, None), (9001, " ")]
+    want = parts([d for d, _ in rows], brute_of_both_rules(rows))
+    assert [800, 801, 802, 803] in want and [900, 901, 902, 903] in want
+    assert found_by_both(make_docs(rows)) == want
+
+
+def test_every_fingerprint_of_equal_sets_links(make_docs):
+    rng = random.Random(1)
+    cycle = [f"w{k}" for k in range(300)]
+    once, partly = cycle + cycle[:4], cycle + cycle[:160]
+    assert grams(" ".join(once)) == grams(" ".join(partly)) and bits(" ".join(once), " ".join(partly)) > 2
+    copies_of_both = [fingerprint_copy(rng, once, 9, range(5, 295)), fingerprint_copy(rng, partly, 9, range(170, 290))]
+    rows = list(enumerate([" ".join(once), " ".join(partly), *copies_of_both, "quite another text than these"]))
+    assert found_by_both(make_docs(rows)) == [[0, 1, 2, 3], [4]]
+
+
+def test_simhash_groups_under_one_id_stay_apart(make_docs):
+    rng = random.Random(9)
+    rows = []
+    for k in range(2):
+        base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        for doc in ((5, 10 + k), (None, None)):
+            words = base if doc[0] else [f"v{rng.randrange(5000)}" for _ in range(300)]
+            rows += [(doc[0], " ".join(words)), (doc[1], fingerprint_copy(rng, words, 9, range(5, 295)))]
+    got = copies.near_copies(make_docs(rows), fingerprints=True).collect()
+    assert parts([r.doc_id or 0 for r in got], [r.root for r in got]) == [[0, 0], [0, 0], [5, 10], [5, 11]]
